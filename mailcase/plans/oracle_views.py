@@ -86,8 +86,8 @@ FROM embeddings
 # Softmax element k of a logits list, numerically stable.
 VIEWS["class_probs"] = """
 SELECT id, label, logits,
-  list_transform(logits, x -> exp(x - list_max(logits)) /
-    list_sum(list_transform(logits, y -> exp(y - list_max(logits))))) AS probs
+  list_transform(logits, lambda x: exp(x - list_max(logits)) /
+    list_sum(list_transform(logits, lambda y: exp(y - list_max(logits))))) AS probs
 FROM class_logits
 """
 
