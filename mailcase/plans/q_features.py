@@ -1 +1,46 @@
-"""Registered queries (filled in below)."""
+"""Registered queries for TF-IDF features."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from mailcase.operators.features import doc_terms, fit_vocabulary, tfidf
+from mailcase.plans.registry import query
+from mailcase.sources.tables import table
+
+TERMS_SQL = """
+WITH tok AS (
+  SELECT doc_id, regexp_extract_all(lower(text), '[\\pL\\pN_]{2,}') AS t FROM documents),
+terms AS (
+  SELECT doc_id, unnest(t) AS term FROM tok
+  UNION ALL
+  SELECT doc_id, unnest(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]))
+  FROM tok),
+dt AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY doc_id, term),
+nd AS (SELECT count(*) AS n FROM documents),
+st AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM dt GROUP BY term),
+vocab AS (
+  SELECT term, df, cf, ln((1.0 + n) / (1.0 + df)) + 1 AS idf FROM st, nd
+  WHERE df >= 2 AND df <= 0.95 * n ORDER BY cf DESC, term LIMIT 3000),
+w AS (SELECT dt.doc_id, dt.term, dt.tf * v.idf AS w FROM dt JOIN vocab v USING (term))
+"""
+
+
+@query("vocabulary", TERMS_SQL + """
+SELECT term, df, CAST(cf AS BIGINT) AS cf, round(idf, 6) AS idf FROM vocab""")
+def q_vocabulary(spark, sf_dir):
+    """M1: min_df 2, max_df 0.95, top 3000 terms by corpus count over whole documents."""
+    d = table(spark, sf_dir, "documents")
+    v = fit_vocabulary(d, "doc_id", "text")
+    return v.select("term", "df", F.col("cf").cast("bigint").alias("cf"),
+                    F.round("idf", 6).alias("idf"))
+
+
+@query("tfidf", TERMS_SQL + """
+SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS tfidf FROM w""")
+def q_tfidf(spark, sf_dir):
+    """M2: long-form L2-normalised TF-IDF of every document on the fitted vocabulary."""
+    d = table(spark, sf_dir, "documents")
+    dt = doc_terms(d, "doc_id", "text")
+    v = fit_vocabulary(d, "doc_id", "text", terms=dt)
+    return tfidf(dt, v).select("doc_id", "term", F.round("tfidf", 6).alias("tfidf"))
