@@ -1 +1,105 @@
-"""Registered queries (filled in below)."""
+"""Registered model queries (M3-M10, E18, E19): rows-only checks.
+
+Model fits are iterative optimisations, so there is no SQL oracle; the
+tests check determinism (same seed, same model), save/load equality and
+that unseen terms are ignored.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from mailcase.functions.labels import (BINARY, PRIORITY5, TYPE4, binary_label, compose_text,
+                                       priority5_label, type4_label)
+from mailcase.operators import metrics as M
+from mailcase.operators import models as ML
+from mailcase.operators.sampling import in_sample
+from mailcase.plans.prepare import prepare_cases
+from mailcase.plans.registry import query
+from mailcase.sources.tables import email_cases
+
+
+def model_cases(spark, sf_dir):
+    """Prepared cases with text, the three label columns and split flags."""
+    p = prepare_cases(email_cases(spark, sf_dir))
+    return p.select(
+        "case_id", "Subject", "TextBody", "Complaint",
+        compose_text("Subject", "TextBody").alias("text"),
+        binary_label("Complaint").alias("label_b"),
+        type4_label("Complaint_type").alias("label_t"),
+        priority5_label("Priority").alias("label_p"),
+        in_sample("case_id", 0.8, 42).alias("is_train"),
+        in_sample("case_id", 0.1, 42, salt="holdout").alias("is_eval"))
+
+
+def _gbt(spark, sf_dir):
+    c = model_cases(spark, sf_dir)
+    train = c.where("is_train")
+    return c, ML.train_gbt(train, "case_id", "text", "label_b", validation="is_eval")
+
+
+@query("gbt_scores")
+def q_gbt_scores(spark, sf_dir):
+    """M4/M5 + M9 + E19: boosted trees with early stopping, test-split prediction table."""
+    c, model = _gbt(spark, sf_dir)
+    test = c.where(~F.col("is_train"))
+    scored = ML.score(model, test, BINARY, keep=["case_id"])
+    return ML.prediction_table(scored, test, "case_id", label="label_b")
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    """Top 20 terms of the boosted-tree model."""
+    _, model = _gbt(spark, sf_dir)
+    return ML.feature_importance(model, 20)
+
+
+@query("lr_priority_report")
+def q_lr_priority_report(spark, sf_dir):
+    """M7 + E7: class-weighted multinomial LR on 5 priorities, report on the test split."""
+    c = model_cases(spark, sf_dir)
+    model = ML.train_logistic(c.where("is_train"), "case_id", "text", "label_p", PRIORITY5,
+                              weighted=True)
+    scored = ML.score(model, c.where(~F.col("is_train")), PRIORITY5, keep=["case_id", "label_p"])
+    return M.classification_report(scored, "label_p", "pred", PRIORITY5, digits=5)
+
+
+@query("lr_complaint_type_report")
+def q_lr_type_report(spark, sf_dir):
+    """M7 on complaints only: 4 complaint types, report on the test split."""
+    c = model_cases(spark, sf_dir).where("Complaint")
+    model = ML.train_logistic(c.where("is_train"), "case_id", "text", "label_t", TYPE4)
+    scored = ML.score(model, c.where(~F.col("is_train")), TYPE4, keep=["case_id", "label_t"])
+    return M.classification_report(scored, "label_t", "pred", TYPE4, digits=5)
+
+
+@query("lr_binary_roc")
+def q_lr_binary_roc(spark, sf_dir):
+    """M6 + E10/E13: binary LR, test ROC AUC and average precision."""
+    c = model_cases(spark, sf_dir)
+    model = ML.train_logistic(c.where("is_train"), "case_id", "text", "label_b", BINARY)
+    s = ML.score(model, c.where(~F.col("is_train")), BINARY, keep=["label_b"]).select(
+        F.col("label_b").alias("is_pos"), F.element_at("probs", 2).alias("score"))
+    auc = M.roc_auc(s, "is_pos", "score").select(F.lit("roc_auc").alias("metric"),
+                                                F.col("roc_auc").alias("value"))
+    ap = M.average_precision(s, "is_pos", "score").select(
+        F.lit("average_precision").alias("metric"), F.col("average_precision").alias("value"))
+    return auc.unionByName(ap)
+
+
+@query("mtl_metrics")
+def q_mtl_metrics(spark, sf_dir):
+    """M8 + E6: shared features, binary and type heads, joint metrics on the test split."""
+    c = model_cases(spark, sf_dir)
+    hb, hm = ML.train_two_heads(c.where("is_train"), "case_id", "text", "label_b", "label_t",
+                                TYPE4)
+    test = c.where(~F.col("is_train"))
+    from pyspark.ml.functions import vector_to_array
+
+    # Binomial LR: rawPrediction = (-margin, margin); the margin is the logit.
+    b = hb.transform(test).select("case_id", "label_b", "label_t",
+                                  F.element_at(vector_to_array("raw_b"), 2).alias("logit_b"))
+    m = ML.score(hm, test, TYPE4, keep=["case_id"])
+    j = b.join(m, "case_id")
+    return M.joint_metrics(j, bin_label="label_b", bin_logit="logit_b", mc_label="label_t",
+                           mc_pred="pred", label_set=TYPE4)
