@@ -204,8 +204,11 @@ def cumulative_counts(df: DataFrame, is_pos: str, score: str, by: Sequence[str]
     by = list(by)
     counts = score_counts(df, is_pos, score, by)
     splits = _score_buckets(counts, score, n_buckets)
-    b = Bucketizer(splits=splits, inputCol=score, outputCol="_b", handleInvalid="keep")
-    cb = b.transform(counts)
+    if len(splits) > 2:
+        b = Bucketizer(splits=splits, inputCol=score, outputCol="_b", handleInvalid="keep")
+        cb = b.transform(counts)
+    else:
+        cb = counts.withColumn("_b", F.lit(0.0))
     # Bucket totals: at most groups x buckets rows.
     tot = cb.groupBy(*by, "_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     above = Window.partitionBy(*by).orderBy(F.col("_b").desc()).rowsBetween(
