@@ -31,9 +31,14 @@ def email_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     Schema: case_id BIGINT, Subject, TextBody, Priority, Type_of_Complaint,
     lang, ParentId (all strings nullable except lang, ParentId).
     """
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    lab = table(spark, sf_dir, "labels").select(
-        "doc_id", "quality", "toxic", F.lit(True).alias("_labelled"))
+    return cases_from(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def cases_from(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """The ``email_cases`` columns from a documents frame (batch or streaming)
+    left-joined to the labels table."""
+    d = documents.select("doc_id", "text", "lang", "source")
+    lab = labels.select("doc_id", "quality", "toxic", F.lit(True).alias("_labelled"))
     j = d.join(lab, "doc_id", "left")
     k = F.col("doc_id")
     ks = k.cast("string")
