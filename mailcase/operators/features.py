@@ -81,7 +81,7 @@ def tfidf(terms: DataFrame, vocab: DataFrame, key: str = "doc_id",
 # ------------------------------------------------------------ MLlib featurizer
 
 def _terms_sql(text: str, bigrams: bool) -> str:
-    toks = f"regexp_extract_all(lower(coalesce(`{text}`, '')), '{TOKEN_PATTERN}', 0)"
+    toks = f"regexp_extract_all(lower(coalesce(`{text}`, '')), r'{TOKEN_PATTERN}', 0)"
     if not bigrams:
         return f"SELECT *, {toks} AS _terms FROM __THIS__"
     return f"SELECT *, {toks} AS _tokens FROM __THIS__"
