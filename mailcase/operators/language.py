@@ -9,19 +9,27 @@ Spark job from labelled texts:
 * profile: ``c(lang, trigram)``; ``N_lang`` = trigrams seen for the
   language, ``V`` = distinct trigrams over all languages;
 * score: ``sum_t n_t * log((c(lang, t) + 1) / (N_lang + V))``, which is
-  ``sum_{t in profile} n_t * log(c + 1) - T * log(N_lang + V)`` with ``T``
-  the document's trigram count; the top score wins (first language in
+  ``sum over trigram occurrences of log(c + 1) - T * log(N_lang + V)`` with
+  ``T`` the text's trigram count; the top score wins (first language in
   name order on ties). Texts without a trigram get ``unknown``.
 
-Plan: texts are hash-partitioned on their key once; the trigram explode,
-the per-(key, trigram) count and the per-key score aggregate reuse that
-partitioning. The profile is one row per trigram with one column per
-language (pivot over the language list, which is collected: one entry per
-language); the join to it is left to Catalyst/AQE (broadcast when small).
+Plan. Fit: trigram occurrences are counted per (language, trigram) with a
+map-side partial aggregate (no shuffle of text, no join back to the
+labels); the profile (one row per trigram, one count column per language)
+is checkpointed to the shared checkpoint folder, so its row count ``V`` and
+the language totals are read from that small table and the lineage is cut.
+Detect: because the score is a sum over occurrences, no per-(text,
+trigram) count is needed. When ``V`` is at most ``broadcast_max_rows`` the
+profile is broadcast and the plan is scan -> explode -> broadcast join ->
+partial sum per text, whose only shuffle carries one small row per text
+and partition; otherwise occurrences are pre-aggregated per (text,
+trigram) and joined on the trigram by a shuffle join (AQE splits hot
+trigrams).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -33,6 +41,9 @@ from mailcase.functions.text import split_sentences
 UNKNOWN = "unknown"
 NON_LETTERS = r"[^\p{L}]+"
 TRIGRAM = r"(?s)(?=(.{3}))"
+# Profiles up to this many trigrams are broadcast (about 8 + 8 * languages
+# bytes a row: 2M rows and 4 languages is about 80 MB).
+BROADCAST_MAX_ROWS = 2_000_000
 
 
 def normalized(text) -> Column:
@@ -41,18 +52,13 @@ def normalized(text) -> Column:
     return F.when(F.length(core) > 0, F.concat(F.lit(" "), core, F.lit(" ")))
 
 
-def trigram_counts(df: DataFrame, keys: Sequence[str], text: str,
-                   repartition: bool = True) -> DataFrame:
-    """(keys..., trigram, n) over whole texts."""
-    keys = list(keys)
-    d = df.select(*keys, normalized(text).alias("_s"))
-    if repartition:
-        d = d.repartition(*keys)
-    # A zero-width lookahead yields every overlapping trigram in one linear
-    # scan (a substring per position would rescan the UTF-8 text each time).
-    grams = F.regexp_extract_all(F.col("_s"), F.lit(TRIGRAM), 1)
-    g = d.where(F.col("_s").isNotNull()).select(*keys, F.explode(grams).alias("trigram"))
-    return g.groupBy(*keys, "trigram").agg(F.count(F.lit(1)).alias("n"))
+def trigrams(text) -> Column:
+    """Every overlapping trigram of the normalised text (null for no letters).
+
+    A zero-width lookahead yields them in one linear scan (a substring per
+    position would rescan the UTF-8 text each time).
+    """
+    return F.regexp_extract_all(normalized(text), F.lit(TRIGRAM), 1)
 
 
 @dataclass
@@ -60,43 +66,56 @@ class LanguageModel:
     languages: list[str]
     profile: DataFrame          # trigram, one log(c + 1) column per language
     log_norm: dict[str, float]  # language -> log(N_lang + V)
+    n_trigrams: int             # V: rows of the profile
+    broadcast_max_rows: int = BROADCAST_MAX_ROWS
 
     def detect(self, df: DataFrame, keys: Sequence[str], text: str,
-               output: str = "detected", repartition: bool = True) -> DataFrame:
-        """F16: (keys..., detected) for every row of ``df``."""
+               output: str = "detected") -> DataFrame:
+        """F16: (keys..., detected) for every row of ``df``; ``keys`` must be unique."""
         keys = list(keys)
-        tc = trigram_counts(df, keys, text, repartition)
-        j = tc.join(self.profile, "trigram", "left")
-        aggs = [F.sum("n").alias("_T")] + [
-            F.sum(F.col("n") * F.coalesce(F.col(f"_l{i}"), F.lit(0.0))).alias(f"_s{i}")
-            for i in range(len(self.languages))]
+        occ = df.select(*keys, F.explode_outer(trigrams(text)).alias("trigram"))
+        lcols = [f"_l{i}" for i in range(len(self.languages))]
+        if self.n_trigrams <= self.broadcast_max_rows:
+            j = occ.join(F.broadcast(self.profile), "trigram", "left")
+            n = F.when(F.col("trigram").isNotNull(), F.lit(1)).otherwise(F.lit(0))
+        else:
+            pre = occ.groupBy(*keys, "trigram").agg(F.count("trigram").alias("_n"))
+            j = pre.join(self.profile, "trigram", "left")
+            n = F.col("_n")
+        aggs = [F.sum(n).alias("_T")] + [
+            F.sum(n * F.coalesce(F.col(c), F.lit(0.0))).alias(f"_s{i}")
+            for i, c in enumerate(lcols)]
         s = j.groupBy(*keys).agg(*aggs)
         cand = F.array(*[
             F.struct((F.col(f"_s{i}") - F.col("_T") * F.lit(self.log_norm[lg])).alias("score"),
                      F.lit(-i).alias("neg_rank"), F.lit(lg).alias("lang"))
             for i, lg in enumerate(self.languages)])
-        scored = s.select(*keys, F.array_max(cand)["lang"].alias(output))
-        # Rows without a trigram (null, empty, no letters) are absent above.
-        base = df.select(*keys).distinct() if len(keys) > 1 else df.select(*keys)
-        return base.join(scored, keys, "left").select(
-            *keys, F.coalesce(F.col(output), F.lit(UNKNOWN)).alias(output))
-
-
-def fit_language_model(train: DataFrame, key: str, text: str, lang: str) -> LanguageModel:
-    """Learn trigram profiles from labelled texts (one Spark job per step)."""
-    tc = trigram_counts(train.select(key, text, lang), [key], text)
-    labelled = tc.join(train.select(key, lang), key)
-    counts = labelled.groupBy(lang, "trigram").agg(F.sum("n").alias("c"))
-    # One row per language (a handful): names and trigram totals.
-    totals = dict(counts.groupBy(lang).agg(F.sum("c")).collect())
-    languages = sorted(totals)
-    vocab = counts.select("trigram").distinct().count()
-    import math
-    log_norm = {lg: math.log(totals[lg] + vocab) for lg in languages}
-    wide = counts.groupBy("trigram").pivot(lang, languages).agg(F.first(F.log1p("c")))
-    profile = wide.select("trigram", *[F.col(f"`{lg}`").alias(f"_l{i}")
-                                       for i, lg in enumerate(languages)])
-    return LanguageModel(languages, profile, log_norm)
+        return s.select(*keys, F.when(F.col("_T") > 0, F.array_max(cand)["lang"])
+                        .otherwise(F.lit(UNKNOWN)).alias(output))
+
+
+def fit_language_model(train: DataFrame, key: str, text: str, lang: str, *,
+                       broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> LanguageModel:
+    """Learn trigram profiles from labelled texts (``key`` kept for the API)."""
+    from mailcase.session import ensure_checkpoint_dir
+
+    # The language list: one value per language, read from one column.
+    languages = sorted(r[0] for r in train.select(lang).where(F.col(lang).isNotNull())
+                       .distinct().collect())
+    occ = train.where(F.col(lang).isNotNull()).select(
+        lang, F.explode(trigrams(text)).alias("trigram"))
+    counts = occ.groupBy(lang, "trigram").agg(F.count(F.lit(1)).alias("c"))
+    wide = counts.groupBy("trigram").pivot(lang, languages).agg(F.first("c"))
+    ensure_checkpoint_dir(train.sparkSession)
+    wide = wide.select("trigram", *[F.coalesce(F.col(f"`{lg}`"), F.lit(0)).alias(f"_c{i}")
+                                    for i, lg in enumerate(languages)]).checkpoint()
+    row = wide.agg(F.count(F.lit(1)).alias("V"),
+                   *[F.sum(f"_c{i}").alias(f"N{i}") for i in range(len(languages))]).first()
+    v = row["V"]
+    log_norm = {lg: math.log(row[f"N{i}"] + v) for i, lg in enumerate(languages)}
+    profile = wide.select("trigram", *[F.log1p(f"_c{i}").alias(f"_l{i}")
+                                       for i in range(len(languages))])
+    return LanguageModel(languages, profile, log_norm, v, broadcast_max_rows)
 
 
 def sentence_languages(df: DataFrame, key: str, text: str, model: LanguageModel
