@@ -43,18 +43,38 @@ def class_grid(df_or_spark, label_set: LabelSet) -> DataFrame:
     return spark.createDataFrame(rows, "true_id int, true_name string, pred_id int, pred_name string")
 
 
+CM_SCHEMA = "true_id int, true_name string, pred_id int, pred_name string, n bigint"
+
+
+def _cm_frame(spark, counts: dict, label_set: LabelSet) -> DataFrame:
+    """The zero-filled C x C table from ``{(true_id, pred_id): n}`` (a local relation)."""
+    rows = [(i, a, j, b, int(counts.get((i, j), 0)))
+            for i, a in enumerate(label_set.classes) for j, b in enumerate(label_set.classes)]
+    return spark.createDataFrame(rows, CM_SCHEMA)
+
+
+def _in_set(c: Column, k: int) -> Column:
+    """Class ids of the label set kept, other values -1, null stays null."""
+    return F.when(c.isNull(), F.lit(None).cast("int")).when(c.between(0, k - 1), c).otherwise(-1)
+
+
 def confusion_matrix(df: DataFrame, label: str, pred: str, label_set: LabelSet) -> DataFrame:
     """(true_id, true_name, pred_id, pred_name, n), zero-filled C x C grid.
 
     Rows are the true class, columns the predicted one. Pairs outside the
     label set are dropped, as with an explicit ``labels=`` list.
+
+    The input is scanned once: a partially aggregated count per (true,
+    predicted) pair inside the label set, at most C*C rows, is collected and
+    every derived table (P/R/F1, averages, report) is computed from that
+    small local table, so a report never re-runs the predictions' plan.
     """
-    counts = df.groupBy(F.col(label).cast("int").alias("true_id"),
-                        F.col(pred).cast("int").alias("pred_id")).agg(
-        F.count(F.lit(1)).alias("n"))
-    return (class_grid(df, label_set).join(F.broadcast(counts), ["true_id", "pred_id"], "left")
-            .select("true_id", "true_name", "pred_id", "pred_name",
-                    F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
+    k = len(label_set)
+    t, p = F.col(label).cast("int"), F.col(pred).cast("int")
+    rows = (df.where(t.between(0, k - 1) & p.between(0, k - 1))
+            .groupBy(t.alias("t"), p.alias("p")).agg(F.count(F.lit(1)).alias("n"))
+            .collect())  # at most C*C rows
+    return _cm_frame(df.sparkSession, {(r["t"], r["p"]): r["n"] for r in rows}, label_set)
 
 
 def accuracy(df: DataFrame, label: str, pred: str) -> DataFrame:
@@ -119,22 +139,43 @@ def f1_scores(df: DataFrame, label: str, pred: str, label_set: LabelSet,
 def joint_metrics(df: DataFrame, *, bin_label: str, bin_logit: str, mc_label: str,
                   mc_pred: str, label_set: LabelSet) -> DataFrame:
     """(metric, value) for both heads: accuracy and F1 of the binary head
-    (sigmoid >= 0.5), accuracy and weighted F1 of the multiclass head."""
+    (sigmoid >= 0.5), accuracy and weighted F1 of the multiclass head.
+
+    One scan: counts per (binary truth, binary prediction, match flag,
+    multiclass truth, multiclass prediction, match flag), with ids outside
+    the label sets folded to -1 (at most (2+2)^2 (C+2)^2 rows), collected;
+    accuracies and both confusion tables come from those counts.
+    """
     from mailcase.functions.labels import BINARY
     from mailcase.functions.scores import sigmoid_positive
 
-    x = df.select(F.col(bin_label).cast("int").alias("yb"),
-                  sigmoid_positive(F.col(bin_logit)).alias("pb"),
-                  F.col(mc_label).cast("int").alias("ym"), F.col(mc_pred).cast("int").alias("pm"))
-    acc = x.agg(F.avg((F.col("yb") == F.col("pb")).cast("double")).alias("accuracy_binary"),
-                F.avg((F.col("ym") == F.col("pm")).cast("double")).alias("accuracy_multiclass")
-                ).selectExpr("stack(2, 'accuracy_binary', accuracy_binary, "
-                             "'accuracy_multiclass', accuracy_multiclass) AS (metric, value)")
-    b = per_class_prf(x, "yb", "pb", BINARY).where("class_id = 1").select(
+    yb, pb = F.col(bin_label).cast("int"), sigmoid_positive(F.col(bin_logit)).cast("int")
+    ym, pm = F.col(mc_label).cast("int"), F.col(mc_pred).cast("int")
+    k = len(label_set)
+    rows = df.groupBy(_in_set(yb, 2).alias("yb"), _in_set(pb, 2).alias("pb"),
+                      (yb == pb).alias("eb"), _in_set(ym, k).alias("ym"),
+                      _in_set(pm, k).alias("pm"), (ym == pm).alias("em")).agg(
+        F.count(F.lit(1)).alias("n")).collect()
+    spark = df.sparkSession
+
+    def acc(flag):
+        den = sum(r["n"] for r in rows if r[flag] is not None)
+        return sum(r["n"] for r in rows if r[flag]) / den if den else None
+
+    def cm(t, p, ls):
+        c: dict = {}
+        for r in rows:
+            if r[t] is not None and r[p] is not None and r[t] >= 0 and r[p] >= 0:
+                c[(r[t], r[p])] = c.get((r[t], r[p]), 0) + r["n"]
+        return _cm_frame(spark, c, ls)
+
+    head = spark.createDataFrame([("accuracy_binary", acc("eb")),
+                                  ("accuracy_multiclass", acc("em"))], "metric string, value double")
+    b = prf_from_confusion(cm("yb", "pb", BINARY)).where("class_id = 1").select(
         F.lit("f1_binary").alias("metric"), F.col("f1").alias("value"))
-    m = averages(per_class_prf(x, "ym", "pm", label_set)).select(
+    m = averages(prf_from_confusion(cm("ym", "pm", label_set))).select(
         F.lit("f1_multiclass").alias("metric"), F.col("weighted_f1").alias("value"))
-    return acc.unionByName(b).unionByName(m)
+    return head.unionByName(b).unionByName(m)
 
 
 def classification_report(df: DataFrame, label: str, pred: str, label_set: LabelSet,
@@ -201,8 +242,11 @@ def cumulative_counts(df: DataFrame, is_pos: str, score: str, by: Sequence[str]
                       n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """For each distinct score (per group): pos, neg, tp, fp (counts at or above
     the score) and the group totals P, N."""
+    from mailcase.session import materialize
+
     by = list(by)
-    counts = score_counts(df, is_pos, score, by)
+    # Read by the quantile job and by two branches below: computed once.
+    counts = materialize(score_counts(df, is_pos, score, by))
     splits = _score_buckets(counts, score, n_buckets)
     if len(splits) > 2:
         b = Bucketizer(splits=splits, inputCol=score, outputCol="_b", handleInvalid="keep")

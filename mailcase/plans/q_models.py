@@ -16,6 +16,7 @@ from mailcase.operators import models as ML
 from mailcase.operators.sampling import in_sample
 from mailcase.plans.prepare import prepare_cases
 from mailcase.plans.registry import query
+from mailcase.session import materialize
 from mailcase.sources.tables import email_cases
 
 
@@ -60,7 +61,8 @@ def q_lr_priority_report(spark, sf_dir):
     c = model_cases(spark, sf_dir)
     model = ML.train_logistic(c.where("is_train"), "case_id", "text", "label_p", PRIORITY5,
                               weighted=True)
-    scored = ML.score(model, c.where(~F.col("is_train")), PRIORITY5, keep=["case_id", "label_p"])
+    scored = materialize(ML.score(model, c.where(~F.col("is_train")), PRIORITY5,
+                                  keep=["case_id", "label_p"]))
     return M.classification_report(scored, "label_p", "pred", PRIORITY5, digits=5)
 
 
@@ -69,7 +71,8 @@ def q_lr_type_report(spark, sf_dir):
     """M7 on complaints only: 4 complaint types, report on the test split."""
     c = model_cases(spark, sf_dir).where("Complaint")
     model = ML.train_logistic(c.where("is_train"), "case_id", "text", "label_t", TYPE4)
-    scored = ML.score(model, c.where(~F.col("is_train")), TYPE4, keep=["case_id", "label_t"])
+    scored = materialize(ML.score(model, c.where(~F.col("is_train")), TYPE4,
+                                  keep=["case_id", "label_t"]))
     return M.classification_report(scored, "label_t", "pred", TYPE4, digits=5)
 
 
@@ -78,8 +81,8 @@ def q_lr_binary_roc(spark, sf_dir):
     """M6 + E10/E13: binary LR, test ROC AUC and average precision."""
     c = model_cases(spark, sf_dir)
     model = ML.train_logistic(c.where("is_train"), "case_id", "text", "label_b", BINARY)
-    s = ML.score(model, c.where(~F.col("is_train")), BINARY, keep=["label_b"]).select(
-        F.col("label_b").alias("is_pos"), F.element_at("probs", 2).alias("score"))
+    s = materialize(ML.score(model, c.where(~F.col("is_train")), BINARY, keep=["label_b"]).select(
+        F.col("label_b").alias("is_pos"), F.element_at("probs", 2).alias("score")))
     auc = M.roc_auc(s, "is_pos", "score").select(F.lit("roc_auc").alias("metric"),
                                                 F.col("roc_auc").alias("value"))
     ap = M.average_precision(s, "is_pos", "score").select(
@@ -100,6 +103,6 @@ def q_mtl_metrics(spark, sf_dir):
     b = hb.transform(test).select("case_id", "label_b", "label_t",
                                   F.element_at(vector_to_array("raw_b"), 2).alias("logit_b"))
     m = ML.score(hm, test, TYPE4, keep=["case_id"])
-    j = b.join(m, "case_id")
+    j = materialize(b.join(m, "case_id"))
     return M.joint_metrics(j, bin_label="label_b", bin_logit="logit_b", mc_label="label_t",
                            mc_pred="pred", label_set=TYPE4)

@@ -54,3 +54,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage.
+
+    A reliable checkpoint in the shared folder named by
+    ``spark.checkpoint.dir``: later reads scan the written rows instead of
+    recomputing the plan, and the data survives lost executors. Use it for
+    results that several branches of a plan read (predictions before a
+    metric suite, per-score counts before the curve windows).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
