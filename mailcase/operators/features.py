@@ -28,6 +28,8 @@ from mailcase.functions.tokens import TOKEN_PATTERN, ngrams, uni_bi_grams, word_
 MIN_DF = 2
 MAX_DF = 0.95
 MAX_FEATURES = 3000
+# Largest vocabulary the MLlib featurizer holds on the driver (terms + idf).
+MAX_COLLECTED_VOCABULARY = 1 << 18
 
 
 def doc_terms(docs: DataFrame, key: str = "doc_id", text: str = "text",
@@ -103,6 +105,12 @@ def featurizer(vocab: DataFrame, text: str = "text", output: str = "features",
     fitted vocabulary. The vocabulary is collected to the driver: it is
     bounded by ``max_features``.
     """
+    # Guard the collect: a vocabulary without a max_features cap can grow with
+    # the corpus and must not pass through the driver.
+    size = vocab.count()
+    if size > MAX_COLLECTED_VOCABULARY:
+        raise ValueError(f"vocabulary has {size} terms; cap it with max_features "
+                         f"(at most {MAX_COLLECTED_VOCABULARY}) or use the long form tfidf()")
     rows = vocab.select("term", "idf").orderBy("term").collect()
     terms = [r["term"] for r in rows]
     idf = Vectors.dense([r["idf"] for r in rows])
