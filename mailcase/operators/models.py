@@ -33,13 +33,22 @@ def _with_features(train: DataFrame, key: str, text: str, max_features: int):
     return fit_featurizer(train, key, text, max_features=max_features)
 
 
+def _featurized(feat: PipelineModel, train: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The training rows as (labels..., features), computed once: every later
+    pass (class counts, the estimator's own passes, a second head) reads the
+    checkpointed vectors instead of re-cleaning and re-tokenising the text."""
+    from mailcase.session import materialize
+
+    return materialize(feat.transform(train).select(*cols, "features"))
+
+
 def train_gbt(train: DataFrame, key: str, text: str, label: str, *,
               validation: str | None = None,
               max_features: int = MAX_FEATURES, params: dict | None = None) -> PipelineModel:
     """M4 + M5: binary boosted trees on TF-IDF; ``validation`` names a boolean
     column marking the early-stopping evaluation rows."""
     feat, _ = _with_features(train, key, text, max_features)
-    x = feat.transform(train)
+    x = _featurized(feat, train, [label] + ([validation] if validation else []))
     p = dict(GBT_PARAMS, **(params or {}))
     gbt = GBTClassifier(featuresCol="features", labelCol=label, **p)
     if validation:
@@ -54,7 +63,7 @@ def train_logistic(train: DataFrame, key: str, text: str, label: str, label_set:
     """M6 / M7: logistic regression (multinomial when more than two classes);
     ``weighted`` adds A8 inverse-frequency class weights as ``weightCol``."""
     feat, _ = _with_features(train, key, text, max_features)
-    x = feat.transform(train)
+    x = _featurized(feat, train, [label])
     lr = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter,
                             regParam=reg, family="multinomial" if len(label_set) > 2 else "auto")
     if weighted:
@@ -72,7 +81,7 @@ def train_two_heads(train: DataFrame, key: str, text: str, bin_label: str, mc_la
                     max_iter: int = 100) -> tuple[PipelineModel, PipelineModel]:
     """M8: one shared feature stage, two logistic heads (binary and multiclass)."""
     feat, _ = _with_features(train, key, text, max_features)
-    x = feat.transform(train)
+    x = _featurized(feat, train, [bin_label, mc_label])
     hb = LogisticRegression(featuresCol="features", labelCol=bin_label, maxIter=max_iter,
                             predictionCol="pred_b", probabilityCol="prob_b",
                             rawPredictionCol="raw_b").fit(x)
