@@ -20,7 +20,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, Normalizer,
                                 SQLTransformer)
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailcase.functions.tokens import TOKEN_PATTERN, ngrams, uni_bi_grams, word_tokens
@@ -128,6 +128,31 @@ def featurizer(vocab: DataFrame, text: str = "text", output: str = "features",
     return PipelineModel(stages)
 
 
+_VECTOR_JSON = ("struct<v: struct<type: tinyint, size: int, indices: array<int>, "
+                "values: array<double>>>")
+
+
+def vector_struct(vec) -> Column:
+    """An MLlib vector as struct<type, size, indices, values> (its JSON form)."""
+    v = F.col(vec) if isinstance(vec, str) else vec
+    return F.from_json(F.to_json(F.struct(v.alias("v"))), _VECTOR_JSON)["v"]
+
+
+def vector_entries(vec, parsed: bool = False) -> Column:
+    """array<struct<i, x>> of the stored non-zero entries of an MLlib vector.
+
+    The struct form keeps the sparse layout, so a sparse vector is not
+    expanded to a dense array; a dense vector gets indices 0..n-1. Pass a
+    column already projected with ``vector_struct`` as ``parsed=True`` so the
+    conversion runs once per row.
+    """
+    s = (F.col(vec) if isinstance(vec, str) else vec) if parsed else vector_struct(vec)
+    idx = F.when(s["type"] == 0, s["indices"]).otherwise(
+        F.sequence(F.lit(0), F.size(s["values"]) - 1))
+    pairs = F.arrays_zip(idx.alias("i"), s["values"].alias("x"))
+    return F.filter(pairs, lambda e: e["x"] != 0.0)
+
+
 def fit_featurizer(docs: DataFrame, key: str, text: str, *, output: str = "features",
                    min_df: float = MIN_DF, max_df: float = MAX_DF,
                    max_features: int = MAX_FEATURES, bigrams: bool = True
@@ -138,4 +163,5 @@ def fit_featurizer(docs: DataFrame, key: str, text: str, *, output: str = "featu
     return featurizer(vocab, text, output, bigrams), vocab
 
 
-__all__ = ["doc_terms", "fit_vocabulary", "tfidf", "featurizer", "fit_featurizer", "ngrams"]
+__all__ = ["doc_terms", "fit_vocabulary", "tfidf", "featurizer", "fit_featurizer", "ngrams",
+           "vector_entries", "vector_struct"]

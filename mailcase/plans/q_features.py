@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from mailcase.operators.features import doc_terms, fit_featurizer, fit_vocabulary, tfidf
+from mailcase.operators.features import (doc_terms, fit_featurizer, fit_vocabulary, tfidf,
+                                         vector_entries, vector_struct)
 from mailcase.plans.registry import query
 from mailcase.sources.tables import table
 
@@ -51,15 +52,10 @@ SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) A
 def q_featurizer_tfidf(spark, sf_dir):
     """M3: the saveable MLlib featurizer (fit once, transform many) gives the
     same weights as the long form; its vectors are listed as (doc, term, tfidf)."""
-    from pyspark.ml.functions import vector_to_array
-
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     feat, _ = fit_featurizer(d, "doc_id", "text")
-    v = feat.transform(d).select("doc_id", vector_to_array("features").alias("v"))
-    # Non-zero entries only, selected with array functions (no per-slot rows).
-    nz = F.filter(F.transform("v", lambda x, i: F.struct(i.alias("i"), x.alias("x"))),
-                  lambda s: s["x"] != 0.0)
-    cells = v.select("doc_id", F.explode(nz).alias("c"))
+    v = feat.transform(d).select("doc_id", vector_struct("features").alias("s"))
+    cells = v.select("doc_id", F.explode(vector_entries("s", parsed=True)).alias("c"))
     # Index -> term: one row per vocabulary term (bounded by max_features).
     terms = spark.createDataFrame(list(enumerate(feat.stages[2].vocabulary)),
                                   "i int, term string")
