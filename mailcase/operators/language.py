@@ -130,13 +130,17 @@ def keep_language(df: DataFrame, key: str, text: str, model: LanguageModel,
                   language: str, output: str = "kept") -> DataFrame:
     """keep the sentences detected as ``language``, rejoined by ``'. '`` in order.
 
-    The per-text collect holds one text's sentences only. Texts with no
-    kept sentence give ``''``; null texts stay null.
+    Only sentence positions travel: detection gives (key, pos, lang); the
+    kept positions of a text (small ints, one text per group) are joined to
+    the text, which is split again and filtered by position with array
+    functions. Texts with no kept sentence give ``''``; null texts stay null.
     """
-    sl = sentence_languages(df, key, text, model).where(F.col("lang") == language)
-    kept = sl.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "sentence")))
-                               .alias("_k"))
-    kept = kept.select(key, F.concat_ws(". ", F.col("_k.sentence")).alias(output))
+    s = df.select(key, F.posexplode(split_sentences(text)).alias("pos", "sentence"))
+    det = model.detect(s, [key, "pos"], "sentence", "_lang")
+    kept = det.where(F.col("_lang") == language).groupBy(key).agg(
+        F.collect_list("pos").alias("_pos"))
+    parts = F.transform(split_sentences(text), lambda x, i: F.struct(i.alias("i"), x.alias("s")))
+    chosen = F.filter(parts, lambda e: F.array_contains(
+        F.coalesce(F.col("_pos"), F.array().cast("array<int>")), e["i"]))
     return df.select(key, text).join(kept, key, "left").select(
-        key, F.when(F.col(text).isNotNull(), F.coalesce(F.col(output), F.lit("")))
-        .alias(output))
+        key, F.when(F.col(text).isNotNull(), F.concat_ws(". ", chosen["s"])).alias(output))
