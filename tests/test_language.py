@@ -1,7 +1,8 @@
 from dataclasses import replace
 
 from conftest import SF_MED
-from mailcase.operators.language import UNKNOWN, fit_language_model, keep_language
+from mailcase.operators.language import (UNKNOWN, fit_language_model, keep_language,
+                                         sentence_languages)
 from mailcase.operators.sampling import in_sample
 from mailcase.sources.tables import table
 
@@ -37,3 +38,13 @@ def test_unknown_and_keep_language(spark):
     assert kept[2] == "" and kept[4] == ""
     assert kept[3] == "the cat sat on the mat"
     assert det[3] in m.languages
+
+
+def test_sentence_languages(spark):
+    m = _model(spark)
+    df = spark.createDataFrame([(7, "the cat sat on the mat. der Hund ist im Haus")],
+                               "doc_id long, text string")
+    rows = sorted((r["pos"], r["sentence"], r["lang"])
+                  for r in sentence_languages(df, "doc_id", "text", m).collect())
+    assert [(p, s) for p, s, _ in rows] == [(0, "the cat sat on the mat"), (1, "der Hund ist im Haus")]
+    assert rows[0][2] == "en" and rows[1][2] == "de"
