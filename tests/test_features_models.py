@@ -108,3 +108,17 @@ def test_gbt_seeded_and_importance(spark):
     assert len(imp) == 10
     keys = [(-r["importance"], r["term"]) for r in imp]
     assert keys == sorted(keys)
+
+
+def test_vector_entries_sparse_and_dense(spark):
+    from pyspark.ml.linalg import Vectors
+
+    df = spark.createDataFrame([(1, Vectors.sparse(6, [1, 4], [0.5, 0.25])),
+                                (2, Vectors.dense([0.0, 2.0, 0.0, 3.0])),
+                                (3, Vectors.sparse(3, [], []))], ["id", "v"])
+    got = {r["id"]: [(e["i"], e["x"]) for e in r["e"]]
+           for r in df.select("id", FT.vector_entries("v").alias("e")).collect()}
+    assert got == {1: [(1, 0.5), (4, 0.25)], 2: [(1, 2.0), (3, 3.0)], 3: []}
+    parsed = df.select("id", FT.vector_struct("v").alias("s")).select(
+        "id", FT.vector_entries("s", parsed=True).alias("e"))
+    assert {r["id"]: [(e["i"], e["x"]) for e in r["e"]] for r in parsed.collect()} == got
