@@ -65,9 +65,8 @@ def summed_table(df: DataFrame, size: int,
     out = np.zeros(size, dtype=dtype)
     # A few segments a partition: the number of segments is fixed by ``size``.
     parts = max(1, min(12, -(-size // segment)))
-    for r in (df.mapInArrow(fill, schema).repartition(parts, "seg")
-              .mapInArrow(add, schema).toLocalIterator()):
-        a = np.frombuffer(r["part"], dtype=name)
+    for r in df.mapInArrow(fill, schema).repartition(parts, "seg").mapInArrow(add, schema).collect():
+        a = np.frombuffer(bytes(r["part"]), dtype=name)
         out[r["seg"] * segment:r["seg"] * segment + len(a)] = a
     return out
 
