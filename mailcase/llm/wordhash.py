@@ -82,25 +82,26 @@ def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray,
 class Words:
     """The words of a run of documents.
 
-    ``starts``/``ends``: byte ranges in ``buf``; ``first``: index of each
-    document's first word (one entry more than documents); ``doc_bytes``:
-    byte range of each document.
+    ``table`` gives each byte a class, 0 outside words; a word is a maximal
+    run of one class inside a document. ``starts``/``ends``: byte ranges in
+    ``buf``; ``first``: index of each document's first word (one entry more
+    than documents).
     """
 
     def __init__(self, buf: np.ndarray, offsets: np.ndarray, table: np.ndarray):
         self.buf, self.offsets = buf, offsets
         lo, hi = int(offsets[0]), int(offsets[-1])
-        m = np.zeros(hi - lo + 2, dtype=bool)
-        m[1:-1] = table[buf[lo:hi]]
-        begin = m[1:-1] & ~m[:-2]
+        m = np.zeros(hi - lo + 2, dtype=np.uint8)
+        m[1:-1] = table.view(np.uint8)[buf[lo:hi]]
+        own = m[1:-1] != 0
         cut = offsets[1:-1] - lo          # a document's first byte begins a word
         cut = cut[cut < hi - lo]
-        begin[cut] = m[1:-1][cut]
+        begin = own & (m[1:-1] != m[:-2])
+        begin[cut] = own[cut]
+        last = own & (m[1:-1] != m[2:])
+        before = cut[cut > 0] - 1
+        last[before] = own[before]
         self.starts = np.flatnonzero(begin) + lo
-        last = m[1:-1] & ~m[2:]
-        before = cut - 1
-        before = before[before >= 0]
-        last[before] = m[1:-1][before]
         self.ends = np.flatnonzero(last) + lo + 1
         self.first = np.searchsorted(self.starts, offsets, "left")
 
@@ -168,10 +169,6 @@ def gram_hashes(h: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
     return mix(acc)
 
 
-def string_column(batch: pa.RecordBatch, name: str) -> pa.Array:
-    return batch.column(batch.schema.get_field_index(name))
-
-
 def signed(x: np.ndarray) -> np.ndarray:
     """uint64 hashes as Spark's signed longs (same bits)."""
     return x.view(np.int64)
