@@ -190,7 +190,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
                   item: str = "item_id", item_text: str = "text", *, window: int = WINDOW,
                   shingle: int = SHINGLE, share: int = 20,
                   max_windows: int = MAX_WINDOWS) -> DataFrame:
-    """(key, n_words, n_hit, items, contaminated) of every document.
+    """(key, text_hash, n_words, n_hit, items, contaminated) of every document.
 
     Words are runs of ASCII letters, digits and non-ASCII characters, A-Z
     lower-cased. A word inside any occurrence of an item window is hit;
@@ -228,6 +228,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     g = hits.groupBy("doc", "tag").agg(
         F.max("n_words").alias("n_words"), F.flatten(F.collect_list("ranges")).alias("ranges"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    g = g.select(F.col("doc").alias(key), "n_words", _covered(F.col("ranges")).alias("n_hit"), "items")
+    g = g.select(F.col("doc").alias(key), F.col("tag").alias("text_hash"), "n_words", _covered(F.col("ranges")).alias("n_hit"), "items")
     return g.withColumn("contaminated", (F.col("n_hit") > 0)
                         & (F.lit(share) * F.col("n_hit") >= F.col("n_words")))

@@ -11,10 +11,13 @@ from mailcase.llm.decontamination import decontaminate
 from mailcase.llm.exact_dedup import exact_dedup
 from mailcase.llm.line_dedup import line_dedup
 from mailcase.llm.mixing import mix
+from mailcase.llm.near_dedup import near_dedup
+from mailcase.llm.quality import quality_scores
 from mailcase.llm.secrets import secret_scan
 from mailcase.llm.substring_dedup import substring_dedup
 from mailcase.llm.tables import read_table
 from mailcase.llm.token_counts import token_counts
+from mailcase.llm.toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -78,3 +81,20 @@ def op10_line_dedup(spark, sf_dir):
     r = line_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return r.select("row.doc_id", "n_lines", "n_dropped",
                     F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op4_quality(spark, sf_dir):
+    return quality_scores(read_table(spark, sf_dir, "documents"),
+                          read_table(spark, sf_dir, "labels")).drop("text_hash")
+
+
+@query
+def op7_toxicity(spark, sf_dir):
+    return toxicity_scores(read_table(spark, sf_dir, "documents"),
+                           read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_near_dedup(spark, sf_dir):
+    return near_dedup(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id")
