@@ -1,4 +1,4 @@
-"""Registered queries of the training-data operators and their DuckDB SQL."""
+"""Registered queries of the training-data operators (their SQL: ``oracles``)."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from mailcase.llm.exact_dedup import exact_dedup
 from mailcase.llm.line_dedup import line_dedup
 from mailcase.llm.mixing import mix
 from mailcase.llm.near_dedup import near_dedup
+from mailcase.llm.oracles import ORACLE
 from mailcase.llm.quality import quality_scores
 from mailcase.llm.secrets import secret_scan
 from mailcase.llm.substring_dedup import substring_dedup
@@ -19,8 +20,9 @@ from mailcase.llm.tables import read_table
 from mailcase.llm.token_counts import token_counts
 from mailcase.llm.toxicity import toxicity_scores
 
+__all__ = ["ORACLE", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(fn):
