@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailcase.llm.components import components
-from mailcase.llm.tables import stored, summed_table
+from mailcase.llm.tables import same, stored, summed_table
 from mailcase.llm.wordhash import ALNUM, LOWER, Words, gram_hashes, mix, pieces, range_hashes, signed
 
 SHINGLE = 5
@@ -159,7 +159,7 @@ def _vectors(n: int):
         for b in batches:
             for i, j, buf, off in pieces(b.column("text")):
                 w = Words(buf, off, ALNUM)
-                doc, x, tf, h = _shingles(w, n)
+                doc, x, tf, _ = _shingles(w, n)
                 if not len(x):
                     continue
                 s32 = np.repeat((x & np.uint64(0xFFFFFFFF)).astype(np.uint32), tf).view(np.int32)
@@ -168,7 +168,6 @@ def _vectors(n: int):
                 d = doc[start]
                 yield pa.RecordBatch.from_pydict({
                     "node": b.column("node").take(pa.array(d + i)),
-                    "d1": pa.array(signed(range_hashes(h, w.first[d], w.first[d + 1]))),
                     "sh": pa.ListArray.from_arrays(
                         pa.array(np.append(size[start], size[-1]).astype(np.int32)), pa.array(s32))})
     return run
@@ -242,18 +241,17 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: i
     # One node for each distinct word sequence.
     nodes = stored(signed_rows.groupBy("d1", "d2").agg(
         F.coalesce(F.min("doc"), _keyless(F.first("d1"), kind)).alias("node"),
-        F.first("bands").alias("bands")), "nodes")
-    buckets = nodes.select("node", "d1", F.posexplode("bands").alias("band", "h"))
+        F.min(F.struct("doc", "tag")).alias("at"), F.first("bands").alias("bands")), "nodes")
+    buckets = nodes.select("node", "at", F.posexplode("bands").alias("band", "h"))
     tops = stored(buckets.groupBy("band", "h").agg(F.min("node").alias("top"),
                                                    F.count(F.lit(1)).alias("n"))
                   .where("n > 1").select("band", "h", "top"), "buckets")
     shared = stored(buckets.join(tops, ["band", "h"]), "shared")
-    need = stored(shared.select("node", "d1").distinct(), "candidates")
-    texts = src.join(need.select("node").distinct(), src["doc"] == F.col("node"))
-    vectors = texts.select("node", "text").mapInArrow(
-        _vectors(n), f"node {kind}, d1 long, sh array<int>")
-    vectors = stored(vectors.join(need, ["node", "d1"], "left_semi").dropDuplicates(["node"])
-                     .select("node", "sh"), "vectors")
+    # The text of one row of each candidate.
+    need = stored(shared.select("node", "at.doc", "at.tag").distinct(), "candidates")
+    texts = src.join(need, same(src, need, ["doc", "tag"])).select("node", "text")
+    vectors = texts.mapInArrow(_vectors(n), f"node {kind}, sh array<int>")
+    vectors = stored(vectors.dropDuplicates(["node"]), "vectors")
 
     def links(pairs: DataFrame) -> DataFrame:
         p = pairs.join(vectors.select(F.col("node").alias("v"), F.col("sh").alias("z")), "v")
