@@ -24,11 +24,10 @@ def components(links: DataFrame) -> DataFrame:
             F.min("label").alias("m"))
         step = labels.join(near, labels["node"] == near["u"]).select(
             "node", "label", F.least("label", "m").alias("new"))
-        step = stored(step, "step")
         up = step.select(F.col("node").alias("_n"), F.col("new").alias("_up"))
+        jump = F.least("new", F.coalesce("_up", "new"))
         jumped = stored(step.join(up, step["new"] == up["_n"], "left").select(
-            "node", F.least("new", F.coalesce("_up", "new")).alias("label"),
-            (F.col("label") != F.least("new", F.coalesce("_up", "new"))).alias("changed")), "labels")
+            step["node"], jump.alias("label"), (F.col("label") != jump).alias("changed")), "labels")
         if jumped.where("changed").isEmpty():
             return jumped.select("node", "label")
         labels = jumped.select("node", "label")

@@ -239,7 +239,7 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
         F.count(F.lit(1)).alias("n"), F.max(place).alias("last")).where(F.col("n") >= min_docs)
         .select("line", "last"), "confirmed")
     drops = (suspects.join(confirmed, "line").where(~place.eqNullSafe(F.col("last")))
-             .groupBy("doc", "tag").agg(F.collect_set("line").alias("drop")))
+             .groupBy("doc", "tag").agg(F.collect_set("line").alias("drop"))).hint("merge")
     j = src.join(drops, same(src, drops, ["doc", "tag"]), "left").select("row", "text", "drop")
     return j.mapInArrow(_drop(min_chars), T.StructType([
         src.schema["row"], T.StructField("n_lines", T.LongType()),

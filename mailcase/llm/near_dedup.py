@@ -7,16 +7,25 @@
    weighted Jaccard similarity of their shingles. ``ROWS`` samples make a band.
 3. Documents with the same word sequence are copies; one node stands for all
    of them. Nodes that share a band are candidates.
-4. First each band bucket's nodes are compared with its smallest node. Then,
-   in buckets that still hold several components, every node outside the
-   largest component there is compared with all nodes of other components,
-   so no candidate link between components is left out, while members of one
-   component (a large group of near copies, say) are never paired again.
+4. First each band bucket's nodes are compared with its hub, the node that
+   shares most bands with others (of edited copies, mostly the original).
+   Then, in buckets that still hold several components, the nodes outside the
+   largest component there are compared with the nodes of other components.
+   Members of one component are never paired again, and a pair is made once,
+   in the first band it shares, if its samples agree often enough for a
+   similarity of 0.8 to be possible (``agreement``) and the prefixes of both
+   have a shingle in common: with shingles ordered by rarity, the first ones
+   that hold a fifth of a text's weight, which similar texts can't all differ
+   in; and the weight outside the shingles that only one text has must allow
+   0.8. A copy with many edits of its own passes neither, so a large group of
+   copies costs a few comparisons a node.
 5. A comparison is exact: the weighted Jaccard similarity of both shingle sets.
 6. Classes are the connected components of the verified links.
 
-With 15 bands of 4 a pair of similarity 0.8 is a candidate with probability
-1 - (1 - 0.8**4)**15 > 0.9999998 ** 1 - 2e-6.
+A pair of similarity 0.8 shares a band of 4 out of 15 with probability
+1 - (1 - 0.8 ** 4) ** 15 = 0.9999985. Of its 60 samples (compared by four bits)
+49 agree on average, and fewer than 65 % with probability 0.001; more similar pairs fail far
+less often. Only links between different components depend on the second.
 """
 
 from __future__ import annotations
@@ -33,9 +42,14 @@ from mailcase.llm.wordhash import ALNUM, LOWER, Words, gram_hashes, mix, pieces,
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 15, 4
+#: Least share of samples that agree in a pair worth comparing.
+AGREE = 0.65
 #: Entries of the hashed document-frequency table.
 BUCKETS = 1 << 18
 SEED = 11
+#: Entries of the table that orders shingles by rarity among open candidates. Any
+#: order gives the same links; a fuller table only prunes less.
+RARITY = 1 << 20
 #: Shingles compared at a time by a verifying task.
 _BLOCK = 1 << 19
 _C2 = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -126,6 +140,27 @@ def _samples(doc, x, weight, k: int, seed: int, tables: _Tables):
     return start, out
 
 
+def _packed(s: np.ndarray) -> pa.Array:
+    """Four bits of each sample, 16 samples in a long."""
+    longs = -(-s.shape[1] // 16)
+    out = np.zeros((len(s), longs), dtype=np.uint64)
+    for i in range(s.shape[1]):
+        out[:, i // 16] |= (s[:, i] & np.uint64(15)) << np.uint64(4 * (i % 16))
+    return pa.FixedSizeListArray.from_arrays(pa.array(signed(out.ravel())), longs).cast(
+        pa.list_(pa.int64()))
+
+
+def _differing(x: str, y: str, k: int) -> Column:
+    """Number of the ``k`` packed samples that differ between two columns."""
+    total = F.lit(0)
+    for i in range(-(-k // 16)):
+        d = F.col(x)[i].bitwiseXOR(F.col(y)[i])
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 2)).bitwiseAND(F.lit(0x1111111111111111))
+        total = total + F.bit_count(d)
+    return total
+
+
 def _sign(idf, n: int, bands: int, rows: int, seed: int):
     def run(batches):
         tables = _Tables()
@@ -149,7 +184,8 @@ def _sign(idf, n: int, bands: int, rows: int, seed: int):
                     "tag": b.column("tag").take(pa.array(d + i)),
                     "d1": pa.array(signed(whole)), "d2": pa.array(signed(again)),
                     "bands": pa.FixedSizeListArray.from_arrays(
-                        pa.array(signed(band.ravel())), bands).cast(pa.list_(pa.int64()))})
+                        pa.array(signed(band.ravel())), bands).cast(pa.list_(pa.int64())),
+                    "drawn": _packed(s)})
     return run
 
 
@@ -173,6 +209,35 @@ def _vectors(n: int):
     return run
 
 
+def _rarity(batches, table):
+    """Occurrences of shingles (hashed) in texts."""
+    for b in batches:
+        sh = b.column(0).flatten().to_numpy().view(np.uint32)
+        for lo in range(0, len(sh), _BLOCK):
+            table += np.bincount(sh[lo:lo + _BLOCK] % RARITY, minlength=RARITY)
+
+
+def _prefix(idf, rarity, threshold: float):
+    """(node, weight, common, prefix): a text's weight, that of the shingles which other
+    texts may have, and the rarest shingles that hold 1 - threshold of the weight."""
+    def run(batches):
+        for b in batches:
+            out, weight, common = [], [], []
+            for row in b.column("sh"):
+                sh, tf = np.unique(row.values.to_numpy().view(np.uint32), return_counts=True)
+                w = tf * idf.value[sh % BUCKETS].astype(float)
+                count = rarity.value[sh % RARITY]
+                weight.append(float(w.sum()))
+                common.append(float(w[count > tf].sum()))
+                order = np.lexsort((sh, count))
+                before = np.cumsum(w[order]) - w[order]
+                # A little more than needed, for rounding.
+                out.append(sh[order][before <= (1 - threshold + 1e-6) * w.sum()].view(np.int32))
+            yield pa.RecordBatch.from_pydict({"node": b.column("node"), "weight": weight,
+                                              "common": common, "prefix": pa.array(out, pa.list_(pa.int32()))})
+    return run
+
+
 def _verify(idf, threshold: float):
     """Keeps the pairs whose weighted Jaccard similarity reaches the threshold."""
     def similar(pa_, pb_, n):
@@ -214,7 +279,7 @@ def _keyless(h: Column, kind: str) -> Column:
 
 def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: int = SHINGLE,
                threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
-               seed: int = SEED) -> DataFrame:
+               agreement: float = AGREE, seed: int = SEED) -> DataFrame:
     """(key, text_hash, class_key, kept) of every row: rows of a class share the
     class key, its smallest key, and the rows with that key are kept.
 
@@ -236,19 +301,24 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: i
     src = src.select("doc", F.hash("text").alias("tag"), "text")
     idf = sc.broadcast(shingle_idf(src, "text", n))
     signed_rows = stored(src.mapInArrow(_sign(idf, n, bands, rows, seed),
-                                        f"doc {kind}, tag int, d1 long, d2 long, bands array<long>"),
-                         "signatures")
+                                        f"doc {kind}, tag int, d1 long, d2 long, bands array<long>, "
+                                        "drawn array<long>"), "signatures")
     # One node for each distinct word sequence.
     nodes = stored(signed_rows.groupBy("d1", "d2").agg(
         F.coalesce(F.min("doc"), _keyless(F.first("d1"), kind)).alias("node"),
-        F.min(F.struct("doc", "tag")).alias("at"), F.first("bands").alias("bands")), "nodes")
+        F.min(F.struct("doc", "tag")).alias("at"), F.first("bands").alias("bands"),
+        F.first("drawn").alias("drawn")), "nodes")
     buckets = nodes.select("node", "at", F.posexplode("bands").alias("band", "h"))
-    tops = stored(buckets.groupBy("band", "h").agg(F.min("node").alias("top"),
-                                                   F.count(F.lit(1)).alias("n"))
-                  .where("n > 1").select("band", "h", "top"), "buckets")
-    shared = stored(buckets.join(tops, ["band", "h"]), "shared")
+    sizes = stored(buckets.groupBy("band", "h").agg(F.count(F.lit(1)).alias("n"))
+                   .where("n > 1"), "buckets")
+    shared = stored(buckets.join(sizes, ["band", "h"]), "shared")
+    ties = shared.groupBy("node").agg(F.sum("n").alias("ties"))
+    hubs = shared.join(ties, "node").groupBy("band", "h").agg(
+        F.max_by("node", F.struct("ties", "node")).alias("hub"))
+    hubs = stored(hubs, "hubs")
     # The text of one row of each candidate.
     need = stored(shared.select("node", "at.doc", "at.tag").distinct(), "candidates")
+    need = need.hint("merge")              # the same plan at every size
     texts = src.join(need, same(src, need, ["doc", "tag"])).select("node", "text")
     vectors = texts.mapInArrow(_vectors(n), f"node {kind}, sh array<int>")
     vectors = stored(vectors.dropDuplicates(["node"]), "vectors")
@@ -259,7 +329,8 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: i
         return stored(p.select("u", "v", "a", "z").mapInArrow(
             _verify(idf, threshold), f"u {kind}, v {kind}"), "verified")
 
-    first = stored(shared.where("node != top").select(F.col("top").alias("u"), F.col("node").alias("v"))
+    first = shared.join(hubs, ["band", "h"]).where("node != hub")
+    first = stored(first.select(F.least("hub", "node").alias("u"), F.greatest("hub", "node").alias("v"))
                    .distinct(), "pairs")
     found = links(first)
     labels = components(found)
@@ -267,19 +338,30 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: i
     # Buckets with several components: every node outside the largest one there.
     own = shared.join(labels, "node", "left").select(
         "band", "h", "node", F.coalesce("label", "node").alias("label"))
-    own = stored(own, "labelled")
     per = own.groupBy("band", "h", "label").agg(F.count(F.lit(1)).alias("n"))
     largest = per.groupBy("band", "h").agg(
-        F.max(F.struct("n", "label"))["label"].alias("largest"),
+        F.max_by("label", F.struct("n", "label")).alias("largest"),
         F.count(F.lit(1)).alias("parts")).where("parts > 1").select("band", "h", "largest")
-    mixed = stored(own.join(largest, ["band", "h"]), "mixed")
-    outside = mixed.where("label != largest").select(
-        "band", "h", F.col("node").alias("u"), F.col("label").alias("of_u"))
-    pairs = outside.join(mixed, ["band", "h"]).where(
-        (F.col("of_u") != F.col("label"))
-        & ((F.col("label") == F.col("largest")) | (F.col("u") < F.col("node"))))
-    pairs = pairs.select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v")).distinct()
-    more = links(pairs.join(first, ["u", "v"], "left_anti"))
+    mixed = stored(own.join(largest, ["band", "h"]), "open")
+    open_ = vectors.join(mixed.select("node").distinct(), "node", "left_semi")
+    rarity = sc.broadcast(summed_table(open_.select("sh"), RARITY, _rarity).astype(np.int32))
+    prefixes = open_.mapInArrow(_prefix(idf, rarity, threshold), f"node {kind}, weight double, "
+                                 "common double, prefix array<int>")
+    mixed = stored(mixed.join(nodes.select("node", "bands", "drawn"), "node").join(prefixes, "node"),
+                   "mixed")
+    x, y = mixed.where("label != largest").alias("x"), mixed.alias("y")
+    once = F.array_position(F.zip_with("x.bands", "y.bands", lambda p, q: p == q), True) == F.col("x.band") + 1
+    close = _differing("x.drawn", "y.drawn", bands * rows) <= int((1 - agreement) * bands * rows)
+    # Overlap / (sum of weights - overlap) >= threshold, with a little room for rounding.
+    room = F.least("x.common", "y.common") * (1 + 1e-6) >= (
+        threshold / (1 + threshold) * (F.col("x.weight") + F.col("y.weight")))
+    pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.h") == F.col("y.h"))
+                   & (F.col("x.label") != F.col("y.label"))
+                   & ((F.col("y.label") == F.col("y.largest")) | (F.col("x.node") < F.col("y.node")))
+                   & room & close & once
+                   & F.arrays_overlap("x.prefix", "y.prefix"))
+    pairs = pairs.select(F.least("x.node", "y.node").alias("u"), F.greatest("x.node", "y.node").alias("v"))
+    more = links(pairs.distinct().join(first, ["u", "v"], "left_anti"))
     if not more.isEmpty():
         labels = components(found.union(more))
 

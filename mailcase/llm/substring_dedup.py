@@ -185,7 +185,7 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     several = first.groupBy("a").count().where("count > 1").select("a")
     edges = (first.join(several, "a", "left_semi").select("f.*")
-             .groupBy("doc", "tag").agg(F.collect_list(F.struct("lo", "n")).alias("edges")))
+             .groupBy("doc", "tag").agg(F.collect_list(F.struct("lo", "n")).alias("edges"))).hint("merge")
     at = src.join(edges, same(src, edges, ["doc", "tag"])).select(src.doc, src.tag, "text", "edges")
     single = at.mapInArrow(_edge_windows(window, gram),
                            f"a long, w long, doc {kind}, tag int, lo int")
@@ -195,7 +195,7 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text",
                .select("doc", "tag", "lo", F.lit(1).alias("n")))
 
     spans = (factors.unionByName(borders).groupBy("doc", "tag")
-             .agg(F.collect_list(F.struct("lo", "n")).alias("spans")))
+             .agg(F.collect_list(F.struct("lo", "n")).alias("spans"))).hint("merge")
     joined = src.join(spans, same(src, spans, ["doc", "tag"]), "left").select(
         src.doc, "text", "spans")
     out = joined.mapInArrow(_keep(window), T.StructType([
