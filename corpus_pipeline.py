@@ -21,7 +21,7 @@ from mailcase.llm.tables import read_table, same, stored
 
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """The rows of ``docs`` that (doc_id, text_hash) of ``rejected`` do not name."""
-    bad = rejected.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"))
+    bad = rejected.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).hint("merge")
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_doc"])
                      & F.hash(docs["text"]).eqNullSafe(bad["_hash"]), "left_anti")
 
