@@ -64,8 +64,17 @@ def collapse_whitespace(c) -> Column:
     return F.trim(F.regexp_replace(_col(c), WHITESPACE_RUN, " "))
 
 
+def _guarded(c, needed: str, pattern: str) -> Column:
+    """Remove ``pattern`` where ``needed``, which every match contains, occurs at all.
+
+    Without it each opener of a text would be searched for to its end in vain.
+    """
+    x = _col(c)
+    return F.when(x.rlike(needed), F.regexp_replace(x, pattern, "")).otherwise(x)
+
+
 def remove_banner(c) -> Column:
-    return F.regexp_replace(_col(c), BANNER, "")
+    return _guarded(c, r"(?iu)safe\.", BANNER)
 
 
 def remove_signature(c) -> Column:
@@ -73,7 +82,7 @@ def remove_signature(c) -> Column:
 
 
 def remove_confidentiality(c) -> Column:
-    return F.regexp_replace(_col(c), CONFIDENTIALITY, "")
+    return _guarded(c, r"(?iu)obligation\.", CONFIDENTIALITY)
 
 
 def remove_quoted_header(c) -> Column:
@@ -81,7 +90,7 @@ def remove_quoted_header(c) -> Column:
 
 
 def remove_contact_block(c) -> Column:
-    return F.regexp_replace(_col(c), CONTACT_BLOCK, "")
+    return _guarded(c, r"(?U)\d{9,}", CONTACT_BLOCK)
 
 
 def remove_form_header(c) -> Column:
