@@ -7,11 +7,10 @@ document vector is L2-normalised. The vocabulary keeps terms with
 ``df >= min_df`` and ``df <= max_df`` (a share of n when fractional), then
 the ``max_features`` most frequent by corpus count (ties by term).
 
-Plan: documents are hash-partitioned on their key once; exploding terms,
-the per-(doc, term) count, the vocabulary join (broadcast, at most
-``max_features`` rows) and the per-document norm window all reuse that
-partitioning, so a transform costs one shuffle of the raw text. The fit
-adds one partially-aggregated shuffle on ``term``.
+Plan: a document is one row, so its terms are counted inside the row and no
+text is shuffled. The fit is one partially aggregated shuffle on ``term``; a
+transform joins the (broadcast, at most ``max_features`` rows) vocabulary
+and shuffles the remaining weights once, for the per-document norm.
 """
 
 from __future__ import annotations
@@ -28,20 +27,23 @@ from mailcase.functions.tokens import TOKEN_PATTERN, ngrams, uni_bi_grams, word_
 MIN_DF = 2
 MAX_DF = 0.95
 MAX_FEATURES = 3000
-# Largest vocabulary the MLlib featurizer holds on the driver (terms + idf).
-MAX_COLLECTED_VOCABULARY = 1 << 18
 
 
 def doc_terms(docs: DataFrame, key: str = "doc_id", text: str = "text",
-              bigrams: bool = True, num_partitions: int | None = None) -> DataFrame:
+              bigrams: bool = True) -> DataFrame:
     """(key, term, tf) for every distinct term of every document (whole texts)."""
-    d = docs.select(key, text)
-    d = d.repartition(num_partitions, key) if num_partitions else d.repartition(key)
     # Tokens are projected once; the n-gram expression then reads the column.
-    d = d.select(key, word_tokens(F.col(text)).alias("_tok"))
+    d = docs.select(key, word_tokens(F.col(text)).alias("_tok"))
     terms = uni_bi_grams(F.col("_tok")) if bigrams else F.col("_tok")
-    return (d.select(key, F.explode(terms).alias("term"))
-            .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
+    # Counts inside the row: sorted terms, and the places where a new term begins.
+    d = d.select(key, F.array_sort(terms).alias("_s")).where(F.size("_s") > 0)
+    begins = F.filter(F.sequence(F.lit(1), F.size("_s")), lambda i: (i == 1) | (
+        F.element_at("_s", i) != F.element_at("_s", F.greatest(i - 1, F.lit(1)))))
+    d = d.select(key, "_s", begins.alias("_at"))
+    counted = F.transform("_at", lambda i, k: F.struct(
+        F.element_at("_s", i).alias("term"),
+        (F.coalesce(F.get("_at", k + 1), F.size("_s") + 1) - i).cast("long").alias("tf")))
+    return d.select(key, F.inline(counted).alias("term", "tf"))
 
 
 def _doc_count(docs: DataFrame) -> F.Column:
@@ -102,15 +104,10 @@ def _bigram_sql() -> str:
 def featurizer(vocab: DataFrame, text: str = "text", output: str = "features",
                bigrams: bool = True) -> PipelineModel:
     """M3: a saveable PipelineModel (terms -> counts -> idf -> L2) built from a
-    fitted vocabulary. The vocabulary is collected to the driver: it is
-    bounded by ``max_features``.
+    fitted vocabulary. The vocabulary is collected to the driver in
+    one action: it is bounded by the ``max_features`` it was fit with (use the
+    long form ``tfidf`` for one fit without).
     """
-    # Guard the collect: a vocabulary without a max_features cap can grow with
-    # the corpus and must not pass through the driver.
-    size = vocab.count()
-    if size > MAX_COLLECTED_VOCABULARY:
-        raise ValueError(f"vocabulary has {size} terms; cap it with max_features "
-                         f"(at most {MAX_COLLECTED_VOCABULARY}) or use the long form tfidf()")
     rows = vocab.select("term", "idf").orderBy("term").collect()
     terms = [r["term"] for r in rows]
     idf = Vectors.dense([r["idf"] for r in rows])
