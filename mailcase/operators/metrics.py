@@ -225,9 +225,13 @@ def label_binarize(df: DataFrame, label: str, probs: str, keep: Sequence[str] =
 
 
 def score_counts(df: DataFrame, is_pos: str, score: str, by: Sequence[str] = ()) -> DataFrame:
-    """(by..., score, pos, neg): positives and negatives per distinct score."""
+    """(by..., score, pos, neg): positives and negatives per distinct score.
+
+    A row without a score (null) or without a truth can't be ranked and counts
+    nowhere, so a perfect ranking stays perfect. NaN ranks above all numbers.
+    """
     y = F.col(is_pos).cast("long")
-    return df.groupBy(*by, score).agg(F.sum(y).alias("pos"),
+    return df.where(F.col(score).isNotNull() & F.col(is_pos).isNotNull()).groupBy(*by, score).agg(F.sum(y).alias("pos"),
                                       F.sum(F.lit(1) - y).alias("neg"))
 
 
@@ -269,7 +273,13 @@ def cumulative_counts(df: DataFrame, is_pos: str, score: str, by: Sequence[str]
     run = cb.select(*by, "_b", score, "pos", "neg",
                     F.sum("pos").over(inside).alias("_cp"),
                     F.sum("neg").over(inside).alias("_cn"))
-    j = run.join(F.broadcast(offsets), [*by, "_b"])
+    # Null-safe: rows of a null group are a group of their own.
+    right = offsets.select(*[F.col(c).alias(f"_j{i}") for i, c in enumerate([*by, "_b"])],
+                           "_op", "_on", "P", "N")
+    cond = F.lit(True)
+    for i, c in enumerate([*by, "_b"]):
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_j{i}"))
+    j = run.join(right, cond)
     return j.select(*by, score, "pos", "neg",
                     (F.col("_op") + F.col("_cp")).alias("tp"),
                     (F.col("_on") + F.col("_cn")).alias("fp"), "P", "N")

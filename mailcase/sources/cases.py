@@ -46,8 +46,29 @@ def read_cases(spark: SparkSession, path: str, *, sep: str = ";", encoding: str
     Rows with more fields than the header are dropped (an extra sentinel
     column catches the surplus); shorter rows are padded with null.
     Missing-value spellings become null unless ``na_tokens`` is None.
+
+    ``path`` may name several files. Columns are matched by name: files are
+    read in groups of equal headers (a header is read per file), and a column
+    that some files lack is null there.
     """
-    cols = header_columns(spark, path, sep, encoding)
+    files = [r[0] for r in spark.read.format("binaryFile").load(path).select("path").collect()]
+    groups: dict[tuple, list[str]] = {}
+    for f in sorted(files):
+        groups.setdefault(tuple(header_columns(spark, f, sep, encoding)), []).append(f)
+    if len(groups) > 1:
+        parts = [_read_group(spark, fs, list(cols), sep, encoding, multiline, na_tokens, skip_long_rows)
+                 for cols, fs in groups.items()]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p, allowMissingColumns=True)
+        return out
+    return _read_group(spark, path, header_columns(spark, path, sep, encoding), sep, encoding,
+                       multiline, na_tokens, skip_long_rows)
+
+
+def _read_group(spark: SparkSession, path, cols: list[str], sep: str, encoding: str, multiline: bool,
+                na_tokens: Sequence[str] | None, skip_long_rows: bool) -> DataFrame:
+    """Files that share the header ``cols``."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in cols]
                           + [T.StructField(SENTINEL, T.StringType())])
     df = (_csv_reader(spark, sep, encoding, multiline).option("header", True)

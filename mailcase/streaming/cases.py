@@ -89,7 +89,10 @@ def run_prepare_stream(spark: SparkSession, sf_dir: str, out: str, checkpoint: s
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     q = write_parquet_stream(prepare_stream(docs, labels), out, checkpoint,
                              partition_by=("split",))
-    q.awaitTermination(timeout_s)
+    ended = q.awaitTermination(timeout_s) if timeout_s is not None else q.awaitTermination()
+    if ended is False:
+        q.stop()
+        raise TimeoutError(f"the stream did not finish in {timeout_s} s; it can resume from {checkpoint}")
     if q.exception() is not None:
         raise q.exception()
     return out
