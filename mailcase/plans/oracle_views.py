@@ -36,7 +36,7 @@ SELECT d.doc_id AS case_id,
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 """
 
-# Body cleaner F1-F8 (then F10) in RE2 syntax: (pattern, replacement SQL).
+# The body cleaner's rules F1-F8 (then F10) in RE2 syntax: (pattern, replacement SQL).
 CLEAN_BODY_STEPS = (
     (r"(?is)ATTENTION:.*?safe\.", "''"),
     (r"(?is)(Best regards.*|Kind regards.*|Regards,.*)", "''"),
@@ -79,7 +79,9 @@ FROM customer
 
 VIEWS["class_logits"] = """
 SELECT vec_id AS id, CAST(label % 5 AS INTEGER) AS label,
-  CAST(embedding[1:5] AS DOUBLE[]) AS logits
+  [list_sum(CAST(embedding[1:64:5] AS DOUBLE[])), list_sum(CAST(embedding[2:64:5] AS DOUBLE[])),
+   list_sum(CAST(embedding[3:64:5] AS DOUBLE[])), list_sum(CAST(embedding[4:64:5] AS DOUBLE[])),
+   list_sum(CAST(embedding[5:64:5] AS DOUBLE[]))] AS logits
 FROM embeddings
 """
 
@@ -101,9 +103,9 @@ SELECT id, label, round(score, 2) AS score FROM binary_scores
 
 VIEWS["training_log"] = """
 SELECT CAST(user_id % 4 AS BIGINT) AS run, event_id AS step,
-  CASE WHEN event_type = 'view' THEN value END AS loss,
+  CASE WHEN event_type <> 'purchase' THEN value END AS loss,
   CASE WHEN event_type = 'purchase' THEN value / 1000.0 END AS eval_accuracy
-FROM events WHERE event_type IN ('view', 'purchase')
+FROM events
 """
 
 # Dependencies between views, so ``with_views`` can order the CTEs.

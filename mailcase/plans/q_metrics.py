@@ -320,20 +320,28 @@ def q_class_weights(spark, sf_dir):
 
 @query("focal_loss", with_views(["class_logits"], """
 SELECT round(avg(power(1 - exp(-ce), 2) * ce), 6) AS focal_loss,
-       round(avg(power(1 - exp(-wce), 2) * wce), 6) AS focal_loss_weighted
+       round(avg(power(1 - exp(-wce), 2) * wce), 6) AS focal_loss_weighted,
+       round(sum(power(1 - exp(-ce), 2) * ce), 3) AS focal_loss_sum,
+       round(max(power(1 - exp(-ce), 2) * ce), 6) AS focal_loss_max, count(*) AS n
 FROM (SELECT -lp AS ce, -w.weight * lp AS wce FROM lsm JOIN w ON w.class_id = lsm.label)""",
     dict(LOGSOFTMAX_VIEW, w=WEIGHTS_SQL.format(classes=CLASSES5, src="class_logits"))))
 def q_focal_loss(spark, sf_dir):
     """E14, gamma 2: unweighted, and with A8 class weights as alpha."""
     cl = class_logits(spark, sf_dir)
-    w = class_weights(cl, "label", PRIORITY5).select(
-        F.col("class_id").alias("label"), F.col("weight").alias("alpha"))
-    # The weight table has one row per class of the label set: broadcast is bounded.
-    j = cl.join(F.broadcast(w), "label")
-    t = M.cross_entropy_terms(j, "label", "logits").withColumn(
-        "wce", F.col("ce") * F.col("alpha"))
-    fl = lambda c: F.pow(F.lit(1.0) - F.exp(-F.col(c)), F.lit(2.0)) * F.col(c)
-    return t.agg(_r(F.avg(fl("ce")), "focal_loss"), _r(F.avg(fl("wce")), "focal_loss_weighted"))
+    # One weight per class of the label set.
+    w = class_weights(cl, "label", PRIORITY5).orderBy("class_id").collect()
+    alpha = [float(r["weight"] or 0.0) for r in w]
+    plain = M.focal_loss(cl, "label", "logits")
+    weighted = M.focal_loss(cl, "label", "logits", alpha=alpha)
+    total = M.focal_loss(cl, "label", "logits", reduction="sum")
+    each = M.focal_loss(cl, "label", "logits", reduction="none").agg(
+        F.max("focal_loss").alias("m"), F.count("focal_loss").alias("n"))
+    # Four one-row tables side by side.
+    return each.select(
+        F.round(plain.select("focal_loss").scalar(), R).alias("focal_loss"),
+        F.round(weighted.select("focal_loss").scalar(), R).alias("focal_loss_weighted"),
+        F.round(total.select("focal_loss").scalar(), 3).alias("focal_loss_sum"),
+        F.round("m", R).alias("focal_loss_max"), "n")
 
 
 @query("log_loss", with_views(["class_logits"], """

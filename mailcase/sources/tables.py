@@ -2,7 +2,7 @@
 
 Every fixture is a lazy DataFrame derived from the parquet tables, so its
 size grows with the tables. The DuckDB text of the same views lives in
-``mailcase.plans.oracle`` and must stay semantically identical.
+``mailcase.plans.oracle_views`` and must stay semantically identical.
 """
 
 from __future__ import annotations
@@ -99,13 +99,20 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _every(values: Column, k: int, n: int) -> Column:
+    """Sum of the elements k, k + n, k + 2n, ... of an array."""
+    return F.aggregate(F.filter(values, lambda x, i: i % n == k), F.lit(0.0), lambda a, x: a + x)
+
+
 def class_logits(spark: SparkSession, sf_dir: str, n_classes: int = 5) -> DataFrame:
-    """(id, label, logits array<double>) from ``embeddings``."""
+    """(id, label, logits array<double>) from ``embeddings``; logit k adds up every
+    ``n_classes``-th element of the whole vector, from element k."""
     e = table(spark, sf_dir, "embeddings")
     return e.select(
         F.col("vec_id").alias("id"),
         (F.col("label") % F.lit(n_classes)).cast("int").alias("label"),
-        F.slice("embedding", 1, n_classes).cast("array<double>").alias("logits"),
+        F.array(*[_every(F.col("embedding").cast("array<double>"), k, n_classes)
+                  for k in range(n_classes)]).alias("logits"),
     )
 
 
@@ -127,11 +134,14 @@ def tied_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def training_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long training log from ``events``: run, step, loss / eval_accuracy."""
+    """Long training log from ``events``: run, step, loss / eval_accuracy.
+
+    Purchases log an accuracy, every other event a loss."""
     ev = table(spark, sf_dir, "events")
-    return ev.where(F.col("event_type").isin("view", "purchase")).select(
+    paid = F.col("event_type") == "purchase"
+    return ev.select(
         (F.col("user_id") % 4).cast("bigint").alias("run"),
         F.col("event_id").alias("step"),
-        F.when(F.col("event_type") == "view", F.col("value")).alias("loss"),
-        F.when(F.col("event_type") == "purchase", F.col("value") / 1000.0).alias("eval_accuracy"),
+        F.when(~paid, F.col("value")).alias("loss"),
+        F.when(paid, F.col("value") / 1000.0).alias("eval_accuracy"),
     )
