@@ -1,4 +1,5 @@
-"""Joins (J1, J2 in ``profile``, J3 in ``sampling``, J4 in ``metrics``, J5, J6).
+"""Joins (J1, J2 in ``profile``, J3 in ``sampling``, J4 in ``metrics``,
+J5 in ``models``, J6 in ``features``).
 
 Catalyst chooses the physical join; AQE turns a shuffle join into a
 broadcast one at run time when a side turns out small, and splits skewed
@@ -9,11 +10,10 @@ bounded by a parameter (label sets, a capped vocabulary).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
-def join_metadata(emails: DataFrame, meta: DataFrame, left_on: str = "ParentId",
-                  right_on: str = "AGR_Id", null_safe: bool = False) -> DataFrame:
+def join_metadata(emails: DataFrame, meta: DataFrame, left_on: str, right_on: str, *,
+                  null_safe: bool = False) -> DataFrame:
     """Left equi-join of e-mails to case metadata; may fan out.
 
     ``null_safe=True`` matches null keys with each other (pandas merge
@@ -22,13 +22,3 @@ def join_metadata(emails: DataFrame, meta: DataFrame, left_on: str = "ParentId",
     cond = (emails[left_on].eqNullSafe(meta[right_on]) if null_safe
             else emails[left_on] == meta[right_on])
     return emails.join(meta, cond, "left")
-
-
-def align_predictions(truth: DataFrame, preds: DataFrame, key: str) -> DataFrame:
-    """Pair predictions with ground truth on the case key (not position)."""
-    return truth.join(preds, key, "inner")
-
-
-def semi_join(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
-    """Rows of ``df`` whose key appears in ``keys`` (EXISTS)."""
-    return df.join(keys.select(on).where(F.col(on).isNotNull()), on, "left_semi")

@@ -10,6 +10,7 @@ applied to any later batch with the same feature indices.
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
@@ -18,7 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailcase.functions.labels import LabelSet, decode
+from mailcase.functions.labels import BINARY, LabelSet, decode
 from mailcase.functions.scores import argmax
 from mailcase.operators.features import MAX_FEATURES, fit_featurizer
 from mailcase.operators.profile import class_weights
@@ -28,6 +29,12 @@ GBT_PARAMS = dict(maxIter=300, maxDepth=3, stepSize=0.1, subsamplingRate=0.8,
                   featureSubsetStrategy="0.8", seed=42)
 
 
+# Rounds without a better evaluation loss before boosting stops (fixed value),
+# and the rounds of the first attempt.
+PATIENCE = 20
+FIRST_ROUNDS = 40
+
+
 def _with_features(train: DataFrame, key: str, text: str, max_features: int):
     """Fit the vocabulary on the training rows (a Spark job) -> featurizer stages."""
     return fit_featurizer(train, key, text, max_features=max_features)
@@ -43,34 +50,74 @@ def _featurized(feat: PipelineModel, train: DataFrame, cols: Sequence[str]) -> D
 
 
 def train_gbt(train: DataFrame, key: str, text: str, label: str, *,
-              validation: str | None = None,
+              validation: str | None = None, patience: int = PATIENCE,
               max_features: int = MAX_FEATURES, params: dict | None = None) -> PipelineModel:
     """M4 + M5: binary boosted trees on TF-IDF; ``validation`` names a boolean
-    column marking the early-stopping evaluation rows."""
-    feat, _ = _with_features(train, key, text, max_features)
-    x = _featurized(feat, train, [label] + ([validation] if validation else []))
+    column marking the early-stopping evaluation rows.
+
+    Boosting stops when ``patience`` rounds in a row did not lower the loss of
+    the evaluation rows, and the best round is kept."""
     p = dict(GBT_PARAMS, **(params or {}))
-    gbt = GBTClassifier(featuresCol="features", labelCol=label, **p)
-    if validation:
-        gbt.setValidationIndicatorCol(validation)
-    model = gbt.fit(x)
+    if not validation:
+        feat, _ = _with_features(train, key, text, max_features)
+        x = _labelled(_featurized(feat, train, [label]), label, BINARY)
+        return PipelineModel(feat.stages + [GBTClassifier(featuresCol="features", labelCol=label, **p).fit(x)])
+    # The evaluation rows stay out of the vocabulary and of the trees.
+    feat, _ = _with_features(train.where(~F.col(validation)), key, text, max_features)
+    x = _labelled(_featurized(feat, train, [label, validation]), label, BINARY)
+    fit_rows, eval_rows = x.where(~F.col(validation)), x.where(F.col(validation))
+    # A fit is a prefix of any longer one (the seed of a round depends on its
+    # number only), so rounds are added until PATIENCE of them bring nothing.
+    rounds = min(FIRST_ROUNDS, p["maxIter"])
+    while True:
+        model = GBTClassifier(featuresCol="features", labelCol=label, **dict(p, maxIter=rounds)).fit(fit_rows)
+        best = best_round(model.evaluateEachIteration(eval_rows), patience)
+        if best is not None or rounds >= p["maxIter"]:
+            break
+        rounds = min(2 * rounds, p["maxIter"])
+    if best is not None and best < rounds:
+        model = GBTClassifier(featuresCol="features", labelCol=label, **dict(p, maxIter=best)).fit(fit_rows)
     return PipelineModel(feat.stages + [model])
 
 
+def best_round(losses: Sequence[float], patience: int = PATIENCE) -> int | None:
+    """Number of rounds to keep: the one of smallest evaluation loss, once
+    ``patience`` later rounds were no better; None if that is still open."""
+    best, at = math.inf, 0
+    for i, v in enumerate(losses, 1):
+        if v < best:
+            best, at = v, i
+        elif i - at >= patience:
+            return at
+    return None
+
+
+def _labelled(x: DataFrame, label: str, label_set: LabelSet) -> DataFrame:
+    """The training rows with the label column marked as one of the set's classes,
+    so a model has all of them even if the last ones never occur. Labels
+    outside the set (or null) are an error, not dropped."""
+    n = len(label_set)
+    bad = x.where(F.col(label).isNull() | ~F.col(label).between(0, n - 1)).count()
+    if bad:
+        raise ValueError(f"{bad} training rows have a label outside {label_set.name} (0..{n - 1})")
+    meta = {"ml_attr": {"type": "nominal", "name": label, "vals": [str(c) for c in label_set.classes]}}
+    return x.withColumn(label, F.col(label).cast("double").alias(label, metadata=meta))
+
+
 def train_logistic(train: DataFrame, key: str, text: str, label: str, label_set: LabelSet, *,
                    weighted: bool = False, max_features: int = MAX_FEATURES,
                    max_iter: int = 100, reg: float = 0.0) -> PipelineModel:
     """M6 / M7: logistic regression (multinomial when more than two classes);
     ``weighted`` adds A8 inverse-frequency class weights as ``weightCol``."""
     feat, _ = _with_features(train, key, text, max_features)
-    x = _featurized(feat, train, [label])
+    x = _labelled(_featurized(feat, train, [label]), label, label_set)
     lr = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter,
                             regParam=reg, family="multinomial" if len(label_set) > 2 else "auto")
     if weighted:
-        # One weight per class of the label set: the broadcast side is bounded.
-        w = class_weights(x, label, label_set).select(
-            F.col("class_id").alias(label), F.coalesce("weight", F.lit(0.0)).alias("_w"))
-        x = x.join(F.broadcast(w), label)
+        # One weight per class of the label set, as a literal map: no join, no row lost.
+        w = {r["class_id"]: r["weight"] or 0.0 for r in class_weights(x, label, label_set).collect()}
+        pairs = F.create_map(*[F.lit(v) for c, a in w.items() for v in (int(c), float(a))])
+        x = x.withColumn("_w", pairs[F.col(label).cast("int")])
         lr.setWeightCol("_w")
     model = lr.fit(x)
     return PipelineModel(feat.stages + [model])
@@ -82,6 +129,7 @@ def train_two_heads(train: DataFrame, key: str, text: str, bin_label: str, mc_la
     """M8: one shared feature stage, two logistic heads (binary and multiclass)."""
     feat, _ = _with_features(train, key, text, max_features)
     x = _featurized(feat, train, [bin_label, mc_label])
+    x = _labelled(_labelled(x, bin_label, BINARY), mc_label, label_set)
     hb = LogisticRegression(featuresCol="features", labelCol=bin_label, maxIter=max_iter,
                             predictionCol="pred_b", probabilityCol="prob_b",
                             rawPredictionCol="raw_b").fit(x)
@@ -95,7 +143,7 @@ def score(model: PipelineModel, df: DataFrame, label_set: LabelSet | None = None
           keep: Sequence[str] = ()) -> DataFrame:
     """M9: (keep..., probs, pred, confidence[, pred_name]) for every row."""
     out = model.transform(df)
-    prob_col = next(c for c in out.columns if c.startswith("prob"))
+    prob_col = model.stages[-1].getProbabilityCol()
     s = out.select(*keep, vector_to_array(prob_col).alias("probs"))
     s = s.withColumns({"pred": argmax("probs"), "confidence": F.array_max("probs")})
     if label_set is not None:

@@ -1,6 +1,7 @@
-"""Registered model queries (M3-M10, E18, E19): rows-only checks.
+"""Registered model queries.
 
-Model fits are iterative optimisations, so there is no SQL oracle; the
+Model fits are iterative optimisations that SQL can't repeat; where a query has
+an oracle, it compares rows, labels and invariants of the outputs. The
 tests check determinism (same seed, same model), save/load equality and
 that unseen terms are ignored.
 """
@@ -14,7 +15,9 @@ from mailcase.functions.labels import (BINARY, PRIORITY5, TYPE4, binary_label, c
 from mailcase.operators import metrics as M
 from mailcase.operators import models as ML
 from mailcase.operators.sampling import in_sample
+from mailcase.plans.oracle_views import with_views
 from mailcase.plans.prepare import prepare_cases
+from mailcase.plans.q_prepare import SPLIT_SQL
 from mailcase.plans.registry import query
 from mailcase.session import materialize
 from mailcase.sources.tables import email_cases
@@ -39,13 +42,26 @@ def _gbt(spark, sf_dir):
     return c, ML.train_gbt(train, "case_id", "text", "label_b", validation="is_eval")
 
 
-@query("gbt_scores")
+@query("gbt_scores", with_views(["prepared_cases"], f"""
+SELECT case_id, Subject, TextBody, CAST(Complaint AS INTEGER) AS True_Label,
+       true AS probability_ok, true AS prediction_ok
+FROM prepared_cases WHERE NOT ({SPLIT_SQL})"""))
 def q_gbt_scores(spark, sf_dir):
-    """M4/M5 + M9 + E19: boosted trees with early stopping, test-split prediction table."""
+    """M4/M5 + M9 + E19: boosted trees with early stopping, test-split prediction table.
+
+    SQL can't fit the trees, so the table carries what it can check: the rows,
+    texts and true labels of the test split, and whether each row's
+    probabilities are a distribution and its prediction the likelier class.
+    """
     c, model = _gbt(spark, sf_dir)
     test = c.where(~F.col("is_train"))
-    scored = ML.score(model, test, BINARY, keep=["case_id"])
-    return ML.prediction_table(scored, test, "case_id", label="label_b")
+    # The table's own columns go through the scoring; no join back, one cleaning of the text.
+    s = ML.score(model, test, BINARY, keep=["case_id", "Subject", "TextBody", "label_b"])
+    p = F.element_at("probs", 2)
+    return s.select("case_id", "Subject", "TextBody", F.col("label_b").alias("True_Label"),
+                    ((F.size("probs") == 2) & p.between(0.0, 1.0)
+                     & (F.abs(p + F.element_at("probs", 1) - 1.0) < 1e-9)).alias("probability_ok"),
+                    ((F.col("pred") == 1) == (p > 0.5)).alias("prediction_ok"))
 
 
 @query("feature_importance")
@@ -76,18 +92,26 @@ def q_lr_type_report(spark, sf_dir):
     return M.classification_report(scored, "label_t", "pred", TYPE4, digits=5)
 
 
-@query("lr_binary_roc")
+@query("lr_binary_roc", with_views(["prepared_cases"], f"""
+SELECT m AS metric, count(*) FILTER (WHERE Complaint) AS positives,
+       count(*) FILTER (WHERE NOT Complaint) AS negatives, true AS in_range
+FROM prepared_cases, (SELECT unnest(['roc_auc', 'average_precision']) AS m)
+WHERE NOT ({SPLIT_SQL}) GROUP BY m"""))
 def q_lr_binary_roc(spark, sf_dir):
     """M6 + E10/E13: binary LR, test ROC AUC and average precision."""
     c = model_cases(spark, sf_dir)
     model = ML.train_logistic(c.where("is_train"), "case_id", "text", "label_b", BINARY)
     s = materialize(ML.score(model, c.where(~F.col("is_train")), BINARY, keep=["label_b"]).select(
         F.col("label_b").alias("is_pos"), F.element_at("probs", 2).alias("score")))
+    n = s.agg(F.count_if(F.col("is_pos") == 1).alias("positives"),
+              F.count_if(F.col("is_pos") == 0).alias("negatives"))
     auc = M.roc_auc(s, "is_pos", "score").select(F.lit("roc_auc").alias("metric"),
                                                 F.col("roc_auc").alias("value"))
     ap = M.average_precision(s, "is_pos", "score").select(
         F.lit("average_precision").alias("metric"), F.col("average_precision").alias("value"))
-    return auc.unionByName(ap)
+    # One row beside two.
+    return auc.unionByName(ap).join(F.broadcast(n)).select(
+        "metric", "positives", "negatives", F.col("value").between(0.0, 1.0).alias("in_range"))
 
 
 @query("mtl_metrics")
@@ -100,9 +124,10 @@ def q_mtl_metrics(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
 
     # Binomial LR: rawPrediction = (-margin, margin); the margin is the logit.
-    b = hb.transform(test).select("case_id", "label_b", "label_t",
-                                  F.element_at(vector_to_array("raw_b"), 2).alias("logit_b"))
-    m = ML.score(hm, test, TYPE4, keep=["case_id"])
-    j = materialize(b.join(m, "case_id"))
+    # The second head adds its columns to the first one's output: one pass, no join.
+    both = hm.stages[-1].transform(hb.transform(test))
+    j = materialize(both.select("case_id", "label_b", "label_t",
+                                F.element_at(vector_to_array("raw_b"), 2).alias("logit_b"),
+                                F.col("pred_m").cast("int").alias("pred")))
     return M.joint_metrics(j, bin_label="label_b", bin_logit="logit_b", mc_label="label_t",
                            mc_pred="pred", label_set=TYPE4)

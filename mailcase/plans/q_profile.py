@@ -116,13 +116,13 @@ def q_match_count(spark, sf_dir):
 
 
 @query("join_metadata", with_views(["email_cases", "metadata"], """
-SELECT e.case_id, e.ParentId, m.Id AS AGR_Id, m.Segment AS AGR_Segment
+SELECT e.case_id, e.ParentId, m.Id AS Meta_Id, m.Segment AS Meta_Segment
 FROM email_cases e LEFT JOIN metadata m ON e.ParentId = m.Id"""))
 def q_join_metadata(spark, sf_dir):
     """J1 (+ P4): e-mails left-joined to prefixed case metadata."""
     e = email_cases(spark, sf_dir).select("case_id", "ParentId")
-    m = prefix_columns(metadata(spark, sf_dir), "AGR_")
-    return join_metadata(e, m).select("case_id", "ParentId", "AGR_Id", "AGR_Segment")
+    m = prefix_columns(metadata(spark, sf_dir), "Meta_")
+    return join_metadata(e, m, "ParentId", "Meta_Id").select("case_id", "ParentId", "Meta_Id", "Meta_Segment")
 
 
 @query("count_matching", with_views(["email_cases", "metadata"], """

@@ -32,8 +32,8 @@ def test_normalize_na(spark):
 
 
 def test_prefix_columns(spark):
-    df = spark.createDataFrame([(1, 2)], "Id int, AGR_x int")
-    assert P.prefix_columns(df, "AGR_").columns == ["AGR_Id", "AGR_x"]
+    df = spark.createDataFrame([(1, 2)], "Id int, Meta_x int")
+    assert P.prefix_columns(df, "Meta_").columns == ["Meta_Id", "Meta_x"]
 
 
 def test_label_sets(spark):

@@ -21,12 +21,12 @@ def test_value_counts_and_profile(spark):
 
 def test_join_fan_out_and_null_safe(spark):
     emails = spark.createDataFrame([(1, "P1"), (2, "P2"), (3, None)], "id int, ParentId string")
-    meta = spark.createDataFrame([("P1", "x"), ("P1", "y"), (None, "z")], "AGR_Id string, s string")
-    j = sorted((r["id"], r["s"]) for r in J.join_metadata(emails, meta).collect())
+    meta = spark.createDataFrame([("P1", "x"), ("P1", "y"), (None, "z")], "Meta_Id string, s string")
+    j = sorted((r["id"], r["s"]) for r in J.join_metadata(emails, meta, "ParentId", "Meta_Id").collect())
     assert j == [(1, "x"), (1, "y"), (2, None), (3, None)]
-    ns = sorted((r["id"], r["s"]) for r in J.join_metadata(emails, meta, null_safe=True).collect())
+    ns = sorted((r["id"], r["s"]) for r in J.join_metadata(emails, meta, "ParentId", "Meta_Id", null_safe=True).collect())
     assert ns == [(1, "x"), (1, "y"), (2, None), (3, "z")]
-    cm = A.count_matching(meta, emails, "AGR_Id", "ParentId").first()
+    cm = A.count_matching(meta, emails, "Meta_Id", "ParentId").first()
     assert (cm["matched"], cm["total"]) == (2, 3)
 
 
