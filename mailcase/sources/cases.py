@@ -170,18 +170,13 @@ def read_training_logs(spark: SparkSession, path_glob: str) -> DataFrame:
                       F.explode("log_history").alias("e")).select("run", "e.*")
 
 
-def encoding_report(spark: SparkSession, path_glob: str, sample_bytes: int = 100_000
-                    ) -> DataFrame:
-    """(path, encoding, length) per file from a byte sample: ``utf-8-sig``
+def encoding_report(spark: SparkSession, path_glob: str) -> DataFrame:
+    """(path, encoding, length) per file from its whole content: ``utf-8-sig``
     (BOM), ``utf-8`` (valid UTF-8) or ``latin-1`` (anything else)."""
     b = spark.read.format("binaryFile").load(path_glob)
-    head = F.substring(F.col("content"), 1, sample_bytes)
-    bom = F.substring(head, 1, 3) == F.unhex(F.lit("EFBBBF"))
-    # A sample can cut a multi-byte character; drop up to 3 trailing bytes
-    # of an incomplete sequence by also accepting the sample minus its tail.
-    valid = F.is_valid_utf8(head) | F.is_valid_utf8(
-        F.substring(head, 1, F.greatest(F.length(head) - 3, F.lit(0))))
-    enc = F.when(bom, "utf-8-sig").when(valid, "utf-8").otherwise("latin-1")
+    bom = F.substring("content", 1, 3) == F.unhex(F.lit("EFBBBF"))
+    valid = F.is_valid_utf8("content")
+    enc = F.when(valid & bom, "utf-8-sig").when(valid, "utf-8").otherwise("latin-1")
     return b.select(F.col("path"), enc.alias("encoding"), F.col("length"))
 
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 import re
+from urllib.parse import unquote
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -33,13 +34,13 @@ def read_table_stream(spark: SparkSession, path: str, *,
     it). A single file is addressed by a one-file glob under its folder,
     because the file source needs a folder as its base path.
     """
-    schema = spark.read.parquet(path).schema
-    r = spark.readStream.schema(schema)
+    batch = spark.read.parquet(path)
+    r = spark.readStream.schema(batch.schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    local = "://" not in path or path.startswith("file:")
-    is_dir = (os.path.isdir(path.removeprefix("file:")) if local
-              else not path.rstrip("/").endswith(".parquet"))
+    # Spark lists the input, so any file system works: a single file lists itself.
+    plain = re.sub(r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "", path.rstrip("/"))
+    is_dir = not any(unquote(f).endswith(plain) for f in batch.inputFiles()[:1])
     if is_dir:
         return r.parquet(path)
     folder, name = os.path.split(path.rstrip("/"))

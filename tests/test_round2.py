@@ -71,3 +71,12 @@ def test_no_text_is_shuffled_for_the_vocabulary(spark):
     counts = {r.term: r.tf for r in FT.doc_terms(
         spark.createDataFrame([(1, "aa bb aa aa bb")], "id int, t string"), "id", "t").collect()}
     assert counts == {"aa": 3, "bb": 2, "aa bb": 2, "bb aa": 1, "aa aa": 1}
+
+
+def test_a_bad_byte_far_into_a_file_is_seen(spark, tmp_path):
+    from mailcase.sources.cases import encoding_report
+
+    (tmp_path / "a.csv").write_bytes(b"x" * 200_000 + b"\xe9 end")
+    (tmp_path / "b.csv").write_bytes("é".encode() * 100_000)
+    got = {r.path.rsplit("/", 1)[1]: r.encoding for r in encoding_report(spark, f"{tmp_path}/*.csv").collect()}
+    assert got == {"a.csv": "latin-1", "b.csv": "utf-8"}
