@@ -28,7 +28,7 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,6 +63,27 @@ def _windows(words: Words, window: int, gram: int):
     return h, x, s, idx[s]
 
 
+def _places(tags: pa.Array, rows: np.ndarray, lo: np.ndarray) -> pa.Array:
+    """Text hash of each row and first word in one long, which sorts as (tag, lo)."""
+    tag = tags.to_numpy(zero_copy_only=False)[rows].astype(np.int64)
+    return pa.array((tag << 32) | lo)
+
+
+def _ranges(packed: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(first window, number of windows) of ranges packed by ``_range``."""
+    v = packed.to_numpy(zero_copy_only=False)
+    return v >> 32, v & 0xFFFFFFFF
+
+
+def _tag(at: Column) -> Column:
+    return F.shiftright(at, 32).cast("int").alias("tag")
+
+
+def _range(at: Column, n: Column) -> Column:
+    """First window and number of windows in one long."""
+    return F.shiftleft(at, 32).bitwiseOR(n.cast("long"))
+
+
 def _blocks(window: int, gram: int):
     def run(batches):
         for b in batches:
@@ -79,11 +100,10 @@ def _blocks(window: int, gram: int):
                 c = range_hashes(h, lo, lo + n + window - 1)
                 c = mix(c ^ ((p - lo).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
                 doc = np.searchsorted(words.first, lo, "right") - 1
-                rows = pa.array(doc + i)
                 yield pa.RecordBatch.from_pydict({
                     "a": pa.array(signed(x[p])), "c": pa.array(signed(c)),
-                    "doc": b.column("doc").take(rows), "tag": b.column("tag").take(rows),
-                    "lo": pa.array((lo - words.first[doc]).astype(np.int32)),
+                    "doc": b.column("doc").take(pa.array(doc + i)),
+                    "at": _places(b.column("tag"), doc + i, lo - words.first[doc]),
                     "n": pa.array(n.astype(np.int32))})
     return run
 
@@ -100,21 +120,19 @@ def _edge_windows(window: int, gram: int):
                     continue
                 wanted = np.zeros(len(h) + 1, dtype=np.int64)
                 part = edges.slice(i, j - i)
-                flat, per = part.flatten(), np.diff(part.offsets.to_numpy())
-                base = np.repeat(words.first[:-1], per)
-                lo = flat.field("lo").to_numpy() + base
+                lo, n = _ranges(part.flatten())
+                lo = lo + np.repeat(words.first[:-1], np.diff(part.offsets.to_numpy()))
                 np.add.at(wanted, lo, 1)
-                np.add.at(wanted, lo + flat.field("n").to_numpy(), -1)
+                np.add.at(wanted, lo + n, -1)
                 keep = np.cumsum(wanted)[s] > 0
                 s, p = s[keep], p[keep]
                 # x[p] depends on the words alone; the window hash covers all of them.
                 w = range_hashes(h, s, s + window)
                 doc = np.searchsorted(words.first, s, "right") - 1
-                rows = pa.array(doc + i)
                 yield pa.RecordBatch.from_pydict({
                     "a": pa.array(signed(x[p])), "w": pa.array(signed(w)),
-                    "doc": b.column("doc").take(rows), "tag": b.column("tag").take(rows),
-                    "lo": pa.array((s - words.first[doc]).astype(np.int32))})
+                    "doc": b.column("doc").take(pa.array(doc + i)),
+                    "at": _places(b.column("tag"), doc + i, s - words.first[doc])})
     return run
 
 
@@ -133,10 +151,10 @@ def _keep(window: int):
                     cut.append([])
                     kept.append(b" ".join(w).decode())
                     continue
-                lo = sp.values.field("lo").to_numpy()
+                lo, size = _ranges(sp.values)
                 d = np.zeros(n + 2, dtype=np.int64)
                 np.add.at(d, lo, 1)
-                np.add.at(d, lo + sp.values.field("n").to_numpy() + window - 1, -1)
+                np.add.at(d, lo + size + window - 1, -1)
                 gone = np.cumsum(d[:n]) > 0
                 edge = np.flatnonzero(np.diff(np.concatenate(([0], gone, [0]))))
                 cut.append([{"start": int(s), "end": int(e)} for s, e in
@@ -151,6 +169,21 @@ def _keep(window: int):
     return run
 
 
+def _split_join(rows: DataFrame, keys: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join of ``rows`` with an aggregate that has one row for each value of ``on``.
+
+    AQE splits a hot key only where both sides are shuffled for the join. The
+    aggregate already lies by ``on``, so a derived key is compared as well, by
+    which its few rows are shuffled once more. It is not part of the rows.
+    """
+    k = keys.select(*[F.col(c).alias(f"_{c}") if c in on else c for c in keys.columns]).hint("merge")
+    mine, theirs = [rows[c] for c in on], [k[f"_{c}"] for c in on]
+    cond = F.hash(*mine) == F.hash(*theirs)
+    for x, y in zip(mine, theirs):
+        cond = cond & (x == y)
+    return rows.join(k, cond, how)
+
+
 def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text",
                     window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(key, n_words, n_removed, kept_text, spans) of every document.
@@ -172,30 +205,32 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text",
     src = src.select("doc", F.hash("text").alias("tag"), "text")
     kind = src.schema["doc"].dataType.simpleString()
     blocks = src.mapInArrow(_blocks(window, gram),
-                            f"a long, c long, doc {kind}, tag int, lo int, n int")
+                            f"a long, c long, doc {kind}, at long, n int")
     repeated = blocks.groupBy("a").count().where("count > 1").select("a")
-    hits = stored(blocks.join(repeated, "a", "left_semi"), "blocks")
+    hits = stored(_split_join(blocks, repeated, ["a"], "left_semi"), "blocks")
 
-    place = F.struct("doc", "tag", "lo")
-    first = hits.groupBy("a", "c").agg(F.min(F.struct("doc", "tag", "lo", "n")).alias("f"),
-                                       F.count(F.lit(1)).alias("copies"))
-    copied = first.where("copies > 1").select("a", "c", F.struct("f.doc", "f.tag", "f.lo").alias("f"))
-    factors = (hits.join(copied, ["a", "c"]).where(~place.eqNullSafe(F.col("f")))
-               .select("doc", "tag", "lo", "n"))
+    place = F.struct("doc", "at")
+    # Written once: three steps read it, each other columns.
+    first = stored(hits.groupBy("a", "c").agg(F.min(F.struct("doc", "at", "n")).alias("f"),
+                                              F.count(F.lit(1)).alias("copies")), "contents")
+    copied = first.where("copies > 1").select("a", "c", F.struct("f.doc", "f.at").alias("f"))
+    factors = (hits.join(copied.hint("merge"), ["a", "c"]).where(~place.eqNullSafe(F.col("f")))
+               .select("doc", "at", "n"))
 
     several = first.groupBy("a").count().where("count > 1").select("a")
-    edges = (first.join(several, "a", "left_semi").select("f.*")
-             .groupBy("doc", "tag").agg(F.collect_list(F.struct("lo", "n")).alias("edges"))).hint("merge")
+    edges = (_split_join(first, several, ["a"], "left_semi").select("f.*")
+             .groupBy("doc", _tag(F.col("at")))
+             .agg(F.collect_list(_range(F.col("at"), F.col("n"))).alias("edges"))).hint("merge")
     at = src.join(edges, same(src, edges, ["doc", "tag"])).select(src.doc, src.tag, "text", "edges")
     single = at.mapInArrow(_edge_windows(window, gram),
-                           f"a long, w long, doc {kind}, tag int, lo int")
+                           f"a long, w long, doc {kind}, at long")
     seen = (single.groupBy("a", "w").agg(F.min(place).alias("f"), F.count(F.lit(1)).alias("copies"))
             .where("copies > 1").select("a", "w", "f"))
-    borders = (single.join(seen, ["a", "w"]).where(~place.eqNullSafe(F.col("f")))
-               .select("doc", "tag", "lo", F.lit(1).alias("n")))
+    borders = (_split_join(single, seen, ["a", "w"]).where(~place.eqNullSafe(F.col("f")))
+               .select("doc", "at", F.lit(1).alias("n")))
 
-    spans = (factors.unionByName(borders).groupBy("doc", "tag")
-             .agg(F.collect_list(F.struct("lo", "n")).alias("spans"))).hint("merge")
+    spans = (factors.unionByName(borders).groupBy("doc", _tag(F.col("at")))
+             .agg(F.collect_list(_range(F.col("at"), F.col("n"))).alias("spans"))).hint("merge")
     joined = src.join(spans, same(src, spans, ["doc", "tag"]), "left").select(
         src.doc, "text", "spans")
     out = joined.mapInArrow(_keep(window), T.StructType([
