@@ -79,6 +79,13 @@ def remove_rows(df: DataFrame, col: str, value) -> DataFrame:
     return df.where(~F.col(col).eqNullSafe(F.lit(value)))
 
 
+def removal_counts(df: DataFrame, col: str, value) -> DataFrame:
+    """P10: (n_before, n_after) rows around ``remove_rows``, in one scan."""
+    require_columns(df, [col])
+    return df.agg(F.count(F.lit(1)).alias("n_before"),
+                  F.count_if(~F.col(col).eqNullSafe(F.lit(value))).alias("n_after"))
+
+
 def normalize_na(df: DataFrame, cols: Iterable[str] | None = None,
                  tokens: Iterable[str] = NA_TOKENS) -> DataFrame:
     """Missing-value spellings -> null, for string columns."""

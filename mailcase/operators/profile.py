@@ -37,9 +37,9 @@ def language_share(df: DataFrame, lang_col: str = "lang",
     aggs = [F.count(F.lit(1)).alias("_n")] + [
         F.count_if(F.col(lang_col) == F.lit(lg)).alias(f"_c{i}") for i, lg in enumerate(languages)]
     one = df.agg(*aggs)
-    stack = "stack({}, {}) AS (Language, Count)".format(
-        len(languages), ", ".join(f"'{lg}', _c{i}" for i, lg in enumerate(languages)))
-    return one.selectExpr("_n", stack).select(
+    pairs = [F.struct(F.lit(lg).alias("Language"), F.col(f"_c{i}").alias("Count"))
+             for i, lg in enumerate(languages)]
+    return one.select("_n", F.inline(F.array(*pairs))).select(
         "Language", F.col("Count").cast("bigint").alias("Count"),
         F.try_divide(F.col("Count") * F.lit(100.0), F.col("_n")).alias("Percentage"))
 
@@ -68,9 +68,9 @@ def non_empty_counts(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """
     cols = present_columns(df, cols)
     one = df.agg(*[F.count_if(non_empty(F.col(c))).alias(f"_c{i}") for i, c in enumerate(cols)])
-    stack = "stack({}, {}) AS (column, n_non_empty)".format(
-        len(cols), ", ".join(f"'{c}', _c{i}" for i, c in enumerate(cols)))
-    return one.selectExpr(stack)
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(f"_c{i}").alias("n_non_empty"))
+             for i, c in enumerate(cols)]
+    return one.select(F.inline(F.array(*pairs)))
 
 
 def class_table(df_or_spark, label_set: LabelSet) -> DataFrame:
@@ -82,8 +82,10 @@ def class_table(df_or_spark, label_set: LabelSet) -> DataFrame:
 
 def label_histogram(df: DataFrame, label_col: str, label_set: LabelSet) -> DataFrame:
     """(class_id, class_name, n) zero-filled in label-set order."""
-    counts = df.groupBy(F.col(label_col).cast("int").alias("class_id")).agg(
-        F.count(F.lit(1)).alias("n"))
+    label = F.col(label_col).cast("int")
+    # At most one row per class, whatever other labels the data hold.
+    counts = df.where(label.between(0, len(label_set.classes) - 1)).groupBy(
+        label.alias("class_id")).agg(F.count(F.lit(1)).alias("n"))
     grid = class_table(df, label_set)
     return (grid.join(F.broadcast(counts), "class_id", "left")
             .select("class_id", "class_name", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
@@ -112,27 +114,46 @@ def profile_report(df: DataFrame, cols: Sequence[str] = ("Priority", "Complaint_
                    ) -> DataFrame:
     """A10: value counts of several columns in one scan: (column, value, count).
 
-    ``stack`` turns each row into one row per profiled column; partial
-    aggregation collapses them map-side before the single shuffle.
+    Each row becomes one row per profiled column; partial aggregation
+    collapses them map-side before the single shuffle.
     """
-    cols = present_columns(df, cols)
-    stack = "stack({}, {}) AS (column, value)".format(
-        len(cols), ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in cols))
-    return (df.selectExpr(stack).groupBy("column", "value")
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+             for c in present_columns(df, cols)]
+    return (df.select(F.inline(F.array(*pairs))).groupBy("column", "value")
             .agg(F.count(F.lit(1)).alias("count")))
 
 
-def count_matching(meta: DataFrame, emails: DataFrame, meta_key: str, email_key: str
-                   ) -> DataFrame:
+def data_amount_report(df: DataFrame, cols: Sequence[str], filled: Sequence[str], flag: str
+                       ) -> DataFrame:
+    """A10 with A6: (section, column, value, count) in one scan: ``values`` of
+    ``cols``, ``non_empty`` counts of ``filled`` and the ``total`` of a boolean column."""
+    def entry(section, c, value, counts):
+        return F.struct(F.lit(section).alias("section"), F.lit(c).alias("column"),
+                        value.cast("string").alias("value"), counts.cast("long").alias("n"))
+
+    entries = [entry("values", c, F.col(c), F.lit(1)) for c in present_columns(df, cols)]
+    entries += [entry("non_empty", c, F.lit(None), non_empty(F.col(c))) for c in present_columns(df, filled)]
+    entries.append(entry("total", flag, F.lit(None), F.coalesce(F.col(flag), F.lit(False))))
+    return (df.select(F.inline(F.array(*entries))).groupBy("section", "column", "value")
+            .agg(F.sum("n").alias("count")))
+
+
+def count_matching(meta: DataFrame, emails: DataFrame, meta_key: str, email_key: str,
+                   null_safe: bool = False) -> DataFrame:
     """How many metadata rows have a matching e-mail (semi join).
 
-    Returns one row (matched, total, ratio).
+    Returns one row (matched, total, ratio). With ``null_safe`` a null key
+    matches a null key.
     """
     for frame, key in ((meta, meta_key), (emails, email_key)):
         if key not in frame.columns:
             raise ValueError(f"column {key!r} not found")
-    keys = emails.select(F.col(email_key).alias("_k")).where(F.col("_k").isNotNull())
-    flagged = meta.join(keys.distinct(), F.col(meta_key) == F.col("_k"), "left").select(
-        F.col("_k").isNotNull().alias("_hit"))
+    keys = emails.select(F.col(email_key).alias("_k"))
+    if null_safe:
+        hit = F.col(meta_key).eqNullSafe(F.col("_k"))
+    else:
+        keys, hit = keys.where(F.col("_k").isNotNull()), F.col(meta_key) == F.col("_k")
+    keys = keys.distinct().withColumn("_here", F.lit(True))
+    flagged = meta.join(keys, hit, "left").select(F.col("_here").isNotNull().alias("_hit"))
     return flagged.agg(F.count_if("_hit").alias("matched"), F.count(F.lit(1)).alias("total")
                        ).withColumn("ratio", F.try_divide(F.col("matched"), F.col("total")))

@@ -117,7 +117,8 @@ SELECT doc_id,
     AS n_truncated,
   CAST(greatest(len(regexp_extract_all(lower(text), '[\\pL\\pN_]{2,}')) - 1, 0) AS INTEGER)
     AS n_bigrams,
-  regexp_extract_all(lower(text), '[\\pL\\pN_]{2,}')[1] AS first_token
+  regexp_extract_all(lower(text), '[\\pL\\pN_]{2,}')[1] AS first_token,
+  md5(array_to_string(regexp_extract_all(lower(text), '[\\pL\\pN_]{2,}'), ' ')) AS tokens_md5
 FROM documents""")
 def q_word_tokens(spark, sf_dir):
     """F26 + F27 + F28 over whole documents."""
@@ -125,4 +126,5 @@ def q_word_tokens(spark, sf_dir):
     t = word_tokens("text")
     return d.select("doc_id", F.size(t).alias("n_tokens"), F.size(truncate(t, 512)).alias(
         "n_truncated"), F.size(ngrams(t, 2)).alias("n_bigrams"),
-        F.try_element_at(t, F.lit(1)).alias("first_token"))
+        F.try_element_at(t, F.lit(1)).alias("first_token"),
+        F.md5(F.array_join(t, " ")).alias("tokens_md5"))

@@ -126,7 +126,8 @@ def q_clean_text(spark, sf_dir):
 
 @query("sentences", """
 SELECT doc_id, CAST(len(string_split(text, '. ')) AS INTEGER) AS n_sentences,
-       string_split(text, '. ')[1] AS first_sentence
+       string_split(text, '. ')[1] AS first_sentence,
+       md5(array_to_string(string_split(text, '. '), chr(31))) AS sentences_md5
 FROM documents""")
 def q_sentences(spark, sf_dir):
     """F15 over whole documents."""
@@ -134,4 +135,5 @@ def q_sentences(spark, sf_dir):
 
     d = table(spark, sf_dir, "documents")
     s = T.split_sentences("text")
-    return d.select("doc_id", F.size(s).alias("n_sentences"), s[0].alias("first_sentence"))
+    return d.select("doc_id", F.size(s).alias("n_sentences"), s[0].alias("first_sentence"),
+                    F.md5(F.array_join(s, "\x1f")).alias("sentences_md5"))

@@ -33,4 +33,5 @@ def query(name: str, oracle: str | None = None):
 def load_all() -> None:
     """Import the modules that register queries."""
     from mailcase.plans import (q_prepare, q_profile, q_labels, q_metrics,  # noqa: F401
-                                q_features, q_language, q_models, q_sources, q_streaming)
+                                q_features, q_injected, q_language, q_models, q_sources,
+                                q_streaming)
