@@ -44,6 +44,8 @@ TRIGRAM = r"(?s)(?=(.{3}))"
 # Profiles up to this many trigrams are broadcast (about 8 + 8 * languages
 # bytes a row: 2M rows and 4 languages is about 80 MB).
 BROADCAST_MAX_ROWS = 2_000_000
+#: More distinct labels than this are taken for a dirty column.
+MAX_LANGUAGES = 256
 
 
 def normalized(text) -> Column:
@@ -95,14 +97,22 @@ class LanguageModel:
 
 
 def fit_language_model(train: DataFrame, key: str, text: str, lang: str, *,
+                       languages: Sequence[str] | None = None,
                        broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> LanguageModel:
-    """Learn trigram profiles from labelled texts (``key`` kept for the API)."""
+    """Learn trigram profiles from labelled texts (``key`` kept for the API).
+
+    ``languages`` is the label set; texts with other labels are not learnt from.
+    Without it the labels of the column are used, at most ``MAX_LANGUAGES``.
+    """
     from mailcase.session import ensure_checkpoint_dir
 
-    # The language list: one value per language, read from one column.
-    languages = sorted(r[0] for r in train.select(lang).where(F.col(lang).isNotNull())
-                       .distinct().collect())
-    occ = train.where(F.col(lang).isNotNull()).select(
+    if languages is None:
+        found = train.select(lang).where(F.col(lang).isNotNull()).distinct().limit(MAX_LANGUAGES + 1)
+        languages = [r[0] for r in found.collect()]
+        if len(languages) > MAX_LANGUAGES:
+            raise ValueError(f"more than {MAX_LANGUAGES} values in {lang!r}: give the languages")
+    languages = sorted(set(languages))
+    occ = train.where(F.col(lang).isin(languages)).select(
         lang, F.explode(trigrams(text)).alias("trigram"))
     counts = occ.groupBy(lang, "trigram").agg(F.count(F.lit(1)).alias("c"))
     wide = counts.groupBy("trigram").pivot(lang, languages).agg(F.first("c"))

@@ -35,14 +35,6 @@ def _z(c: Column) -> Column:
 
 # --------------------------------------------------------------------- E1-E7
 
-def class_grid(df_or_spark, label_set: LabelSet) -> DataFrame:
-    """Every (true, predicted) pair of the label set: C*C rows from the parameter."""
-    spark = getattr(df_or_spark, "sparkSession", df_or_spark)
-    rows = [(i, a, j, b) for i, a in enumerate(label_set.classes)
-            for j, b in enumerate(label_set.classes)]
-    return spark.createDataFrame(rows, "true_id int, true_name string, pred_id int, pred_name string")
-
-
 CM_SCHEMA = "true_id int, true_name string, pred_id int, pred_name string, n bigint"
 
 

@@ -16,14 +16,12 @@ from mailcase.operators.filters import (anonymize, complaints_only, drop_auto_re
 from mailcase.operators.profile import bool_stats
 from mailcase.operators.sampling import in_sample
 
-OUTPUT_COLUMNS = ("Subject", "TextBody", "Priority", "Complaint", "Complaint_type")
-
 
 def prepare_cases(cases: DataFrame, *, type_col: str = "Type_of_Complaint",
                   body_col: str = "TextBody", key: str | None = "case_id",
                   name_col: str | None = None, complaints_only_: bool = False,
                   strip_punctuation: bool = False) -> DataFrame:
-    """Filter, label and clean a case export; keeps ``key`` and the 6 output columns."""
+    """Filter, label and clean a case export; keeps ``key`` and six output columns."""
     df = cases
     if name_col and name_col in df.columns:
         df = anonymize(df, name_col)

@@ -1,20 +1,22 @@
 """Registered queries whose inputs carry what the driver tables lack: long rows,
-disclaimers, protected links, null keys, names (S3, S8, P1, P10, J2, A10, E11,
-E12, X5, F13, F14). Each reads whole tables and adds the missing part by key.
+disclaimers, protected links, null keys, names, and operators that no other query
+shows (S3, S8, P1, P10, J2, J3, A10, E11, E12, X5, F13, F14, F25). Each reads whole tables and adds the missing part by key.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from mailcase.functions.labels import PRIORITY5
+from mailcase.functions.scores import probability_map
 from mailcase.functions.text import remove_disclaimers, unwrap_url
 from mailcase.operators import metrics as M
 from mailcase.operators import profile as A
 from mailcase.operators.filters import anonymize, removal_counts
-from mailcase.operators.sampling import top_k
+from mailcase.operators.sampling import complement, top_k
 from mailcase.plans.oracle_views import with_views
 from mailcase.plans.prepare import prepare_cases
-from mailcase.plans.q_metrics import OVR_SRC, _cum_sql, _r, predictions
+from mailcase.plans.q_metrics import CLASSES5, OVR_SRC, _cum_sql, _r, predictions
 from mailcase.plans.q_sources import _na, scratch
 from mailcase.plans.registry import query
 from mailcase.sources import cases as S
@@ -173,3 +175,22 @@ def q_disclaimers(spark, sf_dir):
                        "attachments are intended only for the addressee and "
                        "https://checkpoint.url-protection.com/v2/"), F.col("lang"), F.lit(" end"))
     return table(spark, sf_dir, "documents").select("doc_id", remove_disclaimers(t).alias("text"))
+
+
+@query("complement_rows", with_views(["prepared_cases"], """
+SELECT case_id, Subject FROM prepared_cases
+WHERE case_id NOT IN (SELECT case_id FROM prepared_cases WHERE Complaint)"""))
+def q_complement_rows(spark, sf_dir):
+    """The rows of a frame that are not in a part of it, by key."""
+    p = prepare_cases(email_cases(spark, sf_dir))
+    return complement(p, p.where("Complaint"), "case_id").select("case_id", "Subject")
+
+
+@query("probability_map", with_views(["class_probs"], f"""
+SELECT id, class_name, round(probs[class_id + 1], 6) AS prob
+FROM class_probs, (VALUES {CLASSES5}) c(class_name, class_id)"""))
+def q_probability_map(spark, sf_dir):
+    """the probability of every class by its name."""
+    p = predictions(spark, sf_dir)
+    return p.select("id", F.explode(probability_map("probs", PRIORITY5)).alias("class_name", "prob")
+                    ).select("id", "class_name", _r("prob"))

@@ -48,3 +48,14 @@ def test_sentence_languages(spark):
                   for r in sentence_languages(df, "doc_id", "text", m).collect())
     assert [(p, s) for p, s, _ in rows] == [(0, "the cat sat on the mat"), (1, "der Hund ist im Haus")]
     assert rows[0][2] == "en" and rows[1][2] == "de"
+
+
+def test_languages_are_a_label_set_or_few(spark):
+    import pytest
+    from mailcase.operators.language import MAX_LANGUAGES, fit_language_model
+
+    rows = [(i, f"some words {i}", f"l{i}") for i in range(MAX_LANGUAGES + 1)]
+    df = spark.createDataFrame(rows, "id long, text string, lang string")
+    with pytest.raises(ValueError, match="give the languages"):
+        fit_language_model(df, "id", "text", "lang")
+    assert fit_language_model(df, "id", "text", "lang", languages=["l2", "l1"]).languages == ["l1", "l2"]
