@@ -19,8 +19,8 @@ labels); the profile (one row per trigram, one count column per language)
 is checkpointed to the shared checkpoint folder, so its row count ``V`` and
 the language totals are read from that small table and the lineage is cut.
 Detect: because the score is a sum over occurrences, no per-(text,
-trigram) count is needed. When ``V`` is at most ``broadcast_max_rows`` the
-profile is broadcast and the plan is scan -> explode -> broadcast join ->
+trigram) count is needed. When the profile takes at most ``broadcast_max_bytes`` it is
+broadcast and the plan is scan -> explode -> broadcast join ->
 partial sum per text, whose only shuffle carries one small row per text
 and partition; otherwise occurrences are pre-aggregated per (text,
 trigram) and joined on the trigram by a shuffle join (AQE splits hot
@@ -41,9 +41,8 @@ from mailcase.functions.text import split_sentences
 UNKNOWN = "unknown"
 NON_LETTERS = r"[^\p{L}]+"
 TRIGRAM = r"(?s)(?=(.{3}))"
-# Profiles up to this many trigrams are broadcast (about 8 + 8 * languages
-# bytes a row: 2M rows and 4 languages is about 80 MB).
-BROADCAST_MAX_ROWS = 2_000_000
+# Profiles up to this size in memory are broadcast.
+BROADCAST_MAX_BYTES = 256 << 20
 #: More distinct labels than this are taken for a dirty column.
 MAX_LANGUAGES = 256
 
@@ -69,7 +68,12 @@ class LanguageModel:
     profile: DataFrame          # trigram, one log(c + 1) column per language
     log_norm: dict[str, float]  # language -> log(N_lang + V)
     n_trigrams: int             # V: rows of the profile
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS
+    broadcast_max_bytes: int = BROADCAST_MAX_BYTES
+
+    @property
+    def n_bytes(self) -> int:
+        """Size of the profile as a hash relation: key and row overhead, one double a language."""
+        return self.n_trigrams * (64 + 8 * len(self.languages))
 
     def detect(self, df: DataFrame, keys: Sequence[str], text: str,
                output: str = "detected") -> DataFrame:
@@ -77,7 +81,7 @@ class LanguageModel:
         keys = list(keys)
         occ = df.select(*keys, F.explode_outer(trigrams(text)).alias("trigram"))
         lcols = [f"_l{i}" for i in range(len(self.languages))]
-        if self.n_trigrams <= self.broadcast_max_rows:
+        if self.n_bytes <= self.broadcast_max_bytes:
             j = occ.join(F.broadcast(self.profile), "trigram", "left")
             n = F.when(F.col("trigram").isNotNull(), F.lit(1)).otherwise(F.lit(0))
         else:
@@ -98,7 +102,7 @@ class LanguageModel:
 
 def fit_language_model(train: DataFrame, key: str, text: str, lang: str, *,
                        languages: Sequence[str] | None = None,
-                       broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> LanguageModel:
+                       broadcast_max_bytes: int = BROADCAST_MAX_BYTES) -> LanguageModel:
     """Learn trigram profiles from labelled texts (``key`` kept for the API).
 
     ``languages`` is the label set; texts with other labels are not learnt from.
@@ -125,7 +129,7 @@ def fit_language_model(train: DataFrame, key: str, text: str, lang: str, *,
     log_norm = {lg: math.log(row[f"N{i}"] + v) for i, lg in enumerate(languages)}
     profile = wide.select("trigram", *[F.log1p(f"_c{i}").alias(f"_l{i}")
                                        for i in range(len(languages))])
-    return LanguageModel(languages, profile, log_norm, v, broadcast_max_rows)
+    return LanguageModel(languages, profile, log_norm, v, broadcast_max_bytes)
 
 
 def sentence_languages(df: DataFrame, key: str, text: str, model: LanguageModel

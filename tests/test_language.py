@@ -18,7 +18,7 @@ def test_holdout_accuracy_and_paths_agree(spark):
     assert m.n_trigrams == m.profile.count()
     test = table(spark, SF_MED, "documents").where(~in_sample("doc_id", 0.8, 42))
     a = {r[0]: r[1] for r in m.detect(test, ["doc_id"], "text").collect()}
-    shuffled = replace(m, broadcast_max_rows=0)   # force the shuffle-join path
+    shuffled = replace(m, broadcast_max_bytes=0)   # force the shuffle-join path
     b = {r[0]: r[1] for r in shuffled.detect(test, ["doc_id"], "text").collect()}
     assert a == b
     truth = {r[0]: r[1] for r in test.select("doc_id", "lang").collect()}
