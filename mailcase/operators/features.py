@@ -69,7 +69,7 @@ def fit_vocabulary(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
 
 
 def tfidf(terms: DataFrame, vocab: DataFrame, key: str = "doc_id",
-          vocab_bounded: bool = True) -> DataFrame:
+          vocab_bounded: bool = False) -> DataFrame:
     """M2 (+ J6): (key, term, tfidf), L2-normalised per document; unseen terms dropped.
 
     ``vocab_bounded`` says the vocabulary has a size cap (``max_features``);

@@ -25,6 +25,10 @@ partial sum per text, whose only shuffle carries one small row per text
 and partition; otherwise occurrences are pre-aggregated per (text,
 trigram) and joined on the trigram by a shuffle join (AQE splits hot
 trigrams).
+Sentences of a text (F17, F18) are scored inside their row where the profile
+takes at most ``row_max_bytes``: an Arrow-batched function looks the trigrams
+up, splitting and filtering stay column expressions, and nothing is shuffled.
+With a larger profile the sentences go through ``detect``.
 """
 
 from __future__ import annotations
@@ -33,6 +37,8 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +49,8 @@ NON_LETTERS = r"[^\p{L}]+"
 TRIGRAM = r"(?s)(?=(.{3}))"
 # Profiles up to this size in memory are broadcast.
 BROADCAST_MAX_BYTES = 256 << 20
+# Profiles up to this size are sent to the Python workers, for scoring in the row.
+ROW_MAX_BYTES = 64 << 20
 #: More distinct labels than this are taken for a dirty column.
 MAX_LANGUAGES = 256
 
@@ -69,6 +77,7 @@ class LanguageModel:
     log_norm: dict[str, float]  # language -> log(N_lang + V)
     n_trigrams: int             # V: rows of the profile
     broadcast_max_bytes: int = BROADCAST_MAX_BYTES
+    row_max_bytes: int = ROW_MAX_BYTES
 
     @property
     def n_bytes(self) -> int:
@@ -100,6 +109,35 @@ class LanguageModel:
                         .otherwise(F.lit(UNKNOWN)).alias(output))
 
 
+    def detect_each(self, texts: Column) -> Column:
+        """F16 for every element of an array column, inside the row.
+
+        The profile is collected (at most ``row_max_bytes``, checked by the
+        caller) and sent to the tasks once. A null array gives null.
+        """
+        rows = self.profile.collect()
+        names, n = self.languages, len(self.languages)
+        # The last row, of zeros, stands for trigrams outside the profile.
+        logs = np.array([tuple(r[f"_l{i}"] for i in range(n)) for r in rows] + [(0.0,) * n])
+        norm = np.array([self.log_norm[lg] for lg in names])
+        sent = self.profile.sparkSession.sparkContext.broadcast(
+            ({r["trigram"]: i for i, r in enumerate(rows)}, logs, norm))
+
+        @F.pandas_udf("array<string>")
+        def languages(arrays: pd.Series) -> pd.Series:
+            at, logs, norm = sent.value
+
+            def one(s):
+                if s is None:
+                    return UNKNOWN
+                ids = [at.get(s[i:i + 3], -1) for i in range(len(s) - 2)]
+                return names[int(np.argmax(logs[ids].sum(axis=0) - len(ids) * norm))]
+
+            return arrays.map(lambda a: None if a is None else [one(s) for s in a])
+
+        return languages(F.transform(texts, normalized))
+
+
 def fit_language_model(train: DataFrame, key: str, text: str, lang: str, *,
                        languages: Sequence[str] | None = None,
                        broadcast_max_bytes: int = BROADCAST_MAX_BYTES) -> LanguageModel:
@@ -132,23 +170,40 @@ def fit_language_model(train: DataFrame, key: str, text: str, lang: str, *,
     return LanguageModel(languages, profile, log_norm, v, broadcast_max_bytes)
 
 
-def sentence_languages(df: DataFrame, key: str, text: str, model: LanguageModel
-                       ) -> DataFrame:
-    """(key, pos, sentence, lang) for every sentence of every text."""
+def sentence_languages(df: DataFrame, key: str, text: str, model: LanguageModel, *,
+                       distinct: bool = False) -> DataFrame:
+    """(key, pos, sentence, lang) for every sentence of every text; with
+    ``distinct`` for the first occurrence of each sentence of a text."""
     s = df.select(key, F.posexplode(split_sentences(text)).alias("pos", "sentence"))
-    det = model.detect(s, [key, "pos"], "sentence", "lang")
-    return s.join(det, [key, "pos"])
+    if model.n_bytes <= model.row_max_bytes:
+        parts = df.select(key, split_sentences(text).alias("s"))
+        parts = parts.select(key, "s", model.detect_each(F.col("s")).alias("lang"))
+        out = parts.select(key, F.posexplode(F.arrays_zip("s", "lang")).alias("pos", "e")).select(
+            key, "pos", F.col("e.s").alias("sentence"), F.col("e.lang").alias("lang"))
+    else:
+        out = s.join(model.detect(s, [key, "pos"], "sentence", "lang"), [key, "pos"])
+    if not distinct:
+        return out
+    return out.groupBy(key, "sentence").agg(F.min("pos").alias("pos"), F.first("lang").alias("lang")
+                                            ).select(key, "pos", "sentence", "lang")
 
 
 def keep_language(df: DataFrame, key: str, text: str, model: LanguageModel,
                   language: str, output: str = "kept") -> DataFrame:
     """keep the sentences detected as ``language``, rejoined by ``'. '`` in order.
 
-    Only sentence positions travel: detection gives (key, pos, lang); the
-    kept positions of a text (small ints, one text per group) are joined to
-    the text, which is split again and filtered by position with array
-    functions. Texts with no kept sentence give ``''``; null texts stay null.
+    Sentences are detected and filtered inside the row. With a profile too
+    large for that only positions travel: the kept positions of a text (small
+    ints, one text per group) are joined to the text, which is split again and
+    filtered by position. Texts with no kept sentence give ``''``; null texts
+    stay null.
     """
+    if model.n_bytes <= model.row_max_bytes:
+        parts = df.select(key, split_sentences(text).alias("s"))
+        zipped = parts.select(key, F.arrays_zip(
+            "s", model.detect_each(F.col("s")).alias("lang")).alias("e"))
+        chosen = F.filter("e", lambda e: e["lang"] == language)
+        return zipped.select(key, F.when(F.col("e").isNotNull(), F.concat_ws(". ", chosen["s"])).alias(output))
     s = df.select(key, F.posexplode(split_sentences(text)).alias("pos", "sentence"))
     det = model.detect(s, [key, "pos"], "sentence", "_lang")
     kept = det.where(F.col("_lang") == language).groupBy(key).agg(

@@ -10,7 +10,8 @@ window ``partitionBy(class).orderBy(score)`` would put a whole class into
 one task. Instead the distinct scores are cut into quantile buckets, the
 bucket totals (classes x buckets rows) get their offsets from a window over
 that tiny table, and the running sum inside each (class, bucket) window
-adds the offset. Exact, and no task holds more than ~1/B of the scores.
+adds the offset. Exact, and no task holds more than ~1/B of the scores; B
+follows from the number of distinct scores.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ from mailcase.functions.labels import LabelSet
 from mailcase.functions.scores import log_softmax
 from mailcase.operators.profile import class_table
 
-DEFAULT_BUCKETS = 256
+#: Distinct scores aimed at per bucket, and the fewest buckets.
+BUCKET_SCORES = 500_000
+MIN_BUCKETS = 256
 
 
 def _z(c: Column) -> Column:
@@ -235,7 +238,7 @@ def _score_buckets(counts: DataFrame, score: str, n_buckets: int) -> list[float]
 
 
 def cumulative_counts(df: DataFrame, is_pos: str, score: str, by: Sequence[str] = (),
-                      n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                      n_buckets: int | None = None) -> DataFrame:
     """For each distinct score (per group): pos, neg, tp, fp (counts at or above
     the score) and the group totals P, N."""
     from mailcase.session import materialize
@@ -243,6 +246,8 @@ def cumulative_counts(df: DataFrame, is_pos: str, score: str, by: Sequence[str]
     by = list(by)
     # Read by the quantile job and by two branches below: computed once.
     counts = materialize(score_counts(df, is_pos, score, by))
+    if n_buckets is None:
+        n_buckets = max(MIN_BUCKETS, counts.count() // BUCKET_SCORES)
     splits = _score_buckets(counts, score, n_buckets)
     if len(splits) > 2:
         b = Bucketizer(splits=splits, inputCol=score, outputCol="_b", handleInvalid="keep")
@@ -278,7 +283,7 @@ def cumulative_counts(df: DataFrame, is_pos: str, score: str, by: Sequence[str]
 
 
 def roc_curve(df: DataFrame, is_pos: str, score: str, by: Sequence[str] = (),
-              n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+              n_buckets: int | None = None) -> DataFrame:
     """(by..., threshold, fpr, tpr): one point per distinct score plus the
     start point (threshold +inf, 0, 0)."""
     by = list(by)
@@ -294,7 +299,7 @@ def roc_curve(df: DataFrame, is_pos: str, score: str, by: Sequence[str] = (),
 
 
 def roc_auc(df: DataFrame, is_pos: str, score: str, by: Sequence[str] = (),
-            n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+            n_buckets: int | None = None) -> DataFrame:
     """Trapezoid area under E9 (= Mann-Whitney); NULL without positives or negatives.
 
     Each distinct score adds the trapezoid ``neg/N * (tp + tp_prev) / (2P)``
@@ -311,7 +316,7 @@ def roc_auc(df: DataFrame, is_pos: str, score: str, by: Sequence[str] = (),
 
 
 def pr_curve(df: DataFrame, is_pos: str, score: str, by: Sequence[str] = (),
-             n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+             n_buckets: int | None = None) -> DataFrame:
     """(by..., threshold, precision, recall) per distinct score, plus the
     end point (threshold NULL, precision 1, recall 0)."""
     by = list(by)
@@ -326,7 +331,7 @@ def pr_curve(df: DataFrame, is_pos: str, score: str, by: Sequence[str] = (),
 
 
 def average_precision(df: DataFrame, is_pos: str, score: str, by: Sequence[str] = (),
-                      n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                      n_buckets: int | None = None) -> DataFrame:
     """``sum (R_n - R_{n-1}) P_n`` without interpolation; NULL without positives."""
     by = list(by)
     c = cumulative_counts(df, is_pos, score, by, n_buckets)
@@ -337,7 +342,7 @@ def average_precision(df: DataFrame, is_pos: str, score: str, by: Sequence[str]
 
 
 def ovr_metric(df: DataFrame, label: str, probs: str, label_set: LabelSet, metric: str,
-               n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+               n_buckets: int | None = None) -> DataFrame:
     """E11 / E13 one-vs-rest: per-class value plus a ``macro`` row (mean of non-NULL)."""
     fn = {"roc_auc": roc_auc, "average_precision": average_precision}[metric]
     long = label_binarize(df, label, probs)

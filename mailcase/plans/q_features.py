@@ -44,7 +44,7 @@ def q_tfidf(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     dt = doc_terms(d, "doc_id", "text")
     v = fit_vocabulary(d, "doc_id", "text", terms=dt)
-    return tfidf(dt, v).select("doc_id", "term", F.round("tfidf", 6).alias("tfidf"))
+    return tfidf(dt, v, vocab_bounded=True).select("doc_id", "term", F.round("tfidf", 6).alias("tfidf"))
 
 
 @query("featurizer_tfidf", TERMS_SQL + """

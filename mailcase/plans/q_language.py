@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from mailcase.functions.text import remove_disclaimers, unwrap_url
-from mailcase.operators.language import fit_language_model, keep_language
+from mailcase.operators.language import (fit_language_model, keep_language,
+                                         sentence_languages)
 from mailcase.operators.sampling import in_sample
 from mailcase.plans.oracle_views import with_views
 from mailcase.plans.registry import query
@@ -95,6 +96,17 @@ def q_keep_language(spark, sf_dir):
     return keep_language(table(spark, sf_dir, "documents"), "doc_id", "text", m, "en")
 
 
+@query("sentence_languages", with_views([], """
+SELECT s.doc_id, s.text AS sentence, CAST(min(s.pos) AS INTEGER) AS pos,
+       any_value(coalesce(det.detected, 'unknown')) AS lang
+FROM sents s LEFT JOIN det USING (doc_id, pos) GROUP BY s.doc_id, s.text""",
+    dict(_model_sql(), sents=SENT_SQL, **_detect_sql("sents", "doc_id, pos"))))
+def q_sentence_languages(spark, sf_dir):
+    """the language of every distinct sentence of every document."""
+    m = _model(spark, sf_dir)
+    return sentence_languages(table(spark, sf_dir, "documents"), "doc_id", "text", m, distinct=True)
+
+
 @query("preprocess_body", with_views(["email_cases"], """
 SELECT e.case_id, CASE WHEN e.TextBody IS NOT NULL THEN coalesce(k.kept, '') END AS kept
 FROM email_cases e LEFT JOIN (

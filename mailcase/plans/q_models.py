@@ -109,9 +109,10 @@ def q_lr_binary_roc(spark, sf_dir):
                                                 F.col("roc_auc").alias("value"))
     ap = M.average_precision(s, "is_pos", "score").select(
         F.lit("average_precision").alias("metric"), F.col("average_precision").alias("value"))
-    # One row beside two.
-    return auc.unionByName(ap).join(F.broadcast(n)).select(
-        "metric", "positives", "negatives", F.col("value").between(0.0, 1.0).alias("in_range"))
+    return auc.unionByName(ap).select(
+        "metric", n.select("positives").scalar().alias("positives"),
+        n.select("negatives").scalar().alias("negatives"),
+        F.col("value").between(0.0, 1.0).alias("in_range"))
 
 
 @query("mtl_metrics")

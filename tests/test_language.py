@@ -59,3 +59,24 @@ def test_languages_are_a_label_set_or_few(spark):
     with pytest.raises(ValueError, match="give the languages"):
         fit_language_model(df, "id", "text", "lang")
     assert fit_language_model(df, "id", "text", "lang", languages=["l2", "l1"]).languages == ["l1", "l2"]
+
+
+def test_sentences_are_scored_in_the_row(spark):
+    m = _model(spark)
+    d = table(spark, SF_MED, "documents").where("doc_id < 200")
+    kept = keep_language(d, "doc_id", "text", m, "en")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    joined = replace(m, row_max_bytes=0)          # profile taken for too large
+    other = keep_language(d, "doc_id", "text", joined, "en")
+    assert sorted(kept.collect()) == sorted(other.collect())
+    a, b = (sentence_languages(d, "doc_id", "text", x) for x in (m, joined))
+    assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_repeated_sentences_count_once(spark):
+    m = _model(spark)
+    df = spark.createDataFrame([(1, "the cat sat. der Hund. the cat sat"), (2, None)],
+                               "doc_id long, text string")
+    rows = sentence_languages(df, "doc_id", "text", m, distinct=True).collect()
+    assert sorted((r["pos"], r["sentence"]) for r in rows) == [(0, "the cat sat"), (1, "der Hund")]

@@ -150,3 +150,17 @@ def test_ovr_macro_skips_null(spark):
     o = {r["class_name"]: r["value"] for r in M.ovr_metric(df, "label", "probs", ls, "roc_auc").collect()}
     assert o["c"] is None
     assert o["macro"] == pytest.approx((o["a"] + o["b"]) / 2)
+
+
+def test_bucket_count_follows_the_scores(spark, monkeypatch):
+    from mailcase.operators import metrics as M
+
+    df = spark.range(400).selectExpr("CAST(id % 3 = 0 AS INT) AS y", "id / 400.0 AS s")
+    expected = M.roc_auc(df, "y", "s").first()[0]
+    asked = []
+    cut = M._score_buckets
+    monkeypatch.setattr(M, "_score_buckets", lambda c, s, n: asked.append(n) or cut(c, s, n))
+    monkeypatch.setattr(M, "MIN_BUCKETS", 2)
+    monkeypatch.setattr(M, "BUCKET_SCORES", 20)
+    assert abs(M.roc_auc(df, "y", "s").first()[0] - expected) < 1e-12
+    assert asked == [20]
