@@ -18,6 +18,8 @@ from mailcase.operators.sampling import in_sample
 from mailcase.plans.oracle_views import with_views
 from mailcase.plans.prepare import prepare_cases
 from mailcase.plans.q_prepare import SPLIT_SQL
+from mailcase.plans.q_labels import PRIO5_SQL, TYPE4_SQL
+from mailcase.plans.q_sources import scratch
 from mailcase.plans.registry import query
 from mailcase.session import materialize
 from mailcase.sources.tables import email_cases
@@ -71,7 +73,32 @@ def q_feature_importance(spark, sf_dir):
     return ML.feature_importance(model, 20)
 
 
-@query("lr_priority_report")
+def _report_sql(classes) -> str:
+    """Rows and supports of a report on the test split, the part that SQL can derive."""
+    names = ", ".join(f"('{c}', {i})" for i, c in enumerate(classes))
+    return f"""
+SELECT row, support, true AS in_range FROM (
+  SELECT c.row, (SELECT count(*) FROM t WHERE t.label = c.id) AS support
+  FROM (VALUES {names}) c(row, id)
+  UNION ALL SELECT r, (SELECT count(*) FROM t)
+  FROM (VALUES ('accuracy'), ('macro avg'), ('weighted avg')) v(r))"""
+
+
+def _test_labels(label: str, where: str = "true") -> dict[str, str]:
+    return {"t": f"SELECT {label} AS label FROM prepared_cases WHERE NOT ({SPLIT_SQL}) AND {where}"}
+
+
+def _checked(report):
+    """A report's rows and supports, and whether its figures are shares (the
+    accuracy row has one, in ``f1_score``)."""
+    ok = F.col("f1_score").between(0.0, 1.0)
+    for c in ("precision", "recall"):
+        ok = ok & ((F.col("row") == "accuracy") | F.coalesce(F.col(c).between(0.0, 1.0), F.lit(False)))
+    return report.select("row", "support", ok.alias("in_range"))
+
+
+@query("lr_priority_report", with_views(["prepared_cases"], _report_sql(PRIORITY5.classes),
+                                        _test_labels(PRIO5_SQL)))
 def q_lr_priority_report(spark, sf_dir):
     """M7 + E7: class-weighted multinomial LR on 5 priorities, report on the test split."""
     c = model_cases(spark, sf_dir)
@@ -79,17 +106,36 @@ def q_lr_priority_report(spark, sf_dir):
                               weighted=True)
     scored = materialize(ML.score(model, c.where(~F.col("is_train")), PRIORITY5,
                                   keep=["case_id", "label_p"]))
-    return M.classification_report(scored, "label_p", "pred", PRIORITY5, digits=5)
+    return _checked(M.classification_report(scored, "label_p", "pred", PRIORITY5, digits=5))
 
 
-@query("lr_complaint_type_report")
+@query("lr_complaint_type_report", with_views(["prepared_cases"], _report_sql(TYPE4.classes),
+                                              _test_labels(TYPE4_SQL, "Complaint")))
 def q_lr_type_report(spark, sf_dir):
     """M7 on complaints only: 4 complaint types, report on the test split."""
     c = model_cases(spark, sf_dir).where("Complaint")
     model = ML.train_logistic(c.where("is_train"), "case_id", "text", "label_t", TYPE4)
     scored = materialize(ML.score(model, c.where(~F.col("is_train")), TYPE4,
                                   keep=["case_id", "label_t"]))
-    return M.classification_report(scored, "label_t", "pred", TYPE4, digits=5)
+    return _checked(M.classification_report(scored, "label_t", "pred", TYPE4, digits=5))
+
+
+@query("model_reload", with_views(["prepared_cases"], f"""
+SELECT case_id, true AS same_probs, true AS same_pred, 'type4' AS label_set
+FROM prepared_cases WHERE Complaint AND NOT ({SPLIT_SQL})"""))
+def q_model_reload(spark, sf_dir):
+    """A saved and loaded model scores every test row as the fitted one does."""
+    c = model_cases(spark, sf_dir).where("Complaint")
+    model = ML.train_logistic(c.where("is_train"), "case_id", "text", "label_t", TYPE4, max_iter=10)
+    root = scratch(spark, "models")
+    ML.save_model(model, root, "complaint_type", 1, TYPE4)
+    loaded, label_set = ML.load_model(root, "complaint_type", 1)
+    first = ML.score(model, c.where(~F.col("is_train")), TYPE4, keep=["case_id", "text"])
+    first = materialize(first.withColumnsRenamed({"probs": "probs_1", "pred": "pred_1"}))
+    again = ML.score(loaded, first, label_set, keep=["case_id", "probs_1", "pred_1"])
+    return again.select("case_id", (F.col("probs") == F.col("probs_1")).alias("same_probs"),
+                        (F.col("pred") == F.col("pred_1")).alias("same_pred"),
+                        F.lit(label_set.name).alias("label_set"))
 
 
 @query("lr_binary_roc", with_views(["prepared_cases"], f"""
@@ -115,7 +161,9 @@ def q_lr_binary_roc(spark, sf_dir):
         F.col("value").between(0.0, 1.0).alias("in_range"))
 
 
-@query("mtl_metrics")
+@query("mtl_metrics", with_views(["prepared_cases"], f"""
+SELECT metric, (SELECT count(*) FROM prepared_cases WHERE NOT ({SPLIT_SQL})) AS n_rows, true AS in_range
+FROM (VALUES ('accuracy_binary'), ('accuracy_multiclass'), ('f1_binary'), ('f1_multiclass')) m(metric)"""))
 def q_mtl_metrics(spark, sf_dir):
     """M8 + E6: shared features, binary and type heads, joint metrics on the test split."""
     c = model_cases(spark, sf_dir)
@@ -130,5 +178,7 @@ def q_mtl_metrics(spark, sf_dir):
     j = materialize(both.select("case_id", "label_b", "label_t",
                                 F.element_at(vector_to_array("raw_b"), 2).alias("logit_b"),
                                 F.col("pred_m").cast("int").alias("pred")))
-    return M.joint_metrics(j, bin_label="label_b", bin_logit="logit_b", mc_label="label_t",
-                           mc_pred="pred", label_set=TYPE4)
+    m = M.joint_metrics(j, bin_label="label_b", bin_logit="logit_b", mc_label="label_t",
+                        mc_pred="pred", label_set=TYPE4)
+    n = j.select(F.count(F.lit(1)).alias("n")).scalar()
+    return m.select("metric", n.alias("n_rows"), F.col("value").between(0.0, 1.0).alias("in_range"))
