@@ -16,8 +16,8 @@ from mailcase.llm.tables import stored
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3.0
 SEED = 17
-#: Sources up to which their table is broadcast (about 100 bytes a row).
-BROADCAST_SOURCES = 100_000
+#: Size in memory up to which the table of sources is broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
 def word_count(text: Column) -> Column:
@@ -92,7 +92,9 @@ def _mixed(docs: DataFrame, key: str, text: str, source: str, weights, max_repea
     src = docs.select(F.struct("*").alias("_row"), F.col(key).alias("_key"),
                       F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
     targets = source_targets(src.select("source", "size"), weights, max_repeats)
-    if targets.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
+    # A row is a name, two numbers and the relation's overhead.
+    row = F.coalesce(F.octet_length(F.col("source").cast("string")), F.lit(0)) + F.lit(96)
+    if (targets.agg(F.sum(row.cast("long"))).first()[0] or 0) <= BROADCAST_BYTES:
         targets = F.broadcast(targets)
     t = targets.withColumnRenamed("source", "_source")
     j = src.join(t, src["source"].eqNullSafe(t["_source"])).drop("_source")

@@ -156,3 +156,15 @@ def test_pipeline(spark, edge, empty, labels, benchmark, tmp_out):
     assert Counter(r.doc_id for r in kept) == Counter([1, 2, 3, 4, 6, 6, 8, 9, 10, 11, 12, 13, None])
     clean = {r.doc_id for r in P.decontamination(spark, edge, tmp_out).collect()}
     assert clean == {1, 2, 3, 8, 9, 10, 11, 12, 13, None}
+
+
+def test_mix_joins_sources_that_are_not_broadcast(spark, monkeypatch):
+    from mailcase.llm import mixing
+
+    docs = spark.createDataFrame([(i, "a b c " * (i % 5), f"s{i % 4}" if i % 7 else None) for i in range(60)],
+                                 "doc_id long, text string, source string")
+    expected = sorted(map(repr, mixing.mix(docs).collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_BYTES", 0)
+    joined = mixing.mix(docs)
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(repr, joined.collect())) == expected
