@@ -4,8 +4,8 @@ Candidates are found by pattern in the UTF-8 bytes (a case-insensitive
 keyword search first, so clean texts cost a few fast substring scans). Then
 strings that look like base64 or hex are decoded and parsed: a signed token
 needs a JSON header that names its algorithm, an encoded key needs a DER
-sequence whose nested lengths fit. Confirmed structures add spans of kinds
-``jwt``, ``der`` and ``pem``; the pattern matches stay.
+sequence whose nested lengths fit, or an SSH key file whose fields do. Confirmed
+structures add spans of kinds ``jwt``, ``der`` and ``pem``; the pattern matches stay.
 """
 
 from __future__ import annotations
@@ -32,8 +32,13 @@ MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 6, 20, 24
 #: Base kinds in their order, then the confirmed ones.
 KINDS = ("assign", "access", "hex", "jwt", "der", "pem")
 
-JWT = re.compile(rb"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
+#: How the base64 of "{" begins before a quote, a space or a line end.
+JSON_STARTS = (b"eyA", b"eyI", b"eyJ", b"eyL", b"ewk", b"ewo", b"ew0")
+# A token starts where a run of its characters does, which keeps the scan linear.
+JWT = re.compile(rb"(?<![A-Za-z0-9_-])(?:" + b"|".join(JSON_STARTS) + rb")[A-Za-z0-9_-]{5,}+\."
+                 rb"[A-Za-z0-9_-]{2,}+\.[A-Za-z0-9_-]*+")
 PEM = re.compile(rb"-----BEGIN ([A-Z0-9 ]{1,60})-----([A-Za-z0-9+/=\s]*)-----END \1-----")
+SSH_MAGIC = b"openssh-key-v1\0"
 MIN_ENCODED = 40
 MAX_DEPTH = 8
 _HEX = np.zeros(256, dtype=bool)
@@ -87,6 +92,34 @@ def der_ok(data: bytes) -> bool:
         return False
 
 
+def ssh_ok(data: bytes) -> bool:
+    """An SSH private key file: after its magic the cipher, the key derivation
+    and its options, a number of public keys, each starting with the name of
+    its type, and the private part, all as lengths with contents that fit."""
+    at = len(SSH_MAGIC)
+
+    def field(src: bytes, at: int) -> tuple[bytes, int]:
+        end = at + 4 + int.from_bytes(src[at:at + 4], "big")
+        if at + 4 > len(src) or end > len(src):
+            raise ValueError("longer than its parent")
+        return src[at + 4:end], end
+
+    if not data.startswith(SSH_MAGIC):
+        return False
+    try:
+        for _ in range(3):
+            _, at = field(data, at)
+        n, at = int.from_bytes(data[at:at + 4], "big"), at + 4
+        for _ in range(n):
+            public, at = field(data, at)
+            if not field(public, 0)[0]:
+                return False
+        private, at = field(data, at)
+        return n > 0 and len(private) > 0
+    except ValueError:
+        return False
+
+
 def _b64(s: bytes) -> bytes | None:
     s = s.replace(b"-", b"+").replace(b"_", b"/").rstrip(b"=")
     try:
@@ -123,7 +156,7 @@ def scan(raw: bytes, low: bytes, marks_hex: np.ndarray, marks_b64: np.ndarray
         if e - s >= 2 * MIN_ENCODED and raw[s:s + 2] == b"30" and (e - s) % 2 == 0 \
                 and der_ok(bytes.fromhex(raw[s:e].decode())):
             spans.append((s, 4, e))
-    if b"eyJ" in raw:
+    if any(w in raw for w in JSON_STARTS):
         spans += [(m.start(), 3, m.end()) for m in JWT.finditer(raw)
                   if jwt_ok(m.group().split(b".", 1)[0])]
     for s, e in _runs(marks_b64, MIN_ENCODED):
@@ -134,7 +167,7 @@ def scan(raw: bytes, low: bytes, marks_hex: np.ndarray, marks_b64: np.ndarray
     if b"-----BEGIN " in raw:
         for m in PEM.finditer(raw):
             data = _b64(re.sub(rb"\s", b"", m.group(2)))
-            if data and der_ok(data):
+            if data and (der_ok(data) or ssh_ok(data)):
                 spans.append((m.start(), 5, m.end()))
     return sorted(set(spans))
 

@@ -12,7 +12,7 @@ import pytest
 from conftest import SF_MED, SF_SMALL
 from mailcase.llm import queries as Q
 from mailcase.llm.components import components
-from mailcase.llm.secrets import der_ok, secret_scan
+from mailcase.llm.secrets import der_ok, secret_scan, ssh_ok
 from mailcase.llm.tables import read_table
 from mailcase.llm.token_counts import PATTERN, VOCABULARY
 
@@ -60,6 +60,29 @@ def test_confirmed_structures(spark):
     assert got[4] == [("hex", 2, 2 + 2 * len(key)), ("der", 2, 2 + 2 * len(key))]
 
 
+def test_ssh_keys_spaced_headers_and_long_runs(spark):
+    def field(b):
+        return len(b).to_bytes(4, "big") + b
+
+    public = field(b"ssh-ed25519") + field(bytes(32))
+    key = (b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + (1).to_bytes(4, "big")
+           + field(public) + field(bytes(range(64))))
+    assert ssh_ok(key) and not ssh_ok(key[:-1]) and not ssh_ok(b"openssh-key-v1\0") and not ssh_ok(b"")
+    name = "OPENSSH PRIVATE KEY"
+    pem = f"-----BEGIN {name}-----\n{base64.b64encode(key).decode()}\n-----END {name}-----"
+    enc = lambda b: base64.urlsafe_b64encode(b).decode().rstrip("=")
+    spaced = [f"{enc(h)}.{enc(b'{}')}.sig" for h in (b'{ "alg": "RS256" }', b'{\n  "alg": "none"}',
+                                                     b'{\r\n"alg": "ES256"}', b'{\t"alg": "x"}')]
+    run = "eyJ" + "a" * 300_000                      # a quadratic scan of it would not end
+    rows = [(1, pem, "s"), (2, " ".join(spaced), "s"), (3, run, "s"), (4, f"{run}.{run}", "s")]
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans]
+           for r in secret_scan(documents(spark, rows)).collect()}
+    assert [s for s in got[1] if s[0] != "hex"] == [("pem", 0, len(pem))]
+    at = [sum(len(t) + 1 for t in spaced[:i]) for i in range(4)]
+    assert got[2] == [("jwt", a, a + len(t)) for a, t in zip(at, spaced)]
+    assert [s for s in got[3] + got[4] if s[0] == "jwt"] == []
+
+
 def test_token_counts_against_all_lengths(spark):
     tiktoken = pytest.importorskip("tiktoken")
     with open(VOCABULARY, "rb") as f:
