@@ -12,8 +12,7 @@
    Then, in buckets that still hold several components, the nodes outside the
    largest component there are compared with the nodes of other components.
    Members of one component are never paired again, and a pair is made once,
-   in the first band it shares, if its samples agree often enough for a
-   similarity of 0.8 to be possible (``agreement``) and the prefixes of both
+   in the first band it shares, if the prefixes of both
    have a shingle in common: with shingles ordered by rarity, the first ones
    that hold a fifth of a text's weight, which similar texts can't all differ
    in; and the weight outside the shingles that only one text has must allow
@@ -23,9 +22,8 @@
 6. Classes are the connected components of the verified links.
 
 A pair of similarity 0.8 shares a band of 4 out of 15 with probability
-1 - (1 - 0.8 ** 4) ** 15 = 0.9999985. Of its 60 samples (compared by four bits)
-49 agree on average, and fewer than 65 % with probability 0.001; more similar pairs fail far
-less often. Only links between different components depend on the second.
+1 - (1 - 0.8 ** 4) ** 15 = 0.9999985. No pair that shares a band is dropped by
+chance: the bounds before a comparison are exact.
 """
 
 from __future__ import annotations
@@ -42,8 +40,6 @@ from mailcase.llm.wordhash import ALNUM, LOWER, Words, gram_hashes, mix, pieces,
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 15, 4
-#: Least share of samples that agree in a pair worth comparing.
-AGREE = 0.65
 #: Entries of the hashed document-frequency table.
 BUCKETS = 1 << 18
 SEED = 11
@@ -140,27 +136,6 @@ def _samples(doc, x, weight, k: int, seed: int, tables: _Tables):
     return start, out
 
 
-def _packed(s: np.ndarray) -> pa.Array:
-    """Four bits of each sample, 16 samples in a long."""
-    longs = -(-s.shape[1] // 16)
-    out = np.zeros((len(s), longs), dtype=np.uint64)
-    for i in range(s.shape[1]):
-        out[:, i // 16] |= (s[:, i] & np.uint64(15)) << np.uint64(4 * (i % 16))
-    return pa.FixedSizeListArray.from_arrays(pa.array(signed(out.ravel())), longs).cast(
-        pa.list_(pa.int64()))
-
-
-def _differing(x: str, y: str, k: int) -> Column:
-    """Number of the ``k`` packed samples that differ between two columns."""
-    total = F.lit(0)
-    for i in range(-(-k // 16)):
-        d = F.col(x)[i].bitwiseXOR(F.col(y)[i])
-        d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
-        d = d.bitwiseOR(F.shiftrightunsigned(d, 2)).bitwiseAND(F.lit(0x1111111111111111))
-        total = total + F.bit_count(d)
-    return total
-
-
 def _sign(idf, n: int, bands: int, rows: int, seed: int):
     def run(batches):
         tables = _Tables()
@@ -184,8 +159,7 @@ def _sign(idf, n: int, bands: int, rows: int, seed: int):
                     "tag": b.column("tag").take(pa.array(d + i)),
                     "d1": pa.array(signed(whole)), "d2": pa.array(signed(again)),
                     "bands": pa.FixedSizeListArray.from_arrays(
-                        pa.array(signed(band.ravel())), bands).cast(pa.list_(pa.int64())),
-                    "drawn": _packed(s)})
+                        pa.array(signed(band.ravel())), bands).cast(pa.list_(pa.int64()))})
     return run
 
 
@@ -279,7 +253,7 @@ def _keyless(h: Column, kind: str) -> Column:
 
 def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: int = SHINGLE,
                threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
-               agreement: float = AGREE, seed: int = SEED) -> DataFrame:
+               seed: int = SEED) -> DataFrame:
     """(key, text_hash, class_key, kept) of every row: rows of a class share the
     class key, its smallest key, and the rows with that key are kept.
 
@@ -301,13 +275,12 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: i
     src = src.select("doc", F.hash("text").alias("tag"), "text")
     idf = sc.broadcast(shingle_idf(src, "text", n))
     signed_rows = stored(src.mapInArrow(_sign(idf, n, bands, rows, seed),
-                                        f"doc {kind}, tag int, d1 long, d2 long, bands array<long>, "
-                                        "drawn array<long>"), "signatures")
+                                        f"doc {kind}, tag int, d1 long, d2 long, bands array<long>"),
+                         "signatures")
     # One node for each distinct word sequence.
     nodes = stored(signed_rows.groupBy("d1", "d2").agg(
         F.coalesce(F.min("doc"), _keyless(F.first("d1"), kind)).alias("node"),
-        F.min(F.struct("doc", "tag")).alias("at"), F.first("bands").alias("bands"),
-        F.first("drawn").alias("drawn")), "nodes")
+        F.min(F.struct("doc", "tag")).alias("at"), F.first("bands").alias("bands")), "nodes")
     buckets = nodes.select("node", "at", F.posexplode("bands").alias("band", "h"))
     sizes = stored(buckets.groupBy("band", "h").agg(F.count(F.lit(1)).alias("n"))
                    .where("n > 1"), "buckets")
@@ -347,18 +320,17 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: i
     rarity = sc.broadcast(summed_table(open_.select("sh"), RARITY, _rarity).astype(np.int32))
     prefixes = open_.mapInArrow(_prefix(idf, rarity, threshold), f"node {kind}, weight double, "
                                  "common double, prefix array<int>")
-    mixed = stored(mixed.join(nodes.select("node", "bands", "drawn"), "node").join(prefixes, "node"),
+    mixed = stored(mixed.join(nodes.select("node", "bands"), "node").join(prefixes, "node"),
                    "mixed")
     x, y = mixed.where("label != largest").alias("x"), mixed.alias("y")
     once = F.array_position(F.zip_with("x.bands", "y.bands", lambda p, q: p == q), True) == F.col("x.band") + 1
-    close = _differing("x.drawn", "y.drawn", bands * rows) <= int((1 - agreement) * bands * rows)
     # Overlap / (sum of weights - overlap) >= threshold, with a little room for rounding.
     room = F.least("x.common", "y.common") * (1 + 1e-6) >= (
         threshold / (1 + threshold) * (F.col("x.weight") + F.col("y.weight")))
     pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.h") == F.col("y.h"))
                    & (F.col("x.label") != F.col("y.label"))
                    & ((F.col("y.label") == F.col("y.largest")) | (F.col("x.node") < F.col("y.node")))
-                   & room & close & once
+                   & room & once
                    & F.arrays_overlap("x.prefix", "y.prefix"))
     pairs = pairs.select(F.least("x.node", "y.node").alias("u"), F.greatest("x.node", "y.node").alias("v"))
     more = links(pairs.distinct().join(first, ["u", "v"], "left_anti"))
