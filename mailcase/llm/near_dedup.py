@@ -4,7 +4,8 @@
    a hashed table of fixed size; a shingle's weight is tf * idf.
 2. Improved consistent weighted sampling draws ``BANDS * ROWS`` samples of
    each document; two documents share a sample with probability equal to the
-   weighted Jaccard similarity of their shingles. ``ROWS`` samples make a band.
+   weighted Jaccard similarity of their shingles. As many min-hashes share with
+   probability equal to the plain one. ``ROWS`` samples of a kind make a band.
 3. Documents with the same word sequence are copies; one node stands for all
    of them. Nodes that share a band are candidates.
 4. First each band bucket's nodes are compared with its hub, the node that
@@ -14,14 +15,17 @@
    Members of one component are never paired again, and a pair is made once,
    in the first band it shares, if the prefixes of both
    have a shingle in common: with shingles ordered by rarity, the first ones
-   that hold a fifth of a text's weight, which similar texts can't all differ
-   in; and the weight outside the shingles that only one text has must allow
-   0.8. A copy with many edits of its own passes neither, so a large group of
+   that hold a fifth of a text's weight or number, which similar texts can't all
+   differ in; and the weight or number outside the shingles that only one text has
+   must allow 0.8. A copy with many edits of its own passes neither, so a large group of
    copies costs a few comparisons a node.
-5. A comparison is exact: the weighted Jaccard similarity of both shingle sets.
+5. A comparison is exact: the weighted or the plain Jaccard similarity of both
+   shingle sets must reach 0.8. Weights alone would part copies with edits of
+   their own in a large group, whose shared shingles weigh little, and the more
+   so the larger the table is.
 6. Classes are the connected components of the verified links.
 
-A pair of similarity 0.8 shares a band of 4 out of 15 with probability
+A pair of either similarity 0.8 shares a band of 4 out of that kind's 15 with probability
 1 - (1 - 0.8 ** 4) ** 15 = 0.9999985. No pair that shares a band is dropped by
 chance: the bounds before a comparison are exact.
 """
@@ -136,6 +140,18 @@ def _samples(doc, x, weight, k: int, seed: int, tables: _Tables):
     return start, out
 
 
+def _minima(start, x, k: int, seed: int) -> np.ndarray:
+    """``k`` min-hashes of each document, whose shingles begin at ``start``."""
+    odd = mix(np.arange(1, k + 1, dtype=np.uint64) + np.uint64((seed + 1) << 20)) | np.uint64(1)
+    out = np.empty((len(start), k), dtype=np.uint64)
+    for j in range(k):
+        y = x * odd[j]
+        y ^= y >> np.uint64(29)
+        y *= _C2
+        out[:, j] = np.minimum.reduceat(y, start)
+    return out
+
+
 def _sign(idf, n: int, bands: int, rows: int, seed: int):
     def run(batches):
         tables = _Tables()
@@ -148,7 +164,8 @@ def _sign(idf, n: int, bands: int, rows: int, seed: int):
                     continue
                 weight = tf * table[(x % np.uint64(BUCKETS)).astype(np.int64)]
                 start, s = _samples(doc, x, weight, bands * rows, seed, tables)
-                band = np.zeros((len(start), bands), dtype=np.uint64)
+                s = np.concatenate((s, _minima(start, x, bands * rows, seed)), axis=1)
+                band = np.zeros((len(start), 2 * bands), dtype=np.uint64)
                 for r in range(rows):
                     band = mix(band * _C2 + s[:, r::rows])
                 d = doc[start]
@@ -159,7 +176,7 @@ def _sign(idf, n: int, bands: int, rows: int, seed: int):
                     "tag": b.column("tag").take(pa.array(d + i)),
                     "d1": pa.array(signed(whole)), "d2": pa.array(signed(again)),
                     "bands": pa.FixedSizeListArray.from_arrays(
-                        pa.array(signed(band.ravel())), bands).cast(pa.list_(pa.int64()))})
+                        pa.array(signed(band.ravel())), 2 * bands).cast(pa.list_(pa.int64()))})
     return run
 
 
@@ -192,28 +209,34 @@ def _rarity(batches, table):
 
 
 def _prefix(idf, rarity, threshold: float):
-    """(node, weight, common, prefix): a text's weight, that of the shingles which other
-    texts may have, and the rarest shingles that hold 1 - threshold of the weight."""
+    """(node, weight, common, size, shared, prefix): a text's weight and number of shingles,
+    both of the shingles which other texts may have, and the rarest shingles that hold
+    1 - threshold of the weight or of the number, whichever are more."""
     def run(batches):
         for b in batches:
-            out, weight, common = [], [], []
+            out, weight, common, size, shared = [], [], [], [], []
             for row in b.column("sh"):
                 sh, tf = np.unique(row.values.to_numpy().view(np.uint32), return_counts=True)
                 w = tf * idf.value[sh % BUCKETS].astype(float)
                 count = rarity.value[sh % RARITY]
                 weight.append(float(w.sum()))
                 common.append(float(w[count > tf].sum()))
+                size.append(len(sh))
+                shared.append(int((count > tf).sum()))
                 order = np.lexsort((sh, count))
                 before = np.cumsum(w[order]) - w[order]
                 # A little more than needed, for rounding.
-                out.append(sh[order][before <= (1 - threshold + 1e-6) * w.sum()].view(np.int32))
-            yield pa.RecordBatch.from_pydict({"node": b.column("node"), "weight": weight,
-                                              "common": common, "prefix": pa.array(out, pa.list_(pa.int32()))})
+                part = 1 - threshold + 1e-6
+                held = (before <= part * w.sum()) | (np.arange(len(sh)) <= part * len(sh))
+                out.append(sh[order][held].view(np.int32))
+            yield pa.RecordBatch.from_pydict({
+                "node": b.column("node"), "weight": weight, "common": common, "size": size,
+                "shared": shared, "prefix": pa.array(out, pa.list_(pa.int32()))})
     return run
 
 
 def _verify(idf, threshold: float):
-    """Keeps the pairs whose weighted Jaccard similarity reaches the threshold."""
+    """Keeps the pairs whose weighted or plain Jaccard similarity reaches the threshold."""
     def similar(pa_, pb_, n):
         sides = []
         for col in (pa_, pb_):
@@ -227,7 +250,10 @@ def _verify(idf, threshold: float):
         total = np.bincount(of(ka), ta * w(ka), n) + np.bincount(of(kb), tb * w(kb), n)
         both, ia, ib = np.intersect1d(ka, kb, assume_unique=True, return_indices=True)
         common = np.bincount(of(both), np.minimum(ta[ia], tb[ib]) * w(both), n)
-        return common / np.maximum(total - common, 1e-12) >= threshold
+        size = np.bincount(of(ka), minlength=n) + np.bincount(of(kb), minlength=n)
+        shared = np.bincount(of(both), minlength=n)
+        return ((common / np.maximum(total - common, 1e-12) >= threshold)
+                | (shared / np.maximum(size - shared, 1) >= threshold))
 
     def run(batches):
         for b in batches:
@@ -319,14 +345,15 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: i
     open_ = vectors.join(mixed.select("node").distinct(), "node", "left_semi")
     rarity = sc.broadcast(summed_table(open_.select("sh"), RARITY, _rarity).astype(np.int32))
     prefixes = open_.mapInArrow(_prefix(idf, rarity, threshold), f"node {kind}, weight double, "
-                                 "common double, prefix array<int>")
+                                 "common double, size long, shared long, prefix array<int>")
     mixed = stored(mixed.join(nodes.select("node", "bands"), "node").join(prefixes, "node"),
                    "mixed")
     x, y = mixed.where("label != largest").alias("x"), mixed.alias("y")
     once = F.array_position(F.zip_with("x.bands", "y.bands", lambda p, q: p == q), True) == F.col("x.band") + 1
     # Overlap / (sum of weights - overlap) >= threshold, with a little room for rounding.
-    room = F.least("x.common", "y.common") * (1 + 1e-6) >= (
-        threshold / (1 + threshold) * (F.col("x.weight") + F.col("y.weight")))
+    part = threshold / (1 + threshold)
+    room = (F.least("x.common", "y.common") * (1 + 1e-6) >= part * (F.col("x.weight") + F.col("y.weight"))) | (
+        F.least("x.shared", "y.shared") * (1 + 1e-6) >= part * (F.col("x.size") + F.col("y.size")))
     pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.h") == F.col("y.h"))
                    & (F.col("x.label") != F.col("y.label"))
                    & ((F.col("y.label") == F.col("y.largest")) | (F.col("x.node") < F.col("y.node")))

@@ -1,5 +1,7 @@
 """Links of the near-dedup that a cheaper candidate search would lose."""
+import itertools
 
+import numpy as np
 
 from mailcase.llm.near_dedup import near_dedup
 
@@ -17,3 +19,33 @@ def test_no_pair_of_a_shared_band_is_dropped_by_its_samples(spark):
                  for k in range(2)]
     got = {r.doc_id: r.class_id for r in near_dedup(documents(spark, rows), bands=4, rows=1).collect()}
     assert all(got[i] == got[i + 1] for i in range(0, 160, 2))
+
+
+def grams(text):
+    w = text.split()
+    return set(zip(*[w[i:] for i in range(5)]))
+
+
+def test_edited_copies_of_a_third_of_all_rows_against_all_pairs(spark):
+    """Copies with edits at plain similarity 0.70-0.95 to the original, a third of the rows."""
+    rng = np.random.default_rng(5)
+    base = [f"b{i}" for i in range(400)]
+    texts = {0: " ".join(base)}
+    for i in range(1, 41):
+        n = int(rng.integers(6, 70))
+        at = int(rng.integers(0, 400 - n))
+        texts[i] = " ".join(base[:at] + [f"e{i}x{k}" for k in range(n)] + base[at + n:])
+    for i in range(41, 123):
+        texts[i] = " ".join(f"u{i}x{k}" for k in range(300))
+    sets = {i: grams(t) for i, t in texts.items()}
+    label = {i: i for i in texts}
+    edge = [(a, b) for a, b in itertools.combinations(texts, 2)
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    plain = [len(sets[0] & sets[i]) / len(sets[0] | sets[i]) for i in range(1, 41)]
+    assert sum(0.80 <= p < 0.93 for p in plain) >= 15 and sum(p < 0.78 for p in plain) >= 5
+    for _ in texts:
+        for a, b in edge:
+            label[a] = label[b] = min(label[a], label[b])
+    rows = [(i, t, "s") for i, t in texts.items()]
+    got = {r.doc_id: r.class_id for r in near_dedup(documents(spark, rows)).collect()}
+    assert got == label
