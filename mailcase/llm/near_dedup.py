@@ -6,8 +6,8 @@
    each document; two documents share a sample with probability equal to the
    weighted Jaccard similarity of their shingles. As many min-hashes share with
    probability equal to the plain one. ``ROWS`` samples of a kind make a band.
-3. Documents with the same word sequence are copies; one node stands for all
-   of them. Nodes that share a band are candidates.
+3. Documents with the same word sequence are copies; one node, named by their
+   smallest key and the 128-bit hash of the words, stands for all of them. Nodes that share a band are candidates.
 4. First each band bucket's nodes are compared with its hub, the node that
    shares most bands with others (of edited copies, mostly the original).
    Then, in buckets that still hold several components, the nodes outside the
@@ -169,34 +169,47 @@ def _sign(idf, n: int, bands: int, rows: int, seed: int):
                 for r in range(rows):
                     band = mix(band * _C2 + s[:, r::rows])
                 d = doc[start]
-                whole = range_hashes(h, w.first[d], w.first[d + 1])
-                again = range_hashes(mix(h + np.uint64(3)), w.first[d], w.first[d + 1])
+                whole, again = _whole(w, h, d)
                 yield pa.RecordBatch.from_pydict({
                     "doc": b.column("doc").take(pa.array(d + i)),
                     "tag": b.column("tag").take(pa.array(d + i)),
-                    "d1": pa.array(signed(whole)), "d2": pa.array(signed(again)),
+                    "d1": pa.array(whole), "d2": pa.array(again),
                     "bands": pa.FixedSizeListArray.from_arrays(
                         pa.array(signed(band.ravel())), 2 * bands).cast(pa.list_(pa.int64()))})
     return run
 
 
+def _whole(w: Words, h: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit hash of the word sequence of each document in ``d``, as two signed columns."""
+    whole = range_hashes(h, w.first[d], w.first[d + 1])
+    again = range_hashes(mix(h + np.uint64(3)), w.first[d], w.first[d + 1])
+    return signed(whole), signed(again)
+
+
 def _vectors(n: int):
-    """Shingles of each document as sorted 32-bit hashes, repeated as often as they occur."""
+    """Shingles of each node's text as sorted 32-bit hashes, repeated as often as they occur.
+
+    Texts found by key and 32-bit hash that are not the node's are left out.
+    """
     def run(batches):
         for b in batches:
             for i, j, buf, off in pieces(b.column("text")):
                 w = Words(buf, off, ALNUM)
-                doc, x, tf, _ = _shingles(w, n)
+                doc, x, tf, h = _shingles(w, n)
                 if not len(x):
                     continue
                 s32 = np.repeat((x & np.uint64(0xFFFFFFFF)).astype(np.uint32), tf).view(np.int32)
                 start = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
                 size = np.concatenate(([0], np.cumsum(tf)))
                 d = doc[start]
-                yield pa.RecordBatch.from_pydict({
-                    "node": b.column("node").take(pa.array(d + i)),
-                    "sh": pa.ListArray.from_arrays(
-                        pa.array(np.append(size[start], size[-1]).astype(np.int32)), pa.array(s32))})
+                node = b.column("node").take(pa.array(d + i))
+                whole, again = _whole(w, h, d)
+                own = np.flatnonzero((node.field("d1").to_numpy() == whole)
+                                     & (node.field("d2").to_numpy() == again))
+                sh = pa.ListArray.from_arrays(
+                    pa.array(np.append(size[start], size[-1]).astype(np.int32)), pa.array(s32))
+                yield pa.RecordBatch.from_pydict({"node": node.take(pa.array(own)),
+                                                  "sh": sh.take(pa.array(own))})
     return run
 
 
@@ -272,7 +285,7 @@ def _verify(idf, threshold: float):
 
 
 def _keyless(h: Column, kind: str) -> Column:
-    """A node id for texts that have null keys only, larger than any usual key."""
+    """A key for texts that have null keys only, larger than any usual key."""
     low = h.bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
     return low if kind == "long" else F.concat(F.lit("\uffff"), low.cast("string"))
 
@@ -281,13 +294,14 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: i
                threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
                seed: int = SEED) -> DataFrame:
     """(key, text_hash, class_key, kept) of every row: rows of a class share the
-    class key, its smallest key, and the rows with that key are kept.
+    class key, its smallest key. One text with that key is kept in each class, and
+    all rows that repeat it and the key.
 
     Words are runs of ASCII letters, digits and non-ASCII characters, A-Z
     lower-cased. Texts with the same words are copies whatever their length.
     A null, empty or wordless text is near nothing and is its own class. Rows
-    that share a key but not the words may fall into different classes; a null
-    key counts as larger than any other, and a class of null keys only has as
+    that share a key but not the words may fall into different classes, which have
+    equal class keys if that key is the smallest in each; a null key counts as larger than any other, and a class of null keys only has as
     its class key a hash (above 2**62, or after U+FFFF), and one text kept.
     Keys are integers (taken as long) or strings. An empty table gives an
     empty result; columns other than key and text are not read.
@@ -297,6 +311,7 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: i
     kind = "long" if kind in ("tinyint", "smallint", "int", "bigint") else kind
     if kind not in ("long", "string"):
         raise TypeError(f"keys are integers or strings, not {kind}")
+    name = f"struct<k:{kind},d1:bigint,d2:bigint>"
     src = docs.select(F.col(key).cast(kind).alias("doc"), F.col(text).alias("text"))
     src = src.select("doc", F.hash("text").alias("tag"), "text")
     idf = sc.broadcast(shingle_idf(src, "text", n))
@@ -304,10 +319,12 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: i
                                         f"doc {kind}, tag int, d1 long, d2 long, bands array<long>"),
                          "signatures")
     # One node for each distinct word sequence.
-    nodes = stored(signed_rows.groupBy("d1", "d2").agg(
-        F.coalesce(F.min("doc"), _keyless(F.first("d1"), kind)).alias("node"),
-        F.min(F.struct("doc", "tag")).alias("at"), F.first("bands").alias("bands")), "nodes")
-    buckets = nodes.select("node", "at", F.posexplode("bands").alias("band", "h"))
+    at = F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "tag")).alias("at")
+    nodes = signed_rows.groupBy("d1", "d2").agg(at, F.first("bands").alias("bands"))
+    nodes = stored(nodes.select(
+        F.struct(F.coalesce("at.doc", _keyless(F.col("d1"), kind)).alias("k"), "d1", "d2").alias("node"),
+        "at", "bands"), "nodes")
+    buckets = nodes.select("node", F.posexplode("bands").alias("band", "h"))
     sizes = stored(buckets.groupBy("band", "h").agg(F.count(F.lit(1)).alias("n"))
                    .where("n > 1"), "buckets")
     shared = stored(buckets.join(sizes, ["band", "h"]), "shared")
@@ -316,17 +333,18 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: i
         F.max_by("node", F.struct("ties", "node")).alias("hub"))
     hubs = stored(hubs, "hubs")
     # The text of one row of each candidate.
-    need = stored(shared.select("node", "at.doc", "at.tag").distinct(), "candidates")
+    need = stored(nodes.join(shared.select("node").distinct(), "node", "left_semi")
+                  .select("node", "at.doc", "at.tag"), "candidates")
     need = need.hint("merge")              # the same plan at every size
     texts = src.join(need, same(src, need, ["doc", "tag"])).select("node", "text")
-    vectors = texts.mapInArrow(_vectors(n), f"node {kind}, sh array<int>")
+    vectors = texts.mapInArrow(_vectors(n), f"node {name}, sh array<int>")
     vectors = stored(vectors.dropDuplicates(["node"]), "vectors")
 
     def links(pairs: DataFrame) -> DataFrame:
         p = pairs.join(vectors.select(F.col("node").alias("v"), F.col("sh").alias("z")), "v")
         p = p.join(vectors.select(F.col("node").alias("u"), F.col("sh").alias("a")), "u")
         return stored(p.select("u", "v", "a", "z").mapInArrow(
-            _verify(idf, threshold), f"u {kind}, v {kind}"), "verified")
+            _verify(idf, threshold), f"u {name}, v {name}"), "verified")
 
     first = shared.join(hubs, ["band", "h"]).where("node != hub")
     first = stored(first.select(F.least("hub", "node").alias("u"), F.greatest("hub", "node").alias("v"))
@@ -344,7 +362,7 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: i
     mixed = stored(own.join(largest, ["band", "h"]), "open")
     open_ = vectors.join(mixed.select("node").distinct(), "node", "left_semi")
     rarity = sc.broadcast(summed_table(open_.select("sh"), RARITY, _rarity).astype(np.int32))
-    prefixes = open_.mapInArrow(_prefix(idf, rarity, threshold), f"node {kind}, weight double, "
+    prefixes = open_.mapInArrow(_prefix(idf, rarity, threshold), f"node {name}, weight double, "
                                  "common double, size long, shared long, prefix array<int>")
     mixed = stored(mixed.join(nodes.select("node", "bands"), "node").join(prefixes, "node"),
                    "mixed")
@@ -365,11 +383,11 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: i
         labels = components(found.union(more))
 
     member = signed_rows.select("doc", "tag", "d1", "d2").join(
-        nodes.select("d1", "d2", "node"), ["d1", "d2"]).join(labels, "node", "left")
+        nodes.select("node.d1", "node.d2", "node", "at"), ["d1", "d2"]).join(labels, "node", "left")
     label = F.coalesce("label", "node")
-    kept = F.when(F.col("doc").isNotNull(), F.col("doc") == label).otherwise(
-        label == _keyless(F.col("d1"), kind))
-    member = member.select("doc", "tag", label.alias("class"), kept.alias("kept"))
+    kept = ((label == F.col("node")) & F.col("doc").eqNullSafe(F.col("at.doc"))
+            & (F.col("tag") == F.col("at.tag")))
+    member = member.select("doc", "tag", label["k"].alias("class"), kept.alias("kept"))
     wordless = src.where(~F.coalesce(F.col("text").rlike(r"[0-9A-Za-z\x{80}-\x{10FFFF}]"), F.lit(False)))
     alone = wordless.select("doc", "tag", F.col("doc").alias("class"), F.lit(True).alias("kept"))
     return member.unionByName(alone).select(

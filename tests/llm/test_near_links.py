@@ -49,3 +49,25 @@ def test_edited_copies_of_a_third_of_all_rows_against_all_pairs(spark):
     rows = [(i, t, "s") for i, t in texts.items()]
     got = {r.doc_id: r.class_id for r in near_dedup(documents(spark, rows)).collect()}
     assert got == label
+
+
+def test_one_key_with_many_texts(spark):
+    """Texts under one key are linked each on its own, and one of each class stays."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for g in range(30):
+        base = [f"t{g}x{i}" for i in range(200)]
+        edits = []
+        for k in range(3):                 # two near copies under the hot key, one under its own
+            w = list(base)
+            w[int(rng.integers(10, 190))] = f"edit{g}x{k}"
+            edits.append(" ".join(w))
+        rows += [(6, edits[0], "s"), (6, edits[1], "s"), (100 + g, edits[2], "s")]
+        rows += [(6, edits[0].upper(), "s"), (6, edits[0], "s")]
+    text_of = {(i, h): t for i, t, h in documents(spark, rows).selectExpr(
+        "doc_id", "text", "hash(text)").collect()}
+    got = near_dedup(documents(spark, rows)).collect()
+    assert {r.class_id for r in got} == {6} and len(got) == len(rows)
+    stay = {text_of[r.doc_id, r.text_hash] for r in got if r.kept}
+    assert sorted(int(t.lower().split("x")[0][1:]) for t in stay) == list(range(30))
+    assert {r.doc_id for r in got if r.kept} == {6}
