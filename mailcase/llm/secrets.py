@@ -6,6 +6,8 @@ strings that look like base64 or hex are decoded and parsed: a signed token
 needs a JSON header that names its algorithm, an encoded key needs a DER
 sequence whose nested lengths fit, or an SSH key file whose fields do. Confirmed
 structures add spans of kinds ``jwt``, ``der`` and ``pem``; the pattern matches stay.
+An encoded key may be glued to a name ("key=MII...") or wrapped in lines, hex may have
+either case, and a PEM body escaped line ends and header lines.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +40,23 @@ JSON_STARTS = (b"eyA", b"eyI", b"eyJ", b"eyL", b"ewk", b"ewo", b"ew0")
 # A token starts where a run of its characters does, which keeps the scan linear.
 JWT = re.compile(rb"(?<![A-Za-z0-9_-])(?:" + b"|".join(JSON_STARTS) + rb")[A-Za-z0-9_-]{5,}+\."
                  rb"[A-Za-z0-9_-]{2,}+\.[A-Za-z0-9_-]*+")
-PEM = re.compile(rb"-----BEGIN ([A-Z0-9 ]{1,60})-----([A-Za-z0-9+/=\s]*)-----END \1-----")
+PEM = re.compile(rb"-----BEGIN ([A-Z0-9 ]{1,60})-----((?:(?!-----).)*+)-----END \1-----", re.DOTALL)
+#: Line ends in a PEM body (escaped ones too), header lines, and that of an encrypted body.
+PEM_END = re.compile(rb"(?:\\r|\\n|[\r\n])+")
+PEM_HEADER = re.compile(rb"\s*[A-Za-z][A-Za-z0-9-]*:")
+PEM_CIPHER = re.compile(rb"DEK-Info:\s*[A-Z0-9-]+,[0-9A-Fa-f]{16,}")
+#: A line end inside wrapped base64, with the indent of the next line.
+WRAP = re.compile(rb"[\x20\t]*(?:\r?\n|\\r\\n|\\n)[\x20\t]*")
+CHAIN = re.compile(rb"[A-Za-z0-9+/_-]++(?:" + WRAP.pattern + rb"[A-Za-z0-9+/_-]++)*+")
+#: How the base64 and the hex of a sequence tag and its length begin.
+DER_B64 = re.compile(rb"M(?:[A-H]|I[E-T])")
+DER_HEX = re.compile(rb"(?=30(?:[0-7]|8[1-4]))")
 SSH_MAGIC = b"openssh-key-v1\0"
 MIN_ENCODED = 40
 MAX_DEPTH = 8
 _HEX = np.zeros(256, dtype=bool)
 _HEX[list(b"0123456789abcdef")] = True
+HEX_RUN = re.compile(rb"[0-9A-Fa-f]{80,}+")
 _B64 = np.zeros(256, dtype=bool)
 _B64[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-")] = True
 
@@ -140,6 +154,74 @@ def jwt_ok(header: bytes) -> bool:
     return isinstance(h, dict) and isinstance(h.get("alg"), str)
 
 
+def _der_size(head: bytes) -> int:
+    """Bytes of a sequence, tag and length included, by its first six; 0 if it is none."""
+    n, k = head[1], head[1] & 0x7F
+    if head[0] != 0x30 or n == 0x80 or (n > 0x80 and k > 4):
+        return 0
+    return 2 + n if n < 0x80 else 2 + k + int.from_bytes(head[2:2 + k], "big")
+
+
+def _der_base64(raw: bytes):
+    """(start, end) of encoded keys in base64, wherever in a run they start; lines
+    that follow each other are read as one, and a key ends where a line or run does."""
+    for m in CHAIN.finditer(raw):
+        if m.end() - m.start() < MIN_ENCODED or not DER_B64.search(raw, m.start(), m.end()):
+            continue
+        begins, ends, parts = [], [], []   # of each line: place in raw, end in the joined text
+        at, total = m.start(), 0
+        for w in [*WRAP.finditer(raw, m.start(), m.end()), None]:
+            stop = w.start() if w else m.end()
+            parts.append(raw[at:stop])
+            total += stop - at
+            begins.append(at)
+            ends.append(total)
+            at = w.end() if w else stop
+        joined = b"".join(parts)
+
+        for d in DER_B64.finditer(joined):
+            head = _b64(joined[d.start():d.start() + 8])
+            size = _der_size(head) if head and len(head) == 6 else 0
+            need = -(-4 * size // 3)
+            stop = d.start() + need
+            k = bisect_left(ends, stop)
+            if need < MIN_ENCODED - 2 or k == len(ends) or ends[k] != stop:
+                continue
+            data = _b64(joined[d.start():stop])
+            if data and der_ok(data):
+                first = bisect_right(ends, d.start())
+                start = begins[first] + d.start() - (ends[first] - len(parts[first]))
+                end = begins[k] + len(parts[k])
+                end += len(raw[end:end + 2]) - len(raw[end:end + 2].lstrip(b"="))
+                if end - start >= MIN_ENCODED:
+                    yield start, end
+
+
+def _der_hex(raw: bytes):
+    """(start, end) of encoded keys in hex of either case that end with their run."""
+    for m in HEX_RUN.finditer(raw):
+        for d in DER_HEX.finditer(raw, m.start(), m.end() - 2 * MIN_ENCODED + 1):
+            head = bytes.fromhex(raw[d.start():d.start() + 12].decode())
+            if d.start() + 2 * _der_size(head) == m.end() and der_ok(
+                    bytes.fromhex(raw[d.start():m.end()].decode())):
+                yield d.start(), m.end()
+
+
+def _pem_ok(body: bytes) -> bool:
+    """Whether a PEM body, without header lines, is an encoded, SSH or enciphered key."""
+    lines, more = [], False
+    for line in PEM_END.split(body):
+        if PEM_HEADER.match(line) or more:
+            more = line.rstrip().endswith((b",", b"\\"))
+        else:
+            lines.append(line)
+    data = _b64(re.sub(rb"\s", b"", b"".join(lines)).replace(b"\\/", b"/"))
+    if not data:
+        return False
+    return der_ok(data) or ssh_ok(data) or (
+        PEM_CIPHER.search(body) is not None and len(data) >= 16 and len(data) % 8 == 0)
+
+
 def scan(raw: bytes, low: bytes, marks_hex: np.ndarray, marks_b64: np.ndarray
          ) -> list[tuple[int, int, int]]:
     """(start, kind number, end) in bytes of all spans of one text; ``low`` is
@@ -151,11 +233,8 @@ def scan(raw: bytes, low: bytes, marks_hex: np.ndarray, marks_b64: np.ndarray
     if b"AKIA" in raw:
         spans += [(m.start(), 1, m.end()) for m in ACCESS.finditer(raw)
                   if m.end() - m.start() >= MIN_ACCESS]
-    for s, e in _runs(marks_hex, MIN_HEX):
-        spans.append((s, 2, e))
-        if e - s >= 2 * MIN_ENCODED and raw[s:s + 2] == b"30" and (e - s) % 2 == 0 \
-                and der_ok(bytes.fromhex(raw[s:e].decode())):
-            spans.append((s, 4, e))
+    spans += [(s, 2, e) for s, e in _runs(marks_hex, MIN_HEX)]
+    spans += [(s, 4, e) for s, e in _der_hex(raw)]
     if any(w in raw for w in JSON_STARTS):
         spans += [(m.start(), 3, m.end()) for m in JWT.finditer(raw)
                   if jwt_ok(m.group().split(b".", 1)[0])]
@@ -164,11 +243,10 @@ def scan(raw: bytes, low: bytes, marks_hex: np.ndarray, marks_b64: np.ndarray
             data = _b64(raw[s:e])
             if data and der_ok(data):
                 spans.append((s, 4, e))
+    if DER_B64.search(raw):
+        spans += [(s, 4, e) for s, e in _der_base64(raw)]
     if b"-----BEGIN " in raw:
-        for m in PEM.finditer(raw):
-            data = _b64(re.sub(rb"\s", b"", m.group(2)))
-            if data and (der_ok(data) or ssh_ok(data)):
-                spans.append((m.start(), 5, m.end()))
+        spans += [(m.start(), 5, m.end()) for m in PEM.finditer(raw) if _pem_ok(m.group(2))]
     return sorted(set(spans))
 
 
