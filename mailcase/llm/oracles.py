@@ -100,4 +100,28 @@ kept AS (
 SELECT d.doc_id, CAST(len(ls) AS BIGINT) AS n_lines,
        CAST(len(ls) - coalesce(n, 0) AS BIGINT) AS n_dropped, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)""",
-}
+    "op12_lexical_search": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), {_AZ}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT row_number() OVER () AS q, item_id, regexp_extract_all(
+    translate(coalesce(text, ''), {_AZ}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+item AS (SELECT q, item_id, term, count(*) AS c FROM (SELECT q, item_id, unnest(w) AS term FROM b) GROUP BY ALL),
+size AS (SELECT count(*) FILTER (len(w) > 0) AS n_all, CAST(sum(len(w)) AS BIGINT) AS l_all FROM d),
+hit AS (
+  SELECT r, doc_id, n, term, count(*) AS tf
+  FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM item) GROUP BY ALL),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_all + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM hit GROUP BY term), size),
+score AS (
+  SELECT q, item_id, r, doc_id,
+         CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * n_all) // l_all)))))
+              AS BIGINT) AS score
+  FROM hit JOIN weight USING (term) JOIN item USING (term), size GROUP BY q, item_id, r, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id, r) AS rank
+  FROM score WHERE score > 0)
+WHERE rank <= 20"""}

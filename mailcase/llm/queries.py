@@ -7,14 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mailcase.llm.alignment import alignment_scores
 from mailcase.llm.decontamination import decontaminate
 from mailcase.llm.exact_dedup import exact_dedup
+from mailcase.llm.lexical import ranked_search
 from mailcase.llm.line_dedup import line_dedup
 from mailcase.llm.mixing import mix
 from mailcase.llm.near_dedup import near_dedup
 from mailcase.llm.oracles import ORACLE
 from mailcase.llm.quality import quality_scores
 from mailcase.llm.secrets import secret_scan
+from mailcase.llm.simhash import simhash_dedup
 from mailcase.llm.substring_dedup import substring_dedup
 from mailcase.llm.tables import read_table
 from mailcase.llm.token_counts import token_counts
@@ -100,3 +103,19 @@ def op7_toxicity(spark, sf_dir):
 @query
 def op9_near_dedup(spark, sf_dir):
     return near_dedup(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
+@query
+def op11_simhash_dedup(spark, sf_dir):
+    return simhash_dedup(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_lexical_search(spark, sf_dir):
+    return ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_tokenizer_alignment(spark, sf_dir):
+    return alignment_scores(read_table(spark, sf_dir, "documents"), whole=False).withColumnRenamed(
+        "groups", "groups_sha256")
