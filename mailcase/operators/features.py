@@ -7,10 +7,12 @@ document vector is L2-normalised. The vocabulary keeps terms with
 ``df >= min_df`` and ``df <= max_df`` (a share of n when fractional), then
 the ``max_features`` most frequent by corpus count (ties by term).
 
-Plan: a document is one row, so its terms are counted inside the row and no
-text is shuffled. The fit is one partially aggregated shuffle on ``term``; a
-transform joins the (broadcast, at most ``max_features`` rows) vocabulary
-and shuffles the remaining weights once, for the per-document norm.
+Plan of a capped fit: a mergeable sketch of term counts per hash shard finds
+the candidates, and a second scan counts only these, inside the row. Its
+result is proven: the sketches bound the count of every other term, and the
+last term kept must be above that bound; if not, all terms are counted. So
+the shuffles carry sketches and candidates, not every bigram of the corpus.
+A transform with a capped vocabulary is row-local: no shuffle.
 """
 
 from __future__ import annotations
@@ -28,60 +30,182 @@ MIN_DF = 2
 MAX_DF = 0.95
 MAX_FEATURES = 3000
 
+#: Sketches a fit keeps, terms each of them tracks, and candidates per term of the vocabulary.
+SHARDS = 32
+TRACKED = 1 << 13
+CANDIDATES = 4
+
+
+def _with_terms(docs: DataFrame, text: str, bigrams: bool, *keep: str) -> DataFrame:
+    """(keep..., _t): the terms of a row as an array."""
+    # Tokens are projected once; the n-gram expression then reads the column.
+    d = docs.select(*keep, word_tokens(F.col(text)).alias("_tok"))
+    return d.select(*keep, (uni_bi_grams("_tok") if bigrams else F.col("_tok")).alias("_t"))
+
+
+def term_rows(docs: DataFrame, text: str = "text", bigrams: bool = True) -> DataFrame:
+    """(term): one row per occurrence. Neighbouring tokens are paired by position
+    and joined after the explode, so no lambda runs per token."""
+    d = docs.select(word_tokens(F.col(text)).alias("_tok"))
+    if not bigrams:
+        return d.select(F.explode("_tok").alias("term"))
+    after = F.slice("_tok", 2, F.greatest(F.size("_tok") - 1, F.lit(0)))
+    pairs = d.select(F.inline(F.arrays_zip(F.col("_tok").alias("a"), after.alias("b"))))
+    both = F.explode(F.array("a", F.concat("a", F.lit(" "), "b")))
+    return pairs.select(both.alias("term")).where(F.col("term").isNotNull())
+
 
 def doc_terms(docs: DataFrame, key: str = "doc_id", text: str = "text",
               bigrams: bool = True) -> DataFrame:
     """(key, term, tf) for every distinct term of every document (whole texts)."""
-    # Tokens are projected once; the n-gram expression then reads the column.
-    d = docs.select(key, word_tokens(F.col(text)).alias("_tok"))
-    terms = uni_bi_grams(F.col("_tok")) if bigrams else F.col("_tok")
     # Counts inside the row: sorted terms, and the places where a new term begins.
-    d = d.select(key, F.array_sort(terms).alias("_s")).where(F.size("_s") > 0)
-    begins = F.filter(F.sequence(F.lit(1), F.size("_s")), lambda i: (i == 1) | (
-        F.element_at("_s", i) != F.element_at("_s", F.greatest(i - 1, F.lit(1)))))
-    d = d.select(key, "_s", begins.alias("_at"))
-    counted = F.transform("_at", lambda i, k: F.struct(
-        F.element_at("_s", i).alias("term"),
-        (F.coalesce(F.get("_at", k + 1), F.size("_s") + 1) - i).cast("long").alias("tf")))
-    return d.select(key, F.inline(counted).alias("term", "tf"))
+    d = _with_terms(docs, text, bigrams, key).select(key, F.sort_array("_t").alias("_s")).where(F.size("_s") > 0)
+    before = F.concat(F.array(F.lit(None).cast("string")), F.slice("_s", 1, F.size("_s") - 1))
+    begins = F.transform(F.arrays_zip(F.col("_s").alias("s"), before.alias("p")),
+                         lambda x, i: F.when(~x["s"].eqNullSafe(x["p"]), i + 1))
+    d = d.select(key, "_s", F.array_compact(begins).alias("_at"))
+    until = F.concat(F.slice("_at", 2, F.size("_at") - 1), F.array(F.size("_s") + 1))
+    runs = d.select(key, "_s", F.inline(F.arrays_zip(F.col("_at").alias("_i"), until.alias("_j"))))
+    return runs.select(key, F.element_at("_s", F.col("_i")).alias("term"),
+                       (F.col("_j") - F.col("_i")).cast("long").alias("tf"))
+
+
+def term_counts(docs: DataFrame, text: str = "text", bigrams: bool = True) -> DataFrame:
+    """(term, df, cf) of every term: one partially aggregated shuffle on ``term``."""
+    d = _with_terms(docs, text, bigrams)
+    kinds = F.explode(F.array(F.struct(F.col("_t").alias("t"), F.lit(0).alias("d")),
+                              F.struct(F.array_distinct("_t").alias("t"), F.lit(1).alias("d"))))
+    rows = d.select(kinds.alias("k")).select(F.explode("k.t").alias("term"), F.col("k.d").alias("d"))
+    return rows.groupBy("term").agg(F.sum("d").alias("df"), F.sum(1 - F.col("d")).alias("cf"))
+
+
+def term_sketches(docs: DataFrame, text: str = "text", bigrams: bool = True, *,
+                  shards: int = SHARDS, tracked: int = TRACKED) -> DataFrame:
+    """(shard, state, error): a mergeable frequent-items sketch per hash shard of the terms.
+
+    Partial sketches of the tasks are merged per shard, so a reducer holds one
+    sketch whatever the input. ``error`` is what the sketch may have
+    undercounted any term by: the sum of all that its purges took off a
+    counter, the fourth long of its binary form (absent while it is empty).
+    """
+    shard = F.pmod(F.xxhash64("term"), F.lit(shards)).alias("shard")
+    s = term_rows(docs, text, bigrams).groupBy(shard).agg(
+        F.expr(f"approx_top_k_accumulate(term, {int(tracked)})").alias("state"))
+    raw = F.reverse(F.substring("state.sketch", 25, 8))
+    error = F.conv(F.hex(raw), 16, 10).cast("long")
+    return s.withColumn("error", F.when(F.length("state.sketch") >= 32, error).otherwise(F.lit(0)))
+
+
+def heavy_terms(docs: DataFrame, k: int, text: str = "text", bigrams: bool = True, *,
+                shards: int = SHARDS, tracked: int = TRACKED) -> tuple[list[str], int]:
+    """(candidates, bound): at most ``k`` terms by their upper bound; no other
+    term occurs more than ``bound`` times.
+
+    A sketch lists the terms it has counted more often than its error; a term
+    it does not list occurs at most twice that often. At most ``k`` + 1 rows
+    and one error per shard reach the driver.
+    """
+    from mailcase.session import materialize
+
+    s = materialize(term_sketches(docs, text, bigrams, shards=shards, tracked=tracked))
+    # A row per listed term with its upper bound, and one per shard for all that it does not list.
+    listed = s.select(F.explode(F.expr(f"approx_top_k_estimate(state, {int(tracked)})")).alias("x"), "error")
+    upper = listed.select(F.col("x.item").alias("term"), F.col("x.count").alias("most"))
+    top = upper.orderBy(F.col("most").desc(), F.col("term").asc()).limit(k + 1).collect()
+    unlisted = s.agg(F.max(2 * F.col("error"))).first()[0] or 0
+    return [r["term"] for r in top[:k]], max([unlisted, *(r["most"] for r in top[k:])])
+
 
+def candidate_counts(docs: DataFrame, candidates: list[str], text: str = "text",
+                     bigrams: bool = True) -> DataFrame:
+    """(term, df, cf) of the candidates: they are counted inside the row, and
+    the shuffle carries one partial count per candidate and task."""
+    model = CountVectorizerModel.from_vocabulary(candidates, inputCol="_t", outputCol="_v")
+    d = model.transform(_with_terms(docs, text, bigrams))
+    v = d.select(F.unwrap_udt("_v").alias("v"))
+    cells = v.select(F.inline(F.arrays_zip(F.col("v.indices").alias("i"), F.col("v.values").alias("x"))))
+    counts = cells.groupBy("i").agg(F.count(F.lit(1)).alias("df"), F.sum("x").cast("long").alias("cf"))
+    return counts.select(_term_of(candidates, F.col("i")).alias("term"), "df", "cf")
 
-def _doc_count(docs: DataFrame) -> F.Column:
-    """Number of documents as a scalar subquery (evaluated once by Spark)."""
-    return docs.select(F.count(F.lit(1))).scalar()
+
+def _term_of(terms: list[str], index: Column) -> Column:
+    """Term of a 0-based index: one array literal (no term holds a line end)."""
+    return F.element_at(F.split(F.lit("\n".join(terms)), "\n"), index + 1)
+
+
+def _limits(n: int, min_df: float, max_df: float) -> tuple[float, float]:
+    lo = min_df if float(min_df).is_integer() and min_df >= 1 else min_df * n
+    hi = max_df if float(max_df).is_integer() and max_df > 1 else max_df * n
+    return lo, hi
 
 
 def fit_vocabulary(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
                    min_df: float = MIN_DF, max_df: float = MAX_DF,
                    max_features: int | None = MAX_FEATURES, bigrams: bool = True,
-                   terms: DataFrame | None = None) -> DataFrame:
-    """M1: (term, df, cf, idf) of the fitted vocabulary."""
-    dt = terms if terms is not None else doc_terms(docs, key, text, bigrams)
-    n = _doc_count(docs)
-    stats = dt.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
-    lo = F.lit(min_df) if float(min_df).is_integer() and min_df >= 1 else F.lit(min_df) * n
-    hi = F.lit(max_df) if float(max_df).is_integer() and max_df > 1 else F.lit(max_df) * n
-    v = stats.where((F.col("df") >= lo) & (F.col("df") <= hi))
-    if max_features is not None:
-        v = v.orderBy(F.col("cf").desc(), F.col("term").asc()).limit(max_features)
-    idf = F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
+                   shards: int = SHARDS, tracked: int = TRACKED) -> DataFrame:
+    """M1: (term, df, cf, idf) of the fitted vocabulary.
+
+    With ``max_features`` the terms are found by sketches and proven, see
+    ``proven_vocabulary``; without, or if its proof fails, all are counted.
+    """
+    n = docs.select(key).count()
+    lo, hi = _limits(n, min_df, max_df)
+    rows = None
+    if max_features is not None and CANDIDATES * max_features <= shards * tracked:
+        rows = proven_vocabulary(docs, max_features, lo, hi, text, bigrams, shards=shards, tracked=tracked)
+    if rows is not None:
+        v = docs.sparkSession.createDataFrame(rows, "term string, df long, cf long")
+    else:
+        v = term_counts(docs, text, bigrams).where(F.col("df").between(lo, hi))
+        if max_features is not None:
+            v = v.orderBy(F.col("cf").desc(), F.col("term").asc()).limit(max_features)
+    idf = F.log(F.lit(1.0 + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     return v.select("term", "df", "cf", idf.alias("idf"))
 
 
-def tfidf(terms: DataFrame, vocab: DataFrame, key: str = "doc_id",
-          vocab_bounded: bool = False) -> DataFrame:
-    """M2 (+ J6): (key, term, tfidf), L2-normalised per document; unseen terms dropped.
+def proven_vocabulary(docs: DataFrame, max_features: int, lo: float, hi: float, text: str = "text",
+                      bigrams: bool = True, *, shards: int = SHARDS, tracked: int = TRACKED
+                      ) -> list[tuple] | None:
+    """The vocabulary's (term, df, cf), at most ``max_features`` rows, or None if unproven.
 
-    ``vocab_bounded`` says the vocabulary has a size cap (``max_features``);
-    only then is it broadcast. Otherwise Catalyst/AQE choose the join.
+    Every term outside the candidates occurs at most ``bound`` times. So the
+    candidates' best are the vocabulary if the last of them occurs more often
+    than that, or if so rare a term can't reach the smallest ``df`` anyway.
     """
-    v = vocab.select("term", "idf")
-    v = F.broadcast(v) if vocab_bounded else v
-    w = terms.join(v, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("w"))
+    candidates, bound = heavy_terms(docs, CANDIDATES * max_features, text, bigrams,
+                                    shards=shards, tracked=tracked)
+    if not candidates:
+        return [] if bound < max(lo, 1) else None
+    kept = candidate_counts(docs, candidates, text, bigrams).where(F.col("df").between(lo, hi))
+    rows = [tuple(r) for r in kept.orderBy(F.col("cf").desc(), F.col("term").asc()).limit(max_features).collect()]
+    full = len(rows) == max_features and rows and rows[-1][2] > bound
+    return rows if full or bound < max(lo, 1) else None
+
+
+def tfidf(terms: DataFrame, vocab: DataFrame, key: str = "doc_id") -> DataFrame:
+    """M2 (+ J6) for a vocabulary of any size: (key, term, tfidf), L2-normalised
+    per document; unseen terms dropped. The join and the norm shuffle the
+    weights; with a capped vocabulary use ``tfidf_rows``."""
+    w = terms.join(vocab.select("term", "idf"), "term").select(
+        key, "term", (F.col("tf") * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
     return w.select(key, "term", (F.col("w") / norm).alias("tfidf"))
 
 
+def tfidf_rows(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text: str = "text",
+               bigrams: bool = True) -> DataFrame:
+    """M2 (+ J6) for a capped vocabulary: (key, term, tfidf), L2-normalised per document.
+
+    Row-local: terms are matched to the vocabulary, weighted and normalised as
+    one sparse vector inside the row, so nothing is shuffled.
+    """
+    model = featurizer(vocab, text, "_v", bigrams)
+    terms = next(s for s in model.stages if isinstance(s, CountVectorizerModel)).vocabulary
+    v = model.transform(docs.select(key, text)).select(key, vector_struct("_v").alias("v"))
+    cells = v.select(key, F.inline(F.arrays_zip(F.col("v.indices").alias("i"), F.col("v.values").alias("x"))))
+    return cells.select(key, _term_of(terms, F.col("i")).alias("term"), F.col("x").alias("tfidf"))
+
+
 # ------------------------------------------------------------ MLlib featurizer
 
 def _terms_sql(text: str, bigrams: bool) -> str:
@@ -110,6 +234,8 @@ def featurizer(vocab: DataFrame, text: str = "text", output: str = "features",
     """
     rows = vocab.select("term", "idf").orderBy("term").collect()
     terms = [r["term"] for r in rows]
+    if not terms:
+        raise ValueError("the vocabulary is empty: no term meets its document frequencies")
     idf = Vectors.dense([r["idf"] for r in rows])
     stages = [SQLTransformer(statement=_terms_sql(text, bigrams))]
     if bigrams:
@@ -125,14 +251,9 @@ def featurizer(vocab: DataFrame, text: str = "text", output: str = "features",
     return PipelineModel(stages)
 
 
-_VECTOR_JSON = ("struct<v: struct<type: tinyint, size: int, indices: array<int>, "
-                "values: array<double>>>")
-
-
 def vector_struct(vec) -> Column:
-    """An MLlib vector as struct<type, size, indices, values> (its JSON form)."""
-    v = F.col(vec) if isinstance(vec, str) else vec
-    return F.from_json(F.to_json(F.struct(v.alias("v"))), _VECTOR_JSON)["v"]
+    """An MLlib vector as struct<type, size, indices, values>, its stored form."""
+    return F.unwrap_udt(F.col(vec) if isinstance(vec, str) else vec)
 
 
 def vector_entries(vec, parsed: bool = False) -> Column:
@@ -160,5 +281,5 @@ def fit_featurizer(docs: DataFrame, key: str, text: str, *, output: str = "featu
     return featurizer(vocab, text, output, bigrams), vocab
 
 
-__all__ = ["doc_terms", "fit_vocabulary", "tfidf", "featurizer", "fit_featurizer", "ngrams",
-           "vector_entries", "vector_struct"]
+__all__ = ["doc_terms", "fit_vocabulary", "heavy_terms", "proven_vocabulary", "term_counts", "term_sketches",
+           "tfidf", "tfidf_rows", "featurizer", "fit_featurizer", "ngrams", "vector_entries", "vector_struct"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from mailcase.operators.features import (doc_terms, fit_featurizer, fit_vocabulary, tfidf,
-                                         vector_entries, vector_struct)
+                                         tfidf_rows, vector_entries, vector_struct)
 from mailcase.plans.registry import query
 from mailcase.sources.tables import table
 
@@ -42,9 +42,21 @@ SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) A
 def q_tfidf(spark, sf_dir):
     """M2: long-form L2-normalised TF-IDF of every document on the fitted vocabulary."""
     d = table(spark, sf_dir, "documents")
-    dt = doc_terms(d, "doc_id", "text")
-    v = fit_vocabulary(d, "doc_id", "text", terms=dt)
-    return tfidf(dt, v, vocab_bounded=True).select("doc_id", "term", F.round("tfidf", 6).alias("tfidf"))
+    v = fit_vocabulary(d, "doc_id", "text")
+    return tfidf_rows(d, v).select("doc_id", "term", F.round("tfidf", 6).alias("tfidf"))
+
+
+@query("tfidf_full_vocabulary", TERMS_SQL.replace(" ORDER BY cf DESC, term LIMIT 3000", "") + """
+SELECT doc_id, count(*) AS n_terms, round(sum(w) / sqrt(sum(w * w)), 6) AS weight_sum, min(term) AS first_term
+FROM w GROUP BY doc_id""")
+def q_tfidf_full(spark, sf_dir):
+    """M1/M2/J6 without a cap: every term of 2+ documents is joined; per document the
+    number of terms, the sum of its normalised weights and its first term."""
+    d = table(spark, sf_dir, "documents")
+    v = fit_vocabulary(d, "doc_id", "text", max_features=None)
+    return tfidf(doc_terms(d, "doc_id", "text"), v).groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n_terms"), F.round(F.sum("tfidf"), 6).alias("weight_sum"),
+        F.min("term").alias("first_term"))
 
 
 @query("featurizer_tfidf", TERMS_SQL + """
