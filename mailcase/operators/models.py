@@ -10,43 +10,43 @@ applied to any later batch with the same feature indices.
 from __future__ import annotations
 
 import json
-import math
+import time
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, LogisticRegression
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailcase.functions.labels import BINARY, LabelSet, decode
-from mailcase.functions.scores import argmax
+from mailcase.functions.scores import argmax, log_softmax
+from mailcase.operators.boosting import PATIENCE, best_round, fit_boosted
 from mailcase.operators.features import MAX_FEATURES, fit_featurizer
+from mailcase.operators.metrics import focal_loss
 from mailcase.operators.profile import class_weights
+from mailcase.session import materialize, written
 
 # Boosted-tree settings of the reference (rounds, depth, rate, sampling, seed).
 GBT_PARAMS = dict(maxIter=300, maxDepth=3, stepSize=0.1, subsamplingRate=0.8,
                   featureSubsetStrategy="0.8", seed=42)
 
 
-# Rounds without a better evaluation loss before boosting stops (fixed value),
-# and the rounds of the first attempt.
-PATIENCE = 20
-FIRST_ROUNDS = 40
+def _with_features(train: DataFrame, key: str, text: str, cols: Sequence[str], max_features: int,
+                   vocabulary_rows=None) -> tuple[PipelineModel, DataFrame]:
+    """(featurizer stages, training rows as (cols..., features)).
 
-
-def _with_features(train: DataFrame, key: str, text: str, max_features: int):
-    """Fit the vocabulary on the training rows (a Spark job) -> featurizer stages."""
-    return fit_featurizer(train, key, text, max_features=max_features)
-
-
-def _featurized(feat: PipelineModel, train: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """The training rows as (labels..., features), computed once: every later
-    pass (class counts, the estimator's own passes, a second head) reads the
-    checkpointed vectors instead of re-cleaning and re-tokenising the text."""
-    from mailcase.session import materialize
-
-    return materialize(feat.transform(train).select(*cols, "features"))
+    The text is prepared once and written, as the vocabulary reads it twice
+    and the features once more; the vectors are checkpointed, so every later
+    pass reads them instead of the text. ``vocabulary_rows``: condition on the
+    rows that shape the vocabulary.
+    """
+    rows = written(train.select(key, text, *cols), "training")
+    shaping = rows if vocabulary_rows is None else rows.where(vocabulary_rows)
+    feat, _ = fit_featurizer(shaping, key, text, max_features=max_features)
+    return feat, materialize(feat.transform(rows).select(*cols, "features"))
 
 
 def train_gbt(train: DataFrame, key: str, text: str, label: str, *,
@@ -56,40 +56,33 @@ def train_gbt(train: DataFrame, key: str, text: str, label: str, *,
     column marking the early-stopping evaluation rows.
 
     Boosting stops when ``patience`` rounds in a row did not lower the loss of
-    the evaluation rows, and the best round is kept."""
-    p = dict(GBT_PARAMS, **(params or {}))
-    if not validation:
-        feat, _ = _with_features(train, key, text, max_features)
-        x = _labelled(_featurized(feat, train, [label]), label, BINARY)
-        return PipelineModel(feat.stages + [GBTClassifier(featuresCol="features", labelCol=label, **p).fit(x)])
+    the evaluation rows, and the best round is kept (``rounds``)."""
+    return train_gbt_logged(train, key, text, label, validation=validation, patience=patience,
+                            max_features=max_features, params=params)[0]
+
+
+def train_gbt_logged(train: DataFrame, key: str, text: str, label: str, *,
+                     validation: str | None = None, patience: int = PATIENCE,
+                     max_features: int = MAX_FEATURES, params: dict | None = None
+                     ) -> tuple[PipelineModel, list[float]]:
+    """``train_gbt`` and the evaluation loss of each round."""
+    cols = [label] + ([validation] if validation else [])
     # The evaluation rows stay out of the vocabulary and of the trees.
-    feat, _ = _with_features(train.where(~F.col(validation)), key, text, max_features)
-    x = _labelled(_featurized(feat, train, [label, validation]), label, BINARY)
-    fit_rows, eval_rows = x.where(~F.col(validation)), x.where(F.col(validation))
-    # A fit is a prefix of any longer one (the seed of a round depends on its
-    # number only), so rounds are added until PATIENCE of them bring nothing.
-    rounds = min(FIRST_ROUNDS, p["maxIter"])
-    while True:
-        model = GBTClassifier(featuresCol="features", labelCol=label, **dict(p, maxIter=rounds)).fit(fit_rows)
-        best = best_round(model.evaluateEachIteration(eval_rows), patience)
-        if best is not None or rounds >= p["maxIter"]:
-            break
-        rounds = min(2 * rounds, p["maxIter"])
-    if best is not None and best < rounds:
-        model = GBTClassifier(featuresCol="features", labelCol=label, **dict(p, maxIter=best)).fit(fit_rows)
-    return PipelineModel(feat.stages + [model])
+    feat, x = _with_features(train, key, text, cols, max_features, ~F.col(validation) if validation else None)
+    model, losses = fit_boosted(_labelled(x, label, BINARY), label, validation,
+                                params=dict(GBT_PARAMS, **(params or {})), patience=patience)
+    return PipelineModel(feat.stages + [model]), losses
 
 
-def best_round(losses: Sequence[float], patience: int = PATIENCE) -> int | None:
-    """Number of rounds to keep: the one of smallest evaluation loss, once
-    ``patience`` later rounds were no better; None if that is still open."""
-    best, at = math.inf, 0
-    for i, v in enumerate(losses, 1):
-        if v < best:
-            best, at = v, i
-        elif i - at >= patience:
-            return at
-    return None
+def rounds(model: PipelineModel) -> int:
+    """Boosting rounds of a trained model."""
+    return len(model.stages[-1].treeWeights)
+
+
+def loss_table(spark: SparkSession, losses: Sequence[float], kept: int) -> DataFrame:
+    """(round, loss, kept): one row per round fitted."""
+    return spark.createDataFrame([(i, float(v), i <= kept) for i, v in enumerate(losses, 1)],
+                                 "round int, loss double, kept boolean")
 
 
 def _labelled(x: DataFrame, label: str, label_set: LabelSet) -> DataFrame:
@@ -109,26 +102,76 @@ def train_logistic(train: DataFrame, key: str, text: str, label: str, label_set:
                    max_iter: int = 100, reg: float = 0.0) -> PipelineModel:
     """M6 / M7: logistic regression (multinomial when more than two classes);
     ``weighted`` adds A8 inverse-frequency class weights as ``weightCol``."""
-    feat, _ = _with_features(train, key, text, max_features)
-    x = _labelled(_featurized(feat, train, [label]), label, label_set)
+    feat, x = _with_features(train, key, text, [label], max_features)
+    x = _labelled(x, label, label_set)
     lr = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter,
                             regParam=reg, family="multinomial" if len(label_set) > 2 else "auto")
     if weighted:
-        # One weight per class of the label set, as a literal map: no join, no row lost.
-        w = {r["class_id"]: r["weight"] or 0.0 for r in class_weights(x, label, label_set).collect()}
-        pairs = F.create_map(*[F.lit(v) for c, a in w.items() for v in (int(c), float(a))])
-        x = x.withColumn("_w", pairs[F.col(label).cast("int")])
+        # One weight per class of the label set, as a literal array: no join, no row lost.
+        w = F.array(*[F.lit(v) for v in _class_weights(x, label, label_set)])
+        x = x.withColumn("_w", F.element_at(w, F.col(label).cast("int") + 1))
         lr.setWeightCol("_w")
     model = lr.fit(x)
     return PipelineModel(feat.stages + [model])
 
 
+def _class_weights(x: DataFrame, label: str, label_set: LabelSet) -> list[float]:
+    """A8 weight of each class of the set, 0 for one without rows."""
+    w = {int(r["class_id"]): r["weight"] or 0.0 for r in class_weights(x, label, label_set).collect()}
+    return [float(w.get(i, 0.0)) for i in range(len(label_set))]
+
+
+def train_focal(train: DataFrame, key: str, text: str, label: str, label_set: LabelSet, *,
+                gamma: float = 2.0, weighted: bool = False, max_features: int = MAX_FEATURES,
+                max_iter: int = 100, reg: float = 0.01, max_rounds: int = 20, tol: float = 1e-4
+                ) -> tuple[PipelineModel, DataFrame]:
+    """M7 with the focal objective (E14): (model, (round, focal_loss, kept)).
+
+    Iteratively reweighted logistic regression: a row's weight is the slope of
+    its focal loss against its cross-entropy at the last round's probabilities,
+    so where the weights no longer change the focal loss has no slope left.
+    Round 0 is the plain fit. Rounds end when the focal loss of the training
+    rows falls by less than ``tol`` of its value; the best round is kept.
+    ``weighted`` adds the class weights (A8), scaled to a mean of 1 a class.
+    """
+    feat, x = _with_features(train, key, text, [label], max_features)
+    x = _labelled(x, label, label_set)
+    alpha = _class_weights(x, label, label_set) if weighted else [1.0] * len(label_set)
+    scale = len(alpha) / sum(alpha)
+    alpha = [a * scale for a in alpha]
+    lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol="_w", maxIter=max_iter,
+                            regParam=reg, family="multinomial")
+    y = F.col(label).cast("int") + 1
+    a = F.element_at(F.array(*[F.lit(v) for v in alpha]), y)
+    rows, best, log = x.withColumn("_w", a), None, []
+    for i in range(max_rounds + 1):
+        model = lr.fit(rows)
+        raw = model.transform(x).select(label, "features", vector_to_array(model.getRawPredictionCol()).alias("_z"))
+        loss = focal_loss(raw, label, "_z", gamma, alpha).first()[0]
+        log.append(loss)
+        if best is not None and loss >= best[1] * (1.0 - tol):
+            break
+        best = (model, loss, i)
+        ce = -a * F.element_at(log_softmax("_z"), y)
+        pt = F.exp(-ce)
+        slope = F.pow(1.0 - pt, F.lit(gamma)) + gamma * ce * pt * F.pow(F.greatest(1.0 - pt, F.lit(1e-12)), F.lit(gamma - 1.0))
+        # Checkpointed: the next fit reads the weights in each of its passes.
+        rows = materialize(raw.select(label, "features", (a * slope).alias("_w")))
+        mean = rows.agg(F.avg("_w")).first()[0]
+        if not mean:
+            break
+        meta = x.schema[label].metadata
+        rows = rows.select(F.col(label).alias(label, metadata=meta), "features", (F.col("_w") / mean).alias("_w"))
+    table = train.sparkSession.createDataFrame([(i, float(v), i == best[2]) for i, v in enumerate(log)],
+                                               "round int, focal_loss double, kept boolean")
+    return PipelineModel(feat.stages + [best[0]]), table
+
+
 def train_two_heads(train: DataFrame, key: str, text: str, bin_label: str, mc_label: str,
                     label_set: LabelSet, max_features: int = MAX_FEATURES,
                     max_iter: int = 100) -> tuple[PipelineModel, PipelineModel]:
     """M8: one shared feature stage, two logistic heads (binary and multiclass)."""
-    feat, _ = _with_features(train, key, text, max_features)
-    x = _featurized(feat, train, [bin_label, mc_label])
+    feat, x = _with_features(train, key, text, [bin_label, mc_label], max_features)
     x = _labelled(_labelled(x, bin_label, BINARY), mc_label, label_set)
     hb = LogisticRegression(featuresCol="features", labelCol=bin_label, maxIter=max_iter,
                             predictionCol="pred_b", probabilityCol="prob_b",
@@ -151,82 +194,151 @@ def score(model: PipelineModel, df: DataFrame, label_set: LabelSet | None = None
     return s
 
 
-def score_external(df: DataFrame, text: str, predict: Callable, n_classes: int,
-                   keep: Sequence[str] = ()) -> DataFrame:
-    """M9 for a model outside Spark: ``predict(pandas.Series[str]) -> array (n, C)``
-    runs per Arrow batch in ``mapInPandas`` (never per row)."""
+_hosted: dict[str, Callable] = {}
+
+
+def hosted(path: str, load: Callable[[bytes], Callable], content: bytes) -> Callable:
+    """A model loaded once per Python worker, told apart by its path and content."""
+    name = f"{path}:{hash(content)}"
+    if name not in _hosted:
+        _hosted[name] = load(content)
+    return _hosted[name]
+
+
+def score_external(df: DataFrame, text: str, path: str, load: Callable[[bytes], Callable], n_classes: int,
+                   keep: Sequence[str] = (), *, batch_chars: int = 1 << 20) -> DataFrame:
+    """M9 for a model outside Spark, saved as files under ``path`` in shared storage.
+
+    Spark reads the files (so any store it knows will do) and sends their
+    bytes to the tasks; ``load(bytes)`` runs once per Python worker and returns
+    ``predict(list of texts) -> array (n, C)``. The texts of an Arrow batch are
+    sorted by length and predicted in batches of at most ``batch_chars``
+    characters (or one text), so that texts of a batch are of like length; rows
+    keep their order. A null text is predicted as ''.
+    """
     import numpy as np
     import pandas as pd
 
+    spark = df.sparkSession
+    files = spark.read.format("binaryFile").load(path).orderBy("path").select("content").collect()
+    sent = spark.sparkContext.broadcast(b"".join(bytes(r["content"]) for r in files))
     keep = list(keep)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in
                         df.select(*keep).schema.fields] + ["probs array<double>"])
 
     def run(batches):
+        predict = hosted(path, load, sent.value)
         for b in batches:
-            p = np.asarray(predict(b[text].fillna("")), dtype=float).reshape(len(b), n_classes)
-            yield pd.DataFrame({**{k: b[k] for k in keep}, "probs": list(p)})
-
-    s = df.select(*keep, text).mapInPandas(run, schema)
+            texts = [t if isinstance(t, str) else "" for t in b[text]]
+            order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
+            probs, i = np.zeros((len(texts), n_classes)), 0
+            while i < len(order):
+                j, held = i, 0
+                while j < len(order) and (j == i or held + len(texts[order[j]]) <= batch_chars):
+                    held += len(texts[order[j]])
+                    j += 1
+                probs[order[i:j]] = np.asarray(predict([texts[k] for k in order[i:j]]), dtype=float)
+                i = j
+            yield pd.DataFrame({**{k: b[k] for k in keep}, "probs": list(probs)})
+
+    s = df.select(*dict.fromkeys([*keep, text])).mapInPandas(run, schema)
     return s.withColumns({"pred": argmax("probs"), "confidence": F.array_max("probs")})
 
 
-def feature_importance(model: PipelineModel, k: int = 20) -> DataFrame:
+def _session(spark: SparkSession | None) -> SparkSession:
+    return spark or SparkSession.getActiveSession()
+
+
+def feature_importance(model: PipelineModel, k: int = 20, *, spark: SparkSession | None = None) -> DataFrame:
     """Top ``k`` (term, importance) of a tree model, ties by term.
 
     The importance vector has one entry per vocabulary term (bounded by
     ``max_features``), so it is turned into a DataFrame on the driver.
     """
-    from pyspark.ml.feature import CountVectorizerModel
-
-    spark = model.stages[0].sparkSession if hasattr(model.stages[0], "sparkSession") else None
     cv = next(s for s in model.stages if isinstance(s, CountVectorizerModel))
-    tree = model.stages[-1]
-    imp = tree.featureImportances.toArray()
+    imp = model.stages[-1].featureImportances.toArray()
     rows = [(t, float(v)) for t, v in zip(cv.vocabulary, imp)]
-    from pyspark.sql import SparkSession
-    spark = spark or SparkSession.getActiveSession()
-    df = spark.createDataFrame(rows, "term string, importance double")
+    df = _session(spark).createDataFrame(rows, "term string, importance double")
     return df.orderBy(F.col("importance").desc(), F.col("term").asc()).limit(k)
 
 
-def prediction_table(scored: DataFrame, truth: DataFrame, key: str, subject: str = "Subject",
-                     body: str = "TextBody", label: str = "label", positive: int = 1
-                     ) -> DataFrame:
-    """E19 (+ J5): Subject, TextBody, True_Label, Predicted_Label, Complaint_Probability,
-    aligned on the case key."""
-    j = truth.select(key, subject, body, label).join(scored, key)
-    return j.select(key, subject, body, F.col(label).alias("True_Label"),
-                    F.col("pred").alias("Predicted_Label"),
-                    F.element_at("probs", positive + 1).alias("Complaint_Probability"))
+# ------------------------------------------------------------ prediction tables
 
+def prediction_table(scored: DataFrame, subject: str = "Subject", body: str = "TextBody",
+                     label: str = "label", positive: int = 1, keep: Sequence[str] = ()) -> DataFrame:
+    """(keep..., Subject, TextBody, True_Label, Predicted_Label, Complaint_Probability)."""
+    return scored.select(*keep, F.col(subject).alias("Subject"), F.col(body).alias("TextBody"),
+                         F.col(label).alias("True_Label"), F.col("pred").alias("Predicted_Label"),
+                         F.element_at("probs", positive + 1).alias("Complaint_Probability"))
 
-def model_path(root: str, name: str, version: str | int) -> str:
-    return f"{root.rstrip('/')}/{name}/v{version}"
 
+def class_table(scored: DataFrame, label_set: LabelSet, subject: str = "Subject",
+                keep: Sequence[str] = ()) -> DataFrame:
+    """E19, compact: (keep..., Subject, Predicted_Class, Confidence)."""
+    return scored.select(*keep, F.col(subject).alias("Subject"),
+                         decode("pred", label_set).alias("Predicted_Class"), F.col("confidence").alias("Confidence"))
 
-def save_model(model: PipelineModel, root: str, name: str, version: str | int,
-               label_set: LabelSet | None = None) -> str:
-    """Save under ``root/name/vN`` with its label set (shared storage)."""
-    path = model_path(root, name, version)
-    model.write().overwrite().save(f"{path}/model")
-    spark = _active()
-    meta = {"name": name, "version": str(version),
-            "label_set": label_set.name if label_set else None,
-            "classes": list(label_set.classes) if label_set else None}
-    spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").text(
-        f"{path}/meta")
-    return path
 
+def confidence_table(scored: DataFrame, label_set: LabelSet, label: str = "label",
+                     keep: Sequence[str] = ()) -> DataFrame:
+    """E19, compact: (keep..., predicted_label, confidence, true_label), labels by name."""
+    return scored.select(*keep, decode("pred", label_set).alias("predicted_label"), "confidence",
+                         decode(label, label_set).alias("true_label"))
 
-def load_model(root: str, name: str, version: str | int) -> tuple[PipelineModel, LabelSet | None]:
-    path = model_path(root, name, version)
-    model = PipelineModel.load(f"{path}/model")
-    meta = json.loads(_active().read.text(f"{path}/meta").first()[0])
-    ls = LabelSet(meta["label_set"], tuple(meta["classes"])) if meta["classes"] else None
-    return model, ls
 
+# ------------------------------------------------------------ saved models
 
-def _active():
-    from pyspark.sql import SparkSession
-    return SparkSession.getActiveSession()
+def _manifests(spark: SparkSession, root: str, name: str) -> list[dict]:
+    """Published versions, the oldest first. A manifest is one short row."""
+    path = f"{root.rstrip('/')}/{name}/published"
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs_path):
+        return []
+    rows = spark.read.schema("name string, version long, at long, data string, label_set string, classes array<string>"
+                             ).json(f"{path}/*").collect()
+    return sorted((r.asDict() for r in rows), key=lambda m: (m["version"], m["at"], m["data"]))
+
+
+def save_model(model: PipelineModel, root: str, name: str, version: int | None = None,
+               label_set: LabelSet | None = None, *, spark: SparkSession | None = None) -> int:
+    """Publish a model under ``root/name`` with its label set; returns the version.
+
+    The model is written aside, in a folder of its own, and becomes visible
+    only with its manifest, which is written last. A save that dies before
+    leaves the published versions as they are, and so does saving a version
+    again. Without ``version`` it is the one after the latest.
+    """
+    spark = _session(spark)
+    known = _manifests(spark, root, name)
+    if version is None:
+        version = 1 + max((m["version"] for m in known), default=0)
+    base, data = f"{root.rstrip('/')}/{name}", uuid.uuid4().hex
+    model.write().save(f"{base}/data/{data}")
+    row = (name, int(version), max([time.time_ns(), *(m["at"] + 1 for m in known)]), data,
+           label_set.name if label_set else None, list(label_set.classes) if label_set else None)
+    spark.createDataFrame([row], "name string, version long, at long, data string, label_set string, "
+                                 "classes array<string>").coalesce(1).write.json(f"{base}/published/v{version}-{data}")
+    return int(version)
+
+
+def latest_version(root: str, name: str, *, spark: SparkSession | None = None) -> int | None:
+    """The highest published version; None if there is none."""
+    return max((m["version"] for m in _manifests(_session(spark), root, name)), default=None)
+
+
+def load_model(root: str, name: str, version: int | None = None, *, spark: SparkSession | None = None
+               ) -> tuple[PipelineModel, LabelSet | None]:
+    """(model, label set) of a published version, by default the latest; of a
+    version saved more than once, its last save."""
+    found = [m for m in _manifests(_session(spark), root, name) if version is None or m["version"] == int(version)]
+    if not found:
+        raise LookupError(f"no published model {name}" + (f" version {version}" if version is not None else ""))
+    m = found[-1]
+    model = PipelineModel.load(f"{root.rstrip('/')}/{name}/data/{m['data']}")
+    return model, LabelSet(m["label_set"], tuple(m["classes"])) if m["classes"] else None
+
+
+__all__ = ["GBT_PARAMS", "GBTClassificationModel", "best_round", "class_table", "confidence_table",
+           "feature_importance", "latest_version", "load_model", "loss_table", "prediction_table", "rounds",
+           "save_model", "score", "score_external", "train_focal", "train_gbt", "train_gbt_logged",
+           "train_logistic", "train_two_heads"]
