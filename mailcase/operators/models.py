@@ -127,41 +127,51 @@ def train_focal(train: DataFrame, key: str, text: str, label: str, label_set: La
                 ) -> tuple[PipelineModel, DataFrame]:
     """M7 with the focal objective (E14): (model, (round, focal_loss, kept)).
 
-    Iteratively reweighted logistic regression: a row's weight is the slope of
-    its focal loss against its cross-entropy at the last round's probabilities,
-    so where the weights no longer change the focal loss has no slope left.
-    Round 0 is the plain fit. Rounds end when the focal loss of the training
-    rows falls by less than ``tol`` of its value; the best round is kept.
-    ``weighted`` adds the class weights (A8), scaled to a mean of 1 a class.
+    Iteratively reweighted logistic regression. A row's slope is that of its
+    focal loss against its cross-entropy; weights equal to the slopes leave the
+    focal loss no way down. Round 0 is the plain fit. Each round moves the
+    weights of the best fit so far a step towards its slopes (scaled to a mean
+    of 1) and fits again; a step that does not lower the focal loss of the
+    training rows is halved. Rounds end when the loss falls by less than
+    ``tol`` of its value, after three halvings in a row, or at ``max_rounds``;
+    the best round is kept. ``weighted`` adds the class weights (A8), scaled to
+    a mean of 1 a class.
     """
     feat, x = _with_features(train, key, text, [label], max_features)
     x = _labelled(x, label, label_set)
+    meta = x.schema[label].metadata
     alpha = _class_weights(x, label, label_set) if weighted else [1.0] * len(label_set)
-    scale = len(alpha) / sum(alpha)
-    alpha = [a * scale for a in alpha]
+    alpha = [a * len(alpha) / sum(alpha) for a in alpha]
     lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol="_w", maxIter=max_iter,
                             regParam=reg, family="multinomial")
     y = F.col(label).cast("int") + 1
     a = F.element_at(F.array(*[F.lit(v) for v in alpha]), y)
-    rows, best, log = x.withColumn("_w", a), None, []
+    rows, best, log, step, halved = x.withColumn("_w", a), None, [], 1.0, 0
     for i in range(max_rounds + 1):
         model = lr.fit(rows)
-        raw = model.transform(x).select(label, "features", vector_to_array(model.getRawPredictionCol()).alias("_z"))
+        raw = model.transform(rows).withColumn("_z", vector_to_array(model.getRawPredictionCol()))
         loss = focal_loss(raw, label, "_z", gamma, alpha).first()[0]
         log.append(loss)
-        if best is not None and loss >= best[1] * (1.0 - tol):
-            break
-        best = (model, loss, i)
-        ce = -a * F.element_at(log_softmax("_z"), y)
-        pt = F.exp(-ce)
-        slope = F.pow(1.0 - pt, F.lit(gamma)) + gamma * ce * pt * F.pow(F.greatest(1.0 - pt, F.lit(1e-12)), F.lit(gamma - 1.0))
-        # Checkpointed: the next fit reads the weights in each of its passes.
-        rows = materialize(raw.select(label, "features", (a * slope).alias("_w")))
-        mean = rows.agg(F.avg("_w")).first()[0]
+        if best is None or loss < best[1]:
+            settled = best is not None and loss >= best[1] * (1.0 - tol)
+            best, halved = (model, loss, i), 0
+            if settled:
+                break
+            ce = -a * F.element_at(log_softmax("_z"), y)
+            pt = F.exp(-ce)
+            rest = F.greatest(1.0 - pt, F.lit(1e-12))
+            slope = a * (F.pow(rest, F.lit(gamma)) + gamma * ce * pt * F.pow(rest, F.lit(gamma - 1.0)))
+            # Checkpointed: the next fits read weights and slopes in each of their passes.
+            at = materialize(raw.select(label, "features", "_w", slope.alias("_s")))
+            mean = at.agg(F.avg("_s") / F.avg("_w")).first()[0]
+        else:
+            step, halved = step / 2.0, halved + 1
+            if halved > 3:
+                break
         if not mean:
             break
-        meta = x.schema[label].metadata
-        rows = rows.select(F.col(label).alias(label, metadata=meta), "features", (F.col("_w") / mean).alias("_w"))
+        mixed = (1.0 - step) * F.col("_w") + step / mean * F.col("_s")
+        rows = at.select(F.col(label).alias(label, metadata=meta), "features", mixed.alias("_w"))
     table = train.sparkSession.createDataFrame([(i, float(v), i == best[2]) for i, v in enumerate(log)],
                                                "round int, focal_loss double, kept boolean")
     return PipelineModel(feat.stages + [best[0]]), table
