@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailcase.llm.tables import stored, summed_table
+from mailcase.llm.tables import TAG, stored, summed_table, text_tag
 from mailcase.llm.wordhash import ALNUM, LOWER, Words, gram_hashes, pieces
 
 WINDOW = 13
@@ -190,7 +190,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
                   item: str = "item_id", item_text: str = "text", *, window: int = WINDOW,
                   shingle: int = SHINGLE, share: int = 20,
                   max_windows: int = MAX_WINDOWS) -> DataFrame:
-    """(key, text_hash, n_words, n_hit, items, contaminated) of every document.
+    """(key, text_hash, text_id, n_words, n_hit, items, contaminated) of every document.
 
     Words are runs of ASCII letters, digits and non-ASCII characters, A-Z
     lower-cased. A word inside any occurrence of an item window is hit;
@@ -199,13 +199,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     its words and it has a hit.
 
     Null and empty texts have no words; items without words have no window.
-    An item with a null id is reported under the empty string. Rows equal in
-    key and text are one document (one row); rows that share a key but not the
-    text stay apart. Empty tables and other columns change nothing.
+    An item with a null id is reported under the empty string. Every row is a
+    document: rows that share a key, a text or both each have their row
+    (``text_id`` tells the texts of a key apart). Empty tables and other
+    columns change nothing.
     """
     spark = docs.sparkSession
     src = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
-    src = src.select("doc", F.hash("text").alias("tag"), "text")
+    src = src.select("doc", text_tag("text").alias("tag"), "text")
     kind = src.schema["doc"].dataType.simpleString()
     wins = stored(benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"),
                                    F.col(item_text).alias("text"))
@@ -222,12 +223,21 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
         block.choose_prefix(summed_table(src.select("text"), size, _count_shingles(sent)))
         sent = spark.sparkContext.broadcast(block)
         part = src.mapInArrow(
-            _probe(sent, i == 0), f"doc {kind}, tag int, n_words long, "
-            "ranges array<struct<lo: int, hi: int>>, items array<string>")
+            _probe(sent, i == 0), f"doc {kind}, tag {TAG}, n_words long, "
+            "ranges array<struct<lo: int, hi: int>>, items array<string>").withColumn("block", F.lit(i))
         hits = part if hits is None else hits.unionByName(part)
-    g = hits.groupBy("doc", "tag").agg(
-        F.max("n_words").alias("n_words"), F.flatten(F.collect_list("ranges")).alias("ranges"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    g = g.select(F.col("doc").alias(key), F.col("tag").alias("text_hash"), "n_words", _covered(F.col("ranges")).alias("n_hit"), "items")
+    g = hits                               # one block of windows: a row is complete as it is
+    if n_blocks > 1:
+        # Equal rows have equal hits in a block: one of them stands for all, and the first block counts them.
+        g = hits.groupBy("doc", "tag", "block").agg(
+            F.count_if(F.col("block") == 0).alias("n"), F.first("n_words").alias("n_words"),
+            F.first("ranges").alias("ranges"), F.first("items").alias("items"))
+        g = g.groupBy("doc", "tag").agg(
+            F.max("n").alias("n"), F.max("n_words").alias("n_words"),
+            F.flatten(F.collect_list("ranges")).alias("ranges"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        g = g.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("n").cast("int"))))
+    g = g.select(F.col("doc").alias(key), F.col("tag.h").alias("text_hash"), F.col("tag.id").alias("text_id"),
+                 "n_words", _covered(F.col("ranges")).alias("n_hit"), "items")
     return g.withColumn("contaminated", (F.col("n_hit") > 0)
                         & (F.lit(share) * F.col("n_hit") >= F.col("n_words")))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mailcase.llm.tables import same, stored
+from mailcase.llm.tables import same, stored, text_id
 from mailcase.llm.wordhash import _BYTE_VALUES, LOWER, mix, pieces, range_hashes, signed
 
 MIN_CHARS = 20
@@ -222,7 +222,7 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
     """
     spark = docs.sparkSession
     src = docs.select(F.struct("*").alias("row"), F.col(key).alias("doc"), F.col(text).alias("text"))
-    src = src.withColumn("tag", F.hash("text"))
+    src = src.withColumn("tag", text_id("text"))
     kind = src.schema["doc"].dataType.simpleString()
     n_bytes = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards, bits = filter_size(n_bytes)
@@ -233,7 +233,7 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
         {r["shard"]: np.frombuffer(bytes(r["bits"]), dtype=np.uint8) for r in twice.collect()})
 
     suspects = stored(src.select("doc", "tag", "text").mapInArrow(
-        _suspects(filters, min_chars, shards), f"doc {kind}, tag int, line string"), "suspects")
+        _suspects(filters, min_chars, shards), f"doc {kind}, tag binary, line string"), "suspects")
     place = F.struct("doc", "tag")
     confirmed = stored(suspects.distinct().groupBy("line").agg(
         F.count(F.lit(1)).alias("n"), F.max(place).alias("last")).where(F.col("n") >= min_docs)

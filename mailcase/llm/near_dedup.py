@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailcase.llm.components import components
-from mailcase.llm.tables import same, stored, summed_table
+from mailcase.llm.tables import TAG, same, stored, summed_table, text_tag
 from mailcase.llm.wordhash import ALNUM, LOWER, Words, gram_hashes, mix, pieces, range_hashes, signed
 
 SHINGLE = 5
@@ -189,7 +189,7 @@ def _whole(w: Words, h: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def _vectors(n: int):
     """Shingles of each node's text as sorted 32-bit hashes, repeated as often as they occur.
 
-    Texts found by key and 32-bit hash that are not the node's are left out.
+    Texts that are not the node's are left out.
     """
     def run(batches):
         for b in batches:
@@ -222,12 +222,14 @@ def _rarity(batches, table):
 
 
 def _prefix(idf, rarity, threshold: float):
-    """(node, weight, common, size, shared, prefix): a text's weight and number of shingles,
-    both of the shingles which other texts may have, and the rarest shingles that hold
-    1 - threshold of the weight or of the number, whichever are more."""
+    """(node, weight, common, size, shared, plain, heavy, before): a text's weight and number of
+    shingles, both of the shingles which other texts may have, and the rarest shingles that
+    hold 1 - threshold of the number (``plain``) and of the weight (``heavy``, with the weight
+    of the shingles ``before`` each), rarest first."""
     def run(batches):
         for b in batches:
-            out, weight, common, size, shared = [], [], [], [], []
+            weight, common, size, shared = [], [], [], []
+            plain, heavy, ahead = [], [], []
             for row in b.column("sh"):
                 sh, tf = np.unique(row.values.to_numpy().view(np.uint32), return_counts=True)
                 w = tf * idf.value[sh % BUCKETS].astype(float)
@@ -240,11 +242,15 @@ def _prefix(idf, rarity, threshold: float):
                 before = np.cumsum(w[order]) - w[order]
                 # A little more than needed, for rounding.
                 part = 1 - threshold + 1e-6
-                held = (before <= part * w.sum()) | (np.arange(len(sh)) <= part * len(sh))
-                out.append(sh[order][held].view(np.int32))
+                plain.append(sh[order][np.arange(len(sh)) <= part * len(sh)].view(np.int32))
+                held = before <= part * w.sum()
+                heavy.append(sh[order][held].view(np.int32))
+                ahead.append(before[held])
             yield pa.RecordBatch.from_pydict({
                 "node": b.column("node"), "weight": weight, "common": common, "size": size,
-                "shared": shared, "prefix": pa.array(out, pa.list_(pa.int32()))})
+                "shared": shared, "plain": pa.array(plain, pa.list_(pa.int32())),
+                "heavy": pa.array(heavy, pa.list_(pa.int32())),
+                "before": pa.array(ahead, pa.list_(pa.float64()))})
     return run
 
 
@@ -293,7 +299,7 @@ def _keyless(h: Column, kind: str) -> Column:
 def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: int = SHINGLE,
                threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
                seed: int = SEED) -> DataFrame:
-    """(key, text_hash, class_key, kept) of every row: rows of a class share the
+    """(key, text_hash, text_id, class_key, kept) of every row: rows of a class share the
     class key, its smallest key. One text with that key is kept in each class, and
     all rows that repeat it and the key.
 
@@ -313,10 +319,10 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: i
         raise TypeError(f"keys are integers or strings, not {kind}")
     name = f"struct<k:{kind},d1:bigint,d2:bigint>"
     src = docs.select(F.col(key).cast(kind).alias("doc"), F.col(text).alias("text"))
-    src = src.select("doc", F.hash("text").alias("tag"), "text")
+    src = src.select("doc", text_tag("text").alias("tag"), "text")
     idf = sc.broadcast(shingle_idf(src, "text", n))
     signed_rows = stored(src.mapInArrow(_sign(idf, n, bands, rows, seed),
-                                        f"doc {kind}, tag int, d1 long, d2 long, bands array<long>"),
+                                        f"doc {kind}, tag {TAG}, d1 long, d2 long, bands array<long>"),
                          "signatures")
     # One node for each distinct word sequence.
     at = F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "tag")).alias("at")
@@ -363,20 +369,34 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: i
     open_ = vectors.join(mixed.select("node").distinct(), "node", "left_semi")
     rarity = sc.broadcast(summed_table(open_.select("sh"), RARITY, _rarity).astype(np.int32))
     prefixes = open_.mapInArrow(_prefix(idf, rarity, threshold), f"node {name}, weight double, "
-                                 "common double, size long, shared long, prefix array<int>")
+                                 "common double, size long, shared long, plain array<int>, "
+                                 "heavy array<int>, before array<double>")
     mixed = stored(mixed.join(nodes.select("node", "bands"), "node").join(prefixes, "node"),
                    "mixed")
     x, y = mixed.where("label != largest").alias("x"), mixed.alias("y")
     once = F.array_position(F.zip_with("x.bands", "y.bands", lambda p, q: p == q), True) == F.col("x.band") + 1
     # Overlap / (sum of weights - overlap) >= threshold, with a little room for rounding.
     part = threshold / (1 + threshold)
-    room = (F.least("x.common", "y.common") * (1 + 1e-6) >= part * (F.col("x.weight") + F.col("y.weight"))) | (
-        F.least("x.shared", "y.shared") * (1 + 1e-6) >= part * (F.col("x.size") + F.col("y.size")))
+    weight, size = part * (F.col("x.weight") + F.col("y.weight")), part * (F.col("x.size") + F.col("y.size"))
+    room_w = F.least("x.common", "y.common") * (1 + 1e-6) >= weight
+    room_p = F.least("x.shared", "y.shared") * (1 + 1e-6) >= size
+
+    # The first shingle both have, in the order of rarity, is followed by all the others: in each text
+    # it lies so far ahead that the overlap these two texts need still fits behind it.
+    def ahead(side):
+        n = F.col(f"{side}.size") - F.ceil(size * (1 - 1e-6)) + 1
+        return F.slice(f"{side}.plain", 1, F.greatest(n, F.lit(0)).cast("int"))
+
+    def light(side):
+        most = F.col(f"{side}.weight") * (1 + 1e-6) - weight * (1 - 1e-6)
+        n = F.size(F.filter(f"{side}.before", lambda c: c <= most))
+        return F.slice(f"{side}.heavy", 1, n)
+
+    near = (room_p & F.arrays_overlap(ahead("x"), ahead("y"))) | (room_w & F.arrays_overlap(light("x"), light("y")))
     pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.h") == F.col("y.h"))
                    & (F.col("x.label") != F.col("y.label"))
                    & ((F.col("y.label") == F.col("y.largest")) | (F.col("x.node") < F.col("y.node")))
-                   & room & once
-                   & F.arrays_overlap("x.prefix", "y.prefix"))
+                   & (room_w | room_p) & once & near)
     pairs = pairs.select(F.least("x.node", "y.node").alias("u"), F.greatest("x.node", "y.node").alias("v"))
     more = links(pairs.distinct().join(first, ["u", "v"], "left_anti"))
     if not more.isEmpty():
@@ -391,5 +411,5 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: i
     wordless = src.where(~F.coalesce(F.col("text").rlike(r"[0-9A-Za-z\x{80}-\x{10FFFF}]"), F.lit(False)))
     alone = wordless.select("doc", "tag", F.col("doc").alias("class"), F.lit(True).alias("kept"))
     return member.unionByName(alone).select(
-        F.col("doc").alias(key), F.col("tag").alias("text_hash"),
+        F.col("doc").alias(key), F.col("tag.h").alias("text_hash"), F.col("tag.id").alias("text_id"),
         F.col("class").alias("class_" + key.removeprefix("doc_")), "kept")

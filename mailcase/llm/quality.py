@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mailcase.llm.samples import held_out, training_labels
-from mailcase.llm.tables import stored, summed_table
+from mailcase.llm.tables import TAG, stored, summed_table, text_tag
 from mailcase.llm.wordhash import LOWER, Words, mix, pieces
 
 DIMS = 32
@@ -132,9 +132,9 @@ def document_vectors(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     """(doc, tag, x): the pooled vector of every whole text; tag: hash of the text."""
     sent = docs.sparkSession.sparkContext.broadcast(word_vectors(docs, text))
     src = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
-    src = src.select("doc", F.hash("text").alias("tag"), "text")
+    src = src.select("doc", text_tag("text").alias("tag"), "text")
     kind = src.schema["doc"].dataType.simpleString()
-    return src.mapInArrow(_pool(sent), f"doc {kind}, tag int, x array<float>")
+    return src.mapInArrow(_pool(sent), f"doc {kind}, tag {TAG}, x array<float>")
 
 
 class Network:
@@ -212,7 +212,7 @@ def _score(network):
 def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
                    label: str = "quality", *, folds: int = 4, fold: int = 2,
                    bound: int = MAX_TRAINING_ROWS, threshold: float = THRESHOLD) -> DataFrame:
-    """(key, held_out, score, predicted, text_hash) of every row.
+    """(key, held_out, score, predicted, text_hash, text_id) of every row.
 
     The network learns from at most ``bound`` labelled rows outside the
     held-out fold; only the text goes into a score. Null and empty texts have
@@ -224,8 +224,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     x = stored(document_vectors(docs, key, text), "vectors")
     sample = training_labels(labels, key, label, folds, fold, bound)
     # The sample is bounded, so it can be broadcast and its vectors collected.
-    rows = x.join(F.broadcast(sample), x["doc"] == sample["_id"]).dropDuplicates(["_id"])
-    got = rows.select("_id", "_label", "x").orderBy("_id").toArrow()
+    # Of the texts of one key, the one with the smallest hash: the same in every run.
+    rows = x.join(F.broadcast(sample), x["doc"] == sample["_id"]).groupBy("_id").agg(
+        F.min_by(F.struct("_label", "x"), F.coalesce("tag.id", F.unhex(F.lit("")))).alias("r"))
+    got = rows.select("_id", "r._label", "r.x").orderBy("_id").toArrow()
     y = got.column("_label").to_numpy().astype(float)
     vectors = np.array(got.column("x").to_pylist(), dtype=float).reshape(len(y), 2 * DIMS + 1)
     net = docs.sparkSession.sparkContext.broadcast(Network(vectors, y))
@@ -233,4 +235,4 @@ def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
                                                T.StructField("score", T.DoubleType())]))
     return out.select(F.col("doc").alias(key), held_out(F.col("doc"), folds, fold).alias("held_out"),
                       "score", (F.col("score") >= threshold).cast("int").alias("predicted"),
-                      F.col("tag").alias("text_hash"))
+                      F.col("tag.h").alias("text_hash"), F.col("tag.id").alias("text_id"))

@@ -91,7 +91,7 @@ def op10_line_dedup(spark, sf_dir):
 @query
 def op4_quality(spark, sf_dir):
     return quality_scores(read_table(spark, sf_dir, "documents"),
-                          read_table(spark, sf_dir, "labels")).drop("text_hash")
+                          read_table(spark, sf_dir, "labels")).drop("text_hash", "text_id")
 
 
 @query

@@ -71,6 +71,20 @@ def summed_table(df: DataFrame, size: int,
     return out
 
 
+def text_id(text) -> F.Column:
+    """128 bits that stand for a whole text (null for null): what names a row together with its key."""
+    return F.unhex(F.md5(F.col(text) if isinstance(text, str) else text))
+
+
+def text_tag(text: str) -> F.Column:
+    """(h, id): the short hash that results show, and the 128 bits that rows are told apart by."""
+    return F.struct(F.hash(text).alias("h"), text_id(text).alias("id"))
+
+
+#: Type of ``text_tag``.
+TAG = "struct<h: int, id: binary>"
+
+
 def same(left, right, names) -> F.Column:
     """Null-safe equality of the named columns of two frames."""
     cond = F.lit(True)
