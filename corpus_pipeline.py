@@ -2,8 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows the stage before it
 kept, and returns rows with the columns of ``documents``; it is written as
-Parquet and read again before the next. Rows are told apart by key and a hash
-of their text; rows equal in both count as one document.
+Parquet and read again before the next. Rows are told apart by key and 128
+bits of their text; rows equal in both count as one document.
 """
 
 from __future__ import annotations
@@ -16,14 +16,14 @@ from mailcase.llm.line_dedup import line_dedup
 from mailcase.llm.mixing import mixture
 from mailcase.llm.near_dedup import near_dedup
 from mailcase.llm.quality import quality_scores
-from mailcase.llm.tables import read_table, same, stored
+from mailcase.llm.tables import read_table, same, stored, text_id
 
 
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that (doc_id, text_hash) of ``rejected`` do not name."""
-    bad = rejected.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).hint("merge")
+    """The rows of ``docs`` that (doc_id, text_id) of ``rejected`` do not name."""
+    bad = rejected.select(F.col("doc_id").alias("_doc"), F.col("text_id").alias("_text")).hint("merge")
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_doc"])
-                     & F.hash(docs["text"]).eqNullSafe(bad["_hash"]), "left_anti")
+                     & text_id(docs["text"]).eqNullSafe(bad["_text"]), "left_anti")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     classes = stored(near_dedup(docs), "classes")
     rest = _without(docs, classes.where("NOT kept"))
     # Equal rows (same key and text) are one document.
-    twice = classes.groupBy("doc_id", "text_hash").count().where("count > 1")
+    twice = classes.groupBy("doc_id", "text_id").count().where("count > 1")
     if twice.isEmpty():
         return rest
     return rest.dropDuplicates(["doc_id", "text"])
