@@ -29,6 +29,38 @@ def join_metadata(emails: DataFrame, meta: DataFrame, left_on: str, right_on: st
     return emails.join(meta, cond, "left")
 
 
+def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
+    """The non-null values of ``key`` that hold at least ``share`` of the rows, at most 1 / share.
+
+    A mergeable frequent-items sketch over one scan; its counts are upper
+    bounds, so a value at the limit may be listed that holds a little less.
+    """
+    n = int(4 / share)
+    top = df.agg(F.expr(f"approx_top_k(`{key}`, {int(1 / share)}, {max(n, 1000)})").alias("t"),
+                 F.count(F.lit(1)).alias("n")).first()
+    return [x["item"] for x in top["t"] or [] if x["item"] is not None and x["count"] >= share * top["n"]]
+
+
+def join_metadata_salted(emails: DataFrame, meta: DataFrame, left_on: str, right_on: str, *,
+                         null_safe: bool = False, share: float = 0.01, salts: int = 32) -> DataFrame:
+    """J1 for a parent key that may hold a large share of the e-mails, whatever AQE does.
+
+    Rows of a hot key (and of the null key) are dealt over ``salts`` groups by
+    a hash of the whole row, so a retried task deals them alike; the metadata
+    rows of these keys are repeated in every group. All other rows are joined
+    as they are. The result is that of ``join_metadata``.
+    """
+    hot = hot_keys(emails, left_on, share)
+    is_hot = lambda c: c.isNull() | c.isin(hot) if hot else c.isNull()
+    dealt = F.pmod(F.xxhash64(*emails.columns), F.lit(salts))
+    left = emails.withColumn("_salt", F.when(is_hot(F.col(left_on)), dealt).otherwise(F.lit(0)).cast("int"))
+    groups = F.when(is_hot(F.col(right_on)), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = meta if null_safe else meta.where(F.col(right_on).isNotNull())
+    right = right.withColumn("_salt_m", F.explode(groups))
+    same = left[left_on].eqNullSafe(right[right_on]) if null_safe else left[left_on] == right[right_on]
+    return left.join(right, same & (left["_salt"] == right["_salt_m"]), "left").drop("_salt", "_salt_m")
+
+
 def _numbered(d: DataFrame, blocks: Sequence[str], order: Sequence, name: str) -> DataFrame:
     """Position of every row: rows of the blocks before its own, plus its place inside.
 

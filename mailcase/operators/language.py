@@ -115,27 +115,61 @@ class LanguageModel:
         The profile is collected (at most ``row_max_bytes``, checked by the
         caller) and sent to the tasks once. A null array gives null.
         """
-        rows = self.profile.collect()
-        names, n = self.languages, len(self.languages)
+        names = self.languages
+        table = self.profile.toArrow()
+        keys = trigram_keys("".join(table.column("trigram").to_pylist()))[::3]
+        order = np.argsort(keys)
+        logs = np.stack([table.column(f"_l{i}").to_numpy() for i in range(len(names))], axis=1)[order]
         # The last row, of zeros, stands for trigrams outside the profile.
-        logs = np.array([tuple(r[f"_l{i}"] for i in range(n)) for r in rows] + [(0.0,) * n])
-        norm = np.array([self.log_norm[lg] for lg in names])
+        logs = np.concatenate([logs, np.zeros((1, len(names)))])
         sent = self.profile.sparkSession.sparkContext.broadcast(
-            ({r["trigram"]: i for i, r in enumerate(rows)}, logs, norm))
+            (keys[order], logs, np.array([self.log_norm[lg] for lg in names])))
 
         @F.pandas_udf("array<string>")
         def languages(arrays: pd.Series) -> pd.Series:
-            at, logs, norm = sent.value
+            whole = [[] if a is None else list(a) for a in arrays]
+            best = iter(best_languages([s for a in whole for s in a], *sent.value))
+            found = [[UNKNOWN if k < 0 else names[k] for _, k in zip(a, best)] for a in whole]
+            return pd.Series([None if a is None else f for a, f in zip(arrays, found)], dtype=object)
 
-            def one(s):
-                if s is None:
-                    return UNKNOWN
-                ids = [at.get(s[i:i + 3], -1) for i in range(len(s) - 2)]
-                return names[int(np.argmax(logs[ids].sum(axis=0) - len(ids) * norm))]
+        return languages(F.transform(texts, normalized))
 
-            return arrays.map(lambda a: None if a is None else [one(s) for s in a])
 
-        return languages(F.transform(texts, normalized))
+def trigram_keys(text: str) -> np.ndarray:
+    """The trigram at each position of a text as one number: three code points of 21 bits."""
+    c = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+    return (c[:-2] << 42) | (c[1:-1] << 21) | c[2:] if len(c) > 2 else np.zeros(0, dtype=np.int64)
+
+
+def best_languages(texts: Sequence[str | None], keys: np.ndarray, logs: np.ndarray, norm: np.ndarray,
+                   piece: int = 1 << 18) -> list[int]:
+    """Number of the best language of each normalised text, -1 for null.
+
+    The texts of about ``piece`` characters are scored at once: their trigrams
+    are looked up in the sorted ``keys``, and the rows of ``logs`` (the last
+    one for trigrams that are not there) are summed up per text.
+    """
+    out = np.full(len(texts), -1, dtype=np.int64)
+    some = [i for i, s in enumerate(texts) if s is not None and len(s) > 2]
+    at = 0
+    while at < len(some):
+        end, held = at, 0
+        while end < len(some) and (end == at or held < piece):
+            held += len(texts[some[end]])
+            end += 1
+        part = some[at:end]
+        size = np.array([len(texts[i]) for i in part], dtype=np.int64)
+        begin = np.cumsum(size) - size
+        grams = trigram_keys("".join([texts[i] for i in part]))
+        # Positions whose trigram lies inside one text.
+        own = np.repeat(begin + size - 2, size)[:len(grams)] > np.arange(len(grams))
+        grams = grams[own]
+        row = np.minimum(np.searchsorted(keys, grams), max(0, len(keys) - 1))
+        row = np.where(keys[row] == grams, row, len(keys)) if len(keys) else np.zeros(len(grams), dtype=np.int64)
+        first = np.cumsum(size - 2) - (size - 2)
+        out[part] = np.argmax(np.add.reduceat(logs[row], first, axis=0) - (size - 2)[:, None] * norm, axis=1)
+        at = end
+    return out.tolist()
 
 
 def fit_language_model(train: DataFrame, key: str, text: str, lang: str, *,

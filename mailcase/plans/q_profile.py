@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from mailcase.functions.labels import PRIORITY5, priority5_label
 from mailcase.operators import profile as A
 from mailcase.operators.filters import partition_by_null, prefix_columns, remove_rows
-from mailcase.operators.joins import join_metadata
+from mailcase.operators.joins import join_metadata, join_metadata_salted
 from mailcase.operators.sampling import balanced_sample, head, union_all
 from mailcase.plans.oracle_views import with_views
 from mailcase.plans.prepare import prepare_cases
@@ -125,6 +125,18 @@ def q_join_metadata(spark, sf_dir):
     return join_metadata(e, m, "ParentId", "Meta_Id").select("case_id", "ParentId", "Meta_Id", "Meta_Segment")
 
 
+@query("join_metadata_hot", with_views(["email_cases", "metadata"], """
+SELECT e.case_id, e.ParentId, m.Id AS Meta_Id, m.Segment AS Meta_Segment
+FROM (SELECT case_id, CASE WHEN case_id % 3 = 0 THEN 'P77' WHEN case_id % 7 = 0 THEN NULL ELSE ParentId END AS ParentId
+      FROM email_cases) e LEFT JOIN metadata m ON e.ParentId = m.Id"""))
+def q_join_metadata_hot(spark, sf_dir):
+    """J1 with a third of the e-mails under one parent and many under none: salted join."""
+    parent = F.when(F.col("case_id") % 3 == 0, "P77").when(F.col("case_id") % 7 == 0, None).otherwise(F.col("ParentId"))
+    e = email_cases(spark, sf_dir).select("case_id", parent.alias("ParentId"))
+    m = prefix_columns(metadata(spark, sf_dir), "Meta_")
+    return join_metadata_salted(e, m, "ParentId", "Meta_Id").select("case_id", "ParentId", "Meta_Id", "Meta_Segment")
+
+
 @query("count_matching", with_views(["email_cases", "metadata"], """
 SELECT count(*) FILTER (WHERE Id IN (SELECT ParentId FROM email_cases)) AS matched,
        count(*) AS total,

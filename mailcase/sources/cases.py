@@ -10,6 +10,7 @@ filter push-down.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mailcase.operators.filters import NA_TOKENS, normalize_na
+from mailcase.session import written
 
 SENTINEL = "_extra_field"
 # A value no export contains: empty fields are read as '' (not null), so
@@ -38,6 +40,26 @@ def header_columns(spark: SparkSession, path: str, sep: str = ";",
     return [c.lstrip(BOM) for c in cols]
 
 
+def file_headers(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """(file, line): the first non-blank line of every file, in one distributed job.
+
+    Each line is read as one field, in the files' encoding; only the first row of the
+    first block of a file is kept, before the shuffle.
+    """
+    lines = (spark.read.option("sep", "\u0001").option("quote", "").option("encoding", encoding)
+             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+             .schema("line string").csv(path))
+    at = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"),
+                      F.monotonically_increasing_id().alias("_id"), "line").where("_block = 0")
+    return at.groupBy("file").agg(F.min_by("line", "_id").alias("line"))
+
+
+def _names(line: str, sep: str) -> tuple[str, ...]:
+    """Column names of a header line; an unnamed or repeated column is named by its position."""
+    names = next(csv.reader([line.lstrip(BOM)], delimiter=sep, quotechar='"'), [])
+    return tuple(n if n and names.count(n) == 1 else f"{n}_c{i}" if n else f"_c{i}" for i, n in enumerate(names))
+
+
 def read_cases(spark: SparkSession, path: str, *, sep: str = ";", encoding: str = "UTF-8",
                multiline: bool = True, na_tokens: Sequence[str] | None = NA_TOKENS,
                skip_long_rows: bool = True) -> DataFrame:
@@ -47,23 +69,37 @@ def read_cases(spark: SparkSession, path: str, *, sep: str = ";", encoding: str
     column catches the surplus); shorter rows are padded with null.
     Missing-value spellings become null unless ``na_tokens`` is None.
 
-    ``path`` may name several files. Columns are matched by name: files are
-    read in groups of equal headers (a header is read per file), and a column
-    that some files lack is null there.
+    ``path`` may name several files. Columns are matched by name, and a column
+    that some files lack is null there: one job reads the headers of all
+    files, and one scan reads all rows by position; a row's header, found by
+    its file, gives the positions their names. Only the distinct headers
+    reach the driver.
     """
-    files = [r[0] for r in spark.read.format("binaryFile").load(path).select("path").collect()]
-    groups: dict[tuple, list[str]] = {}
-    for f in sorted(files):
-        groups.setdefault(tuple(header_columns(spark, f, sep, encoding)), []).append(f)
-    if len(groups) > 1:
-        parts = [_read_group(spark, fs, list(cols), sep, encoding, multiline, na_tokens, skip_long_rows)
-                 for cols, fs in groups.items()]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p, allowMissingColumns=True)
-        return out
-    return _read_group(spark, path, header_columns(spark, path, sep, encoding), sep, encoding,
-                       multiline, na_tokens, skip_long_rows)
+    found = written(file_headers(spark, path, encoding), "headers")
+    lines = [r[0] for r in found.select("line").distinct().orderBy("line").collect()]
+    headers = sorted({_names(line, sep) for line in lines})
+    if len(headers) < 2:
+        return _read_group(spark, path, list(headers[0]) if headers else header_columns(spark, path, sep, encoding),
+                           sep, encoding, multiline, na_tokens, skip_long_rows)
+    number = {h: i for i, h in enumerate(headers)}
+    group = F.create_map(*[F.lit(v) for line in lines for v in (line, number[_names(line, sep)])])
+    width = max(map(len, headers)) + 1
+    schema = T.StructType([T.StructField(f"_p{i}", T.StringType()) for i in range(width)])
+    rows = (_csv_reader(spark, sep, encoding, multiline).option("header", True).option("enforceSchema", True)
+            .schema(schema).csv(path).select("*", F.col("_metadata.file_path").alias("_file")))
+    rows = rows.join(found.select(F.col("file").alias("_of"), group[F.col("line")].alias("_g")),
+                     F.col("_file") == F.col("_of"))
+
+    def by_header(at):
+        """The field of a row that ``at`` gives the position of, by the row's header."""
+        cases = [F.when(F.col("_g") == i, F.col(f"_p{at(h)}")) for h, i in number.items() if at(h) is not None]
+        return F.coalesce(*cases)
+
+    if skip_long_rows:
+        rows = rows.where(by_header(len).isNull())
+    columns = list(dict.fromkeys(c for h in headers for c in h))
+    df = rows.select(*[by_header(lambda h, c=c: h.index(c) if c in h else None).alias(c) for c in columns])
+    return normalize_na(df, columns, na_tokens) if na_tokens is not None else df
 
 
 def _read_group(spark: SparkSession, path, cols: list[str], sep: str, encoding: str, multiline: bool,
