@@ -20,8 +20,9 @@ from mailcase.operators.sampling import in_sample
 def prepare_cases(cases: DataFrame, *, type_col: str = "Type_of_Complaint",
                   body_col: str = "TextBody", key: str | None = "case_id",
                   name_col: str | None = None, complaints_only_: bool = False,
-                  strip_punctuation: bool = False) -> DataFrame:
-    """Filter, label and clean a case export; keeps ``key`` and six output columns."""
+                  strip_punctuation: bool = False, short: bool = False) -> DataFrame:
+    """Filter, label and clean a case export; keeps ``key`` and six output columns,
+    or four with ``short`` (subject, body, complaint flag and type, P2)."""
     df = cases
     if name_col and name_col in df.columns:
         df = anonymize(df, name_col)
@@ -33,9 +34,9 @@ def prepare_cases(cases: DataFrame, *, type_col: str = "Type_of_Complaint",
     if strip_punctuation:
         body = remove_punctuation(body)
     df = df.withColumn(body_col, body)
-    keep = ([key] if key else []) + ["Subject", body_col, "Priority", type_col,
-                                     "Complaint", "Complaint_type"]
-    return df.select(*keep)
+    columns = ["Subject", body_col, "Complaint", "Complaint_type"] if short else [
+        "Subject", body_col, "Priority", type_col, "Complaint", "Complaint_type"]
+    return df.select(*([key] if key else []), *columns)
 
 
 def with_split(df: DataFrame, key: str = "case_id", frac: float = 0.8, seed: int = 42

@@ -137,3 +137,10 @@ def q_sentences(spark, sf_dir):
     s = T.split_sentences("text")
     return d.select("doc_id", F.size(s).alias("n_sentences"), s[0].alias("first_sentence"),
                     F.md5(F.array_join(s, "\x1f")).alias("sentences_md5"))
+
+
+@query("prepared_short", with_views(["prepared_cases"], """
+SELECT Subject, TextBody, Complaint, Complaint_type FROM prepared_cases"""))
+def q_prepared_short(spark, sf_dir):
+    """The four-column form, without a key."""
+    return prepare_cases(email_cases(spark, sf_dir), key=None, short=True)
