@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mailcase.llm.samples import held_out, training_labels
+from mailcase.llm.tables import stored, text_id
 from mailcase.llm.wordhash import (_BYTE_VALUES, LOWER, NON_SPACE, Words, mix, pieces, range_hashes,
                                    signed)
 
@@ -290,14 +291,17 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
     of zero and a score like any text. Without usable labels, or with one
     class only, the score is the smoothed share of label 1. Rows are scored
     one by one, so equal rows get equal scores and null keys are kept (never
-    held out); an empty table gives an empty result. The text of the documents
-    is never shuffled: the sample is small enough to be broadcast.
+    held out); an empty table gives an empty result. Of the rows of a labelled
+    key, one with the smallest text hash is learned from, so a key that many
+    rows share weighs no more than another; besides these texts, at most one a
+    key and task, no text is shuffled.
     """
     sc = docs.sparkSession.sparkContext
     sample = F.broadcast(training_labels(labels, key, label, folds, fold, bound))
     src = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
-    rows = src.join(sample, src["doc"] == sample["_id"]).select(
-        "_id", "text", F.col("_label").alias("label"))
+    one = F.min_by(F.struct("text", F.col("_label").alias("label")), F.coalesce(text_id("text"), F.unhex(F.lit(""))))
+    rows = stored(src.join(sample, src["doc"] == sample["_id"]).groupBy("_id").agg(one.alias("r")).select(
+        "_id", "r.text", "r.label"), "sample")
     half = F.pmod(F.xxhash64("_id", F.lit("half")), F.lit(2))
     lexicon = sc.broadcast(learn_lexicon(rows.where(half == 0)))
     kind = src.schema["doc"].dataType.simpleString()

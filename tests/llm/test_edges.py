@@ -166,3 +166,15 @@ def test_mix_joins_sources_that_are_not_broadcast(spark, monkeypatch):
     joined = mixing.mix(docs)
     assert "BroadcastHashJoin" not in joined._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(repr, joined.collect())) == expected
+
+
+def test_a_labelled_key_of_many_rows_weighs_as_one(spark):
+    """A third of the rows share one labelled key: the model is that of one of its texts."""
+    from .conftest import documents
+
+    rows = [(i, f"{'you are a vile liar' if i % 2 else 'thank you for the kind note'} number {i}", "s")
+            for i in range(60)]
+    table = spark.createDataFrame([(i, 1, i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    one = {r.doc_id: r.score for r in toxicity_scores(documents(spark, rows), table).collect()}
+    many = toxicity_scores(documents(spark, rows + [rows[7]] * 30).repartition(4), table).collect()
+    assert len(many) == 90 and all(abs(one[r.doc_id] - r.score) < 1e-12 for r in many)
