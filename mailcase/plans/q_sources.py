@@ -119,6 +119,21 @@ def q_encoding_report(spark, sf_dir):
     return out
 
 
+@query("encoding_counts", """
+WITH t AS (SELECT coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\\x00-\\x7F]', '', 'g') AS high FROM documents)
+SELECT 'utf-8' AS encoding, CAST(sum(length(high) + 1) AS BIGINT) AS n_sequences,
+       CAST(sum(octet_length(encode(high)) + 2) AS BIGINT) AS n_high,
+       CAST(sum(octet_length(encode(high)) - length(high) + 1) AS BIGINT) AS n_continued, 0::BIGINT AS n_faults,
+       CAST(sum(octet_length(encode(t)) + 3) AS BIGINT) AS length FROM t""")
+def q_encoding_counts(spark, sf_dir):
+    """What the report judges by, of all texts written as UTF-8 and read in ranges of 64 KB."""
+    path = scratch(spark, "encoding")
+    table(spark, sf_dir, "documents").select(F.concat(F.lit("\u00e9"), F.coalesce("text", F.lit(""))).alias("value")).write.text(path)
+    r = S.encoding_report(spark, f"{path}/part-*", range_bytes=1 << 16).where("length > 0")
+    return r.groupBy("encoding").agg(*[F.sum(c).alias(c) for c in (
+        "n_sequences", "n_high", "n_continued", "n_faults", "length")])
+
+
 @query("report_files", """
 SELECT source, CAST(n_rows AS VARCHAR) AS n_rows FROM (
   SELECT source, count(*) AS n_rows FROM documents GROUP BY source)""")

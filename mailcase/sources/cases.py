@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from mailcase.operators.filters import NA_TOKENS, normalize_na
 from mailcase.session import written
+from mailcase.sources import encodings
 
 SENTINEL = "_extra_field"
 # A value no export contains: empty fields are read as '' (not null), so
@@ -206,14 +207,11 @@ def read_training_logs(spark: SparkSession, path_glob: str) -> DataFrame:
                       F.explode("log_history").alias("e")).select("run", "e.*")
 
 
-def encoding_report(spark: SparkSession, path_glob: str) -> DataFrame:
-    """(path, encoding, length) per file from its whole content: ``utf-8-sig``
-    (BOM), ``utf-8`` (valid UTF-8) or ``latin-1`` (anything else)."""
-    b = spark.read.format("binaryFile").load(path_glob)
-    bom = F.substring("content", 1, 3) == F.unhex(F.lit("EFBBBF"))
-    valid = F.is_valid_utf8("content")
-    enc = F.when(valid & bom, "utf-8-sig").when(valid, "utf-8").otherwise("latin-1")
-    return b.select(F.col("path"), enc.alias("encoding"), F.col("length"))
+def encoding_report(spark: SparkSession, path_glob: str, range_bytes: int = encodings.RANGE_BYTES) -> DataFrame:
+    """(path, encoding, length, confidence, counts) per file, read in byte
+    ranges (see ``encodings.encoding_report``)."""
+    files = spark.read.format("binaryFile").load(path_glob).select("path", "length")
+    return encodings.encoding_report(files, range_bytes)
 
 
 def write_report(report: DataFrame, path: str, fmt: str = "csv") -> None:
