@@ -9,8 +9,11 @@
    tasks that read the documents. Only lines that they suspect leave their
    task, as text, and are counted exactly: by key the number of documents
    and the largest document.
-3. Confirmed keys are joined back to the suspected lines, which gives each
-   document its dropped lines; other lines never move except in their text.
+3. Confirmed keys are joined back to the suspected lines, which gives the
+   lines that each document loses.
+4. A third filter, of the documents that lose lines, tells the others in their
+   own task: they are written as they are, and only the texts that the filter
+   lets through are shuffled to meet their dropped lines.
 
 Bloom filters have no false negatives and every suspicion is confirmed by
 text, so the result is exact; a crowded filter only costs more shuffling.
@@ -24,8 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mailcase.llm.bloom import has, put, row_filter
 from mailcase.llm.tables import same, stored, text_id
-from mailcase.llm.wordhash import _BYTE_VALUES, LOWER, mix, pieces, range_hashes, signed
+from mailcase.llm.wordhash import _BYTE_VALUES, LOWER, pieces, range_hashes, signed
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -35,7 +39,6 @@ MAX_BITS = 1 << 28
 MAX_SHARDS = 1024
 SHARD_BYTES = 1 << 26
 BITS_A_KEY = 16
-PROBES = 4
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
@@ -87,25 +90,6 @@ def _keys(buf, off, least: int):
     return long_, h, s, e, first
 
 
-def _probes(h: np.ndarray, bits: int):
-    """``PROBES`` bit positions of each hash in a filter of ``bits`` bits."""
-    step = mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)) | np.uint64(1)
-    return [((h + np.uint64(i) * step) >> np.uint64(8)) & np.uint64(bits - 1) for i in range(PROBES)]
-
-
-def _has(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
-    ok = np.ones(len(h), dtype=bool)
-    for p in _probes(h, len(bitmap) * 8):
-        ok &= (bitmap[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1
-    return ok
-
-
-def _set(bitmap: np.ndarray, h: np.ndarray) -> None:
-    for p in _probes(h, len(bitmap) * 8):
-        np.bitwise_or.at(bitmap, (p >> np.uint64(3)).astype(np.int64),
-                         np.left_shift(1, (p & np.uint64(7)).astype(np.uint8)).astype(np.uint8))
-
-
 def _shard(h: np.ndarray, shards: int) -> np.ndarray:
     """Shard of each hash by its first bits (``shards`` is a power of two)."""
     return ((h >> np.uint64(40)) * np.uint64(shards) >> np.uint64(24)).astype(np.int32)
@@ -142,8 +126,8 @@ def _twice(bits: int):
                 a = once.setdefault(s, np.zeros(bits // 8, dtype=np.uint8))
                 z = twice.setdefault(s, np.zeros(bits // 8, dtype=np.uint8))
                 h, n = np.unique(h_all[s_all == s], return_counts=True)
-                _set(z, h[_has(a, h) | (n > 1)])
-                _set(a, h)
+                put(z, h[has(a, h) | (n > 1)])
+                put(a, h)
         for s, z in twice.items():
             yield pa.RecordBatch.from_pydict({"shard": pa.array([s], pa.int32()),
                                               "bits": pa.array([z.tobytes()], pa.binary())})
@@ -162,7 +146,7 @@ def _suspects(filters, least: int, shards: int):
                 for k, bitmap in table.items():
                     mine = np.flatnonzero(shard == k)
                     if len(mine):
-                        ok[mine] = _has(bitmap, h[mine])
+                        ok[mine] = has(bitmap, h[mine])
                 doc = np.searchsorted(first, line, "right") - 1
                 found = sorted({(int(d), LOWER[buf[x:y]].tobytes()) for d, x, y in
                                 zip(doc[ok], s[ok], e[ok])})
@@ -238,9 +222,14 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
     confirmed = stored(suspects.distinct().groupBy("line").agg(
         F.count(F.lit(1)).alias("n"), F.max(place).alias("last")).where(F.col("n") >= min_docs)
         .select("line", "last"), "confirmed")
-    drops = (suspects.join(confirmed, "line").where(~place.eqNullSafe(F.col("last")))
-             .groupBy("doc", "tag").agg(F.collect_set("line").alias("drop"))).hint("merge")
-    j = src.join(drops, same(src, drops, ["doc", "tag"]), "left").select("row", "text", "drop")
+    dropped = stored(suspects.join(confirmed, "line").where(~place.eqNullSafe(F.col("last")))
+                     .select("doc", "tag", "line"), "dropped")
+    drops = dropped.groupBy("doc", "tag").agg(F.collect_set("line").alias("drop")).hint("merge")
+    loses = row_filter(dropped.select("doc", "tag"))("doc", "tag")
+    hit = src.where(loses)
+    j = hit.join(drops, same(hit, drops, ["doc", "tag"]), "left").select("row", "text", "drop")
+    rest = src.where(~loses).select("row", "text", F.lit(None).cast(j.schema["drop"].dataType).alias("drop"))
+    j = j.unionByName(rest)
     return j.mapInArrow(_drop(min_chars), T.StructType([
         src.schema["row"], T.StructField("n_lines", T.LongType()),
         T.StructField("n_dropped", T.LongType()), T.StructField("kept_text", T.StringType())]))
