@@ -3,7 +3,7 @@
 Tokens are summed per source, each source gets a target, and the repetition
 rate of a source is target / tokens. A document is emitted floor(rate) times
 plus one more copy with probability rate - floor(rate), drawn from a hash of
-its key and a seed.
+its key, its text and a seed.
 """
 
 from __future__ import annotations
@@ -25,9 +25,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def unit_hash(key: Column, seed: int) -> Column:
-    """A number in [0, 1) from the md5 of ``key:seed`` (52 bits)."""
-    name = F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(f":{seed}"))
+def unit_hash(key: Column, text: Column, seed: int) -> Column:
+    """A number in [0, 1) from the md5 of ``key:seed:md5 of the text`` (52 bits)."""
+    name = F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(f":{seed}:"),
+                    F.md5(F.coalesce(text, F.lit(""))))
     return F.conv(F.substring(F.md5(name), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
@@ -90,7 +91,8 @@ def _mixed(docs: DataFrame, key: str, text: str, source: str, weights, max_repea
            seed: int) -> DataFrame:
     """Every row (as ``_row``) with its source's figures and its number of copies."""
     src = docs.select(F.struct("*").alias("_row"), F.col(key).alias("_key"),
-                      F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
+                      F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
+                      unit_hash(F.col(key), F.col(text), seed).alias("_draw"))
     targets = source_targets(src.select("source", "size"), weights, max_repeats)
     # A row is a name, two numbers and the relation's overhead.
     row = F.coalesce(F.octet_length(F.col("source").cast("string")), F.lit(0)) + F.lit(96)
@@ -99,7 +101,7 @@ def _mixed(docs: DataFrame, key: str, text: str, source: str, weights, max_repea
     t = targets.withColumnRenamed("source", "_source")
     j = src.join(t, src["source"].eqNullSafe(t["_source"])).drop("_source")
     j = j.withColumn("_rate", F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0)))
-    extra = unit_hash(F.col("_key"), seed) < F.col("_rate") - F.floor("_rate")
+    extra = F.col("_draw") < F.col("_rate") - F.floor("_rate")
     return j.withColumn("copies", F.floor("_rate") + extra.cast("long"))
 
 
@@ -108,8 +110,8 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     """(key, size, source, source_size, target, copies, taken) of every document.
 
     ``copies`` is how often the mix takes the document, ``taken`` the words
-    that gives. The draw depends on key and seed alone, so reruns agree; rows
-    that share a key draw alike. Null texts have size 0; a null source is a
+    that gives. The draw depends on key, text and seed alone, so reruns agree;
+    texts that share a key draw each on their own, rows equal in both alike. Null texts have size 0; a null source is a
     source of its own, ranked last; a source without words has target 0 and
     its documents are not taken. An empty table gives an empty result.
     """

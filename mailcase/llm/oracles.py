@@ -57,7 +57,7 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
     "op3_mixing": r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))
-                              AS BIGINT) AS size FROM documents),
+                              AS BIGINT) AS size, md5(coalesce(text, '')) AS tid FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 r AS (
   SELECT source, source_size, 3.0 * CAST(source_size AS DOUBLE) AS cap,
@@ -74,7 +74,7 @@ t AS (SELECT source, source_size, least(w * (SELECT level FROM l), cap) AS targe
 j AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,
          CASE WHEN t.source_size = 0 THEN 0.0 ELSE t.target / t.source_size END AS rate,
-         CAST('0x' || substr(md5(coalesce(CAST(d.doc_id AS VARCHAR), '') || ':17'), 1, 13) AS BIGINT)
+         CAST('0x' || substr(md5(coalesce(CAST(d.doc_id AS VARCHAR), '') || ':17:' || d.tid), 1, 13) AS BIGINT)
            / 4503599627370496.0 AS u
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
