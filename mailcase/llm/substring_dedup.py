@@ -18,8 +18,10 @@ its words, so two occurrences of a window always meet under one anchor.
 4. Factors (blocks and windows) of at least 20 words whose words start
    earlier elsewhere are the duplicate spans.
 
-The keys are 128 bits (anchor and content hash). All joins are on them or on
-the document, sides are pre-aggregated, and AQE may split a hot anchor.
+The keys are 128 bits (anchor and content hash), and so are the names of texts
+that share a document key. All joins are on them or on the document, sides are
+pre-aggregated, and AQE may split a hot anchor. Texts are only shuffled where a
+filter of the documents with boundaries or spans lets them through.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mailcase.llm.bloom import row_filter
 from mailcase.llm.tables import same, stored
 from mailcase.llm.wordhash import (NON_SPACE, Words, gram_hashes, mix, pieces, range_hashes,
                                    signed)
@@ -63,27 +66,23 @@ def _windows(words: Words, window: int, gram: int):
     return h, x, s, idx[s]
 
 
-def _places(tags: pa.Array, rows: np.ndarray, lo: np.ndarray) -> pa.Array:
-    """Text hash of each row and first word in one long, which sorts as (tag, lo)."""
-    tag = tags.to_numpy(zero_copy_only=False)[rows].astype(np.int64)
-    return pa.array((tag << 32) | lo)
+#: The 128 bits that stand for a text, as two longs.
+ID = ("t1", "t2")
+
+
+def _places(batch: pa.RecordBatch, rows: np.ndarray, lo: np.ndarray, n) -> dict[str, pa.Array]:
+    """Document, text and window range (first window and number of windows in one long)."""
+    at = pa.array(rows)
+    return {**{c: batch.column(c).take(at) for c in ("doc", *ID)},
+            "at": pa.array((lo.astype(np.int64) << 32) | n)}
 
 
 def _ranges(packed: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(first window, number of windows) of ranges packed by ``_range``."""
+    """(first window, number of windows) of ranges packed by ``_places``."""
     v = packed.to_numpy(zero_copy_only=False)
     return v >> 32, v & 0xFFFFFFFF
 
 
-def _tag(at: Column) -> Column:
-    return F.shiftright(at, 32).cast("int").alias("tag")
-
-
-def _range(at: Column, n: Column) -> Column:
-    """First window and number of windows in one long."""
-    return F.shiftleft(at, 32).bitwiseOR(n.cast("long"))
-
-
 def _blocks(window: int, gram: int):
     def run(batches):
         for b in batches:
@@ -102,9 +101,7 @@ def _blocks(window: int, gram: int):
                 doc = np.searchsorted(words.first, lo, "right") - 1
                 yield pa.RecordBatch.from_pydict({
                     "a": pa.array(signed(x[p])), "c": pa.array(signed(c)),
-                    "doc": b.column("doc").take(pa.array(doc + i)),
-                    "at": _places(b.column("tag"), doc + i, lo - words.first[doc]),
-                    "n": pa.array(n.astype(np.int32))})
+                    **_places(b, doc + i, lo - words.first[doc], n)})
     return run
 
 
@@ -131,8 +128,7 @@ def _edge_windows(window: int, gram: int):
                 doc = np.searchsorted(words.first, s, "right") - 1
                 yield pa.RecordBatch.from_pydict({
                     "a": pa.array(signed(x[p])), "w": pa.array(signed(w)),
-                    "doc": b.column("doc").take(pa.array(doc + i)),
-                    "at": _places(b.column("tag"), doc + i, s - words.first[doc])})
+                    **_places(b, doc + i, s - words.first[doc], 1)})
     return run
 
 
@@ -184,6 +180,19 @@ def _split_join(rows: DataFrame, keys: DataFrame, on: list[str], how: str = "inn
     return rows.join(k, cond, how)
 
 
+def _with_ranges(src: DataFrame, ranges: DataFrame, name: str, how: str = "inner",
+                 listed: Column | None = None) -> DataFrame:
+    """The rows of ``src`` that a filter of the listed rows lets through, with their ranges.
+
+    Only these texts are shuffled. ``ranges`` is a written table.
+    """
+    row = ["doc", *ID]
+    listed = row_filter(ranges.select(*row))(*row) if listed is None else listed
+    per = ranges.groupBy(*row).agg(F.collect_list("at").alias(name)).hint("merge")
+    hit = src.where(listed)
+    return hit.join(per, same(hit, per, row), how).select(*[hit[c] for c in hit.columns], name)
+
+
 def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text",
                     window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(key, n_words, n_removed, kept_text, spans) of every document.
@@ -202,37 +211,33 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text",
     if not 1 <= gram <= window:
         raise ValueError("gram must be between 1 and window")
     src = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
-    src = src.select("doc", F.hash("text").alias("tag"), "text")
-    kind = src.schema["doc"].dataType.simpleString()
-    blocks = src.mapInArrow(_blocks(window, gram),
-                            f"a long, c long, doc {kind}, at long, n int")
+    src = src.select("doc", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"), "text")
+    row = ["doc", *ID]
+    kind = f"doc {src.schema['doc'].dataType.simpleString()}, t1 long, t2 long, at long"
+    blocks = src.mapInArrow(_blocks(window, gram), f"a long, c long, {kind}")
     repeated = blocks.groupBy("a").count().where("count > 1").select("a")
     hits = stored(_split_join(blocks, repeated, ["a"], "left_semi"), "blocks")
 
-    place = F.struct("doc", "at")
+    place = F.struct(*row, "at")
     # Written once: three steps read it, each other columns.
-    first = stored(hits.groupBy("a", "c").agg(F.min(F.struct("doc", "at", "n")).alias("f"),
+    first = stored(hits.groupBy("a", "c").agg(F.min(place).alias("f"),
                                               F.count(F.lit(1)).alias("copies")), "contents")
-    copied = first.where("copies > 1").select("a", "c", F.struct("f.doc", "f.at").alias("f"))
+    copied = first.where("copies > 1").select("a", "c", "f")
     factors = (hits.join(copied.hint("merge"), ["a", "c"]).where(~place.eqNullSafe(F.col("f")))
-               .select("doc", "at", "n"))
+               .select(*row, "at"))
 
     several = first.groupBy("a").count().where("count > 1").select("a")
-    edges = (_split_join(first, several, ["a"], "left_semi").select("f.*")
-             .groupBy("doc", _tag(F.col("at")))
-             .agg(F.collect_list(_range(F.col("at"), F.col("n"))).alias("edges"))).hint("merge")
-    at = src.join(edges, same(src, edges, ["doc", "tag"])).select(src.doc, src.tag, "text", "edges")
-    single = at.mapInArrow(_edge_windows(window, gram),
-                           f"a long, w long, doc {kind}, at long")
+    open_blocks = stored(_split_join(first, several, ["a"], "left_semi").select("f.*"), "edges")
+    single = _with_ranges(src, open_blocks, "edges").mapInArrow(
+        _edge_windows(window, gram), f"a long, w long, {kind}")
     seen = (single.groupBy("a", "w").agg(F.min(place).alias("f"), F.count(F.lit(1)).alias("copies"))
             .where("copies > 1").select("a", "w", "f"))
-    borders = (_split_join(single, seen, ["a", "w"]).where(~place.eqNullSafe(F.col("f")))
-               .select("doc", "at", F.lit(1).alias("n")))
+    borders = _split_join(single, seen, ["a", "w"]).where(~place.eqNullSafe(F.col("f"))).select(*row, "at")
 
-    spans = (factors.unionByName(borders).groupBy("doc", _tag(F.col("at")))
-             .agg(F.collect_list(_range(F.col("at"), F.col("n"))).alias("spans"))).hint("merge")
-    joined = src.join(spans, same(src, spans, ["doc", "tag"]), "left").select(
-        src.doc, "text", "spans")
+    found = stored(factors.unionByName(borders), "spans")
+    loses = row_filter(found.select(*row))(*row)
+    whole = src.where(~loses).select("doc", "text", F.lit(None).cast("array<bigint>").alias("spans"))
+    joined = _with_ranges(src, found, "spans", "left", loses).select("doc", "text", "spans").unionByName(whole)
     out = joined.mapInArrow(_keep(window), T.StructType([
         T.StructField("doc", src.schema["doc"].dataType), T.StructField("n_words", T.LongType()),
         T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType()),
