@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mailcase.llm.bloom import row_filter
 from mailcase.llm.decontamination import decontaminate
 from mailcase.llm.line_dedup import line_dedup
 from mailcase.llm.mixing import mixture
@@ -20,10 +21,17 @@ from mailcase.llm.tables import read_table, same, stored, text_id
 
 
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that (doc_id, text_id) of ``rejected`` do not name."""
-    bad = rejected.select(F.col("doc_id").alias("_doc"), F.col("text_id").alias("_text")).hint("merge")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_doc"])
-                     & text_id(docs["text"]).eqNullSafe(bad["_text"]), "left_anti")
+    """The rows of ``docs`` that (doc_id, text_id) of ``rejected`` do not name.
+
+    Rows that a filter of the rejected ones does not know stay where they are;
+    the others are compared exactly.
+    """
+    bad = stored(rejected.select(F.col("doc_id").alias("_doc"), F.col("text_id").alias("_text")), "rejected")
+    listed = row_filter(bad)("doc_id", text_id("text"))
+    bad, hit = bad.hint("merge"), docs.where(listed)
+    checked = hit.join(bad, hit["doc_id"].eqNullSafe(bad["_doc"])
+                       & text_id(hit["text"]).eqNullSafe(bad["_text"]), "left_anti")
+    return docs.where(~listed).unionByName(checked)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
