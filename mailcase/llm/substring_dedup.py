@@ -9,14 +9,18 @@ its words, so two occurrences of a window always meet under one anchor.
 1. Anchors that occur once in the corpus can't be part of a repeat and are
    dropped after a count (map-side combined, 8 bytes a row).
 2. Greedy factors: a block whose anchor and whole content occur earlier in
-   the index is copied whole. Neighbouring copied blocks join to one long
-   factor, so a document that copies another needs one lookup a block and no
-   text. Each content is kept once, however many copies there are.
-3. Factor boundaries: where an anchor is indexed with several contents, the
-   factor may end inside the block. The first occurrence of each content is
-   cut into its windows, which are looked up one by one.
-4. Factors (blocks and windows) of at least 20 words whose words start
-   earlier elsewhere are the duplicate spans.
+   the index is copied whole from the first place that holds it, its source.
+   Each content is kept once, however many copies there are.
+3. Where a copied block is followed by one that is not copied whole, the
+   factor is read on over the words that follow its source, as far as they
+   agree. The words that both sides need are taken from the texts in one pass:
+   those of a block (at most 35) and as many after the source.
+4. What a factor does not reach is looked up anew: where an anchor is indexed
+   with several contents, the first occurrence of each is cut into the windows
+   that are left, and these are looked up one by one. A window that a factor
+   reached need not be indexed, as its source holds it earlier.
+5. Factors (blocks, what they were read on, windows) of at least 20 words whose
+   words start earlier elsewhere are the duplicate spans.
 
 The keys are 128 bits (anchor and content hash), and so are the names of texts
 that share a document key. All joins are on them or on the document, sides are
@@ -30,6 +34,7 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -105,30 +110,102 @@ def _blocks(window: int, gram: int):
     return run
 
 
-def _edge_windows(window: int, gram: int):
-    """The single windows of the listed blocks: (anchor hash, window hash, document, start)."""
+def _take(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, values[lo:hi] of all ranges in a row)."""
+    off = np.zeros(len(lo) + 1, dtype=np.int64)
+    np.cumsum(hi - lo, out=off[1:])
+    return off, values[np.repeat(lo - off[:-1], hi - lo) + np.arange(off[-1])]
+
+
+def _lists(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.Array:
+    off, flat = _take(values, lo, hi)
+    return pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(signed(flat)))
+
+
+def _flat(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(values, offsets) of a column of word lists; a null is an empty list."""
+    sizes = pc.fill_null(pc.list_value_length(col), 0).to_numpy().astype(np.int64)
+    return (col.flatten().to_numpy(zero_copy_only=False).view(np.uint64),
+            np.concatenate(([0], np.cumsum(sizes))))
+
+
+#: Ranges whose words are handed on at once.
+RANGES = 1 << 14
+
+
+def _passages(window: int, gram: int):
+    """Word hashes of the listed ranges; one without windows has as many words as a block can."""
+    longest = 2 * window - gram
+
     def run(batches):
         for b in batches:
             edges = b.column("edges")
             for i, j, buf, off in pieces(b.column("text")):
                 words = Words(buf, off, NON_SPACE)
-                h, x, s, p = _windows(words, window, gram)
-                if not len(s):
-                    continue
-                wanted = np.zeros(len(h) + 1, dtype=np.int64)
-                part = edges.slice(i, j - i)
-                lo, n = _ranges(part.flatten())
-                lo = lo + np.repeat(words.first[:-1], np.diff(part.offsets.to_numpy()))
-                np.add.at(wanted, lo, 1)
-                np.add.at(wanted, lo + n, -1)
-                keep = np.cumsum(wanted)[s] > 0
-                s, p = s[keep], p[keep]
-                # x[p] depends on the words alone; the window hash covers all of them.
-                w = range_hashes(h, s, s + window)
-                doc = np.searchsorted(words.first, s, "right") - 1
+                h, part = words.hashes(), edges.slice(i, j - i)
+                at, n = _ranges(part.flatten())
+                doc = np.repeat(np.arange(j - i), np.diff(part.offsets.to_numpy()))
+                end = words.first[doc + 1]
+                lo = np.minimum(words.first[doc] + at, end)
+                hi = np.minimum(lo + np.where(n > 0, n + window - 1, longest), end)
+                for k in range(0, len(at), RANGES):
+                    r = slice(k, k + RANGES)
+                    yield pa.RecordBatch.from_pydict({**_places(b, doc[r] + i, at[r], n[r]),
+                                                      "words": _lists(h, lo[r], hi[r])})
+    return run
+
+
+def _agreeing(mine: pa.Array, theirs: pa.Array) -> np.ndarray:
+    """Length of the common prefix of each pair of lists."""
+    x, xo = _flat(mine)
+    y, yo = _flat(theirs)
+    n = np.minimum(np.diff(xo), np.diff(yo))
+    off, left = _take(x, xo[:-1], xo[:-1] + n)
+    _, right = _take(y, yo[:-1], yo[:-1] + n)
+    row = np.repeat(np.arange(len(n)), n)
+    bad = np.flatnonzero(left != right)
+    np.minimum.at(n, row[bad], bad - off[row[bad]])
+    return n
+
+
+def _read_on(window: int):
+    """Open blocks in two parts: the windows that the factor before them reaches
+    over the words after its source (no words), and those that are left."""
+    def run(batches):
+        for b in batches:
+            lo, n = _ranges(b.column("at"))
+            reach = np.minimum(np.maximum(_agreeing(b.column("words"), b.column("theirs")) - window + 1, 0), n)
+            got, left = np.flatnonzero(reach > 0), np.flatnonzero(reach < n)
+            if len(got):
+                yield pa.RecordBatch.from_pydict({
+                    **_places(b, got, lo[got], reach[got]),
+                    "words": pa.nulls(len(got), pa.list_(pa.int64()))})
+            if len(left):
+                h, off = _flat(b.column("words"))
                 yield pa.RecordBatch.from_pydict({
-                    "a": pa.array(signed(x[p])), "w": pa.array(signed(w)),
-                    **_places(b, doc + i, s - words.first[doc], 1)})
+                    **_places(b, left, (lo + reach)[left], (n - reach)[left]),
+                    "words": _lists(h, (off[:-1] + reach)[left], off[1:][left])})
+    return run
+
+
+def _edge_windows(window: int, gram: int):
+    """The single windows of word lists: (anchor hash, window hash, document, start)."""
+    def run(batches):
+        for b in batches:
+            h, off = _flat(b.column("words"))
+            if not len(h):
+                continue
+            lo, n = _ranges(b.column("at"))
+            row = np.repeat(np.arange(len(n)), n)
+            k = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            s = off[row] + k
+            x = gram_hashes(h, gram)
+            # The anchor depends on the words alone; the window hash covers all of them.
+            a = x[_anchors(x, window - gram + 1)[s]]
+            w = range_hashes(h, s, s + window)
+            yield pa.RecordBatch.from_pydict({
+                "a": pa.array(signed(a)), "w": pa.array(signed(w)),
+                **_places(b, row, lo[row] + k, 1)})
     return run
 
 
@@ -223,18 +300,38 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text",
     first = stored(hits.groupBy("a", "c").agg(F.min(place).alias("f"),
                                               F.count(F.lit(1)).alias("copies")), "contents")
     copied = first.where("copies > 1").select("a", "c", "f")
-    factors = (hits.join(copied.hint("merge"), ["a", "c"]).where(~place.eqNullSafe(F.col("f")))
-               .select(*row, "at"))
+    factors = stored(hits.join(copied.hint("merge"), ["a", "c"]).where(~place.eqNullSafe(F.col("f")))
+                     .select(*row, "at", "f"), "factors")
 
     several = first.groupBy("a").count().where("count > 1").select("a")
     open_blocks = stored(_split_join(first, several, ["a"], "left_semi").select("f.*"), "edges")
-    single = _with_ranges(src, open_blocks, "edges").mapInArrow(
-        _edge_windows(window, gram), f"a long, w long, {kind}")
+    # Positions are packed as in ``_places``; one without windows is the start of a passage.
+    open_at = open_blocks.select(*row, "at", F.expr("at >> 32 << 32").alias("start"))
+    after = factors.select(*row, F.expr("((at >> 32) + (at & 4294967295)) << 32").alias("start"),
+                           F.struct(*[F.col(f"f.{c}").alias(c) for c in row],
+                                    F.expr("((f.at >> 32) + (at & 4294967295)) << 32").alias("at")).alias("go_on"))
+    at_open = row_filter(open_at.select(*row, "start"))
+    # Equal rows have equal factors; one of them is enough.
+    after = after.where(at_open(*row, "start")).groupBy(*row, "start").agg(F.min("go_on").alias("go_on"))
+    ends = stored(open_at.join(after, same(open_at, after, [*row, "start"]))
+                  .select(*[open_at[c] for c in (*row, "at")], "go_on"), "ends")
+    wanted = stored(open_blocks.select(*row, "at").unionByName(ends.select("go_on.*").distinct()), "ranges")
+    words = stored(_with_ranges(src, wanted, "edges").mapInArrow(
+        _passages(window, gram), f"{kind}, words array<bigint>"), "words")
+    passages = words.where("at & 4294967295 = 0").select(F.struct(*row, "at").alias("p"), F.col("words").alias("theirs"))
+    source = ends.join(passages.hint("merge"), F.col("go_on").eqNullSafe(F.col("p"))).select(*row, "at", "theirs")
+    mine = words.where("at & 4294967295 > 0")
+    read = mine.join(source.hint("merge"), same(mine, source, [*row, "at"]), "left").select(
+        *[mine[c] for c in (*row, "at", "words")], "theirs")
+    left = stored(read.mapInArrow(_read_on(window), f"{kind}, words array<bigint>"), "open")
+    reached = left.where("words is null").select(*row, "at")
+
+    single = left.where("words is not null").mapInArrow(_edge_windows(window, gram), f"a long, w long, {kind}")
     seen = (single.groupBy("a", "w").agg(F.min(place).alias("f"), F.count(F.lit(1)).alias("copies"))
             .where("copies > 1").select("a", "w", "f"))
     borders = _split_join(single, seen, ["a", "w"]).where(~place.eqNullSafe(F.col("f"))).select(*row, "at")
 
-    found = stored(factors.unionByName(borders), "spans")
+    found = stored(factors.select(*row, "at").unionByName(reached).unionByName(borders), "spans")
     loses = row_filter(found.select(*row))(*row)
     whole = src.where(~loses).select("doc", "text", F.lit(None).cast("array<bigint>").alias("spans"))
     joined = _with_ranges(src, found, "spans", "left", loses).select("doc", "text", "spans").unionByName(whole)
