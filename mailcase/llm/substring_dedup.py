@@ -131,6 +131,8 @@ def _flat(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 #: Ranges whose words are handed on at once.
 RANGES = 1 << 14
+#: Added to the number of windows of an open block that a factor leads to.
+LED = 1 << 31
 
 
 def _passages(window: int, gram: int):
@@ -144,10 +146,11 @@ def _passages(window: int, gram: int):
                 words = Words(buf, off, NON_SPACE)
                 h, part = words.hashes(), edges.slice(i, j - i)
                 at, n = _ranges(part.flatten())
+                size = n & (LED - 1)
                 doc = np.repeat(np.arange(j - i), np.diff(part.offsets.to_numpy()))
                 end = words.first[doc + 1]
                 lo = np.minimum(words.first[doc] + at, end)
-                hi = np.minimum(lo + np.where(n > 0, n + window - 1, longest), end)
+                hi = np.minimum(lo + np.where(size > 0, size + window - 1, longest), end)
                 for k in range(0, len(at), RANGES):
                     r = slice(k, k + RANGES)
                     yield pa.RecordBatch.from_pydict({**_places(b, doc[r] + i, at[r], n[r]),
@@ -169,11 +172,12 @@ def _agreeing(mine: pa.Array, theirs: pa.Array) -> np.ndarray:
 
 
 def _read_on(window: int):
-    """Open blocks in two parts: the windows that the factor before them reaches
+    """Open blocks that a factor leads to, in two parts: the windows that the factor reaches
     over the words after its source (no words), and those that are left."""
     def run(batches):
         for b in batches:
             lo, n = _ranges(b.column("at"))
+            n &= LED - 1
             reach = np.minimum(np.maximum(_agreeing(b.column("words"), b.column("theirs")) - window + 1, 0), n)
             got, left = np.flatnonzero(reach > 0), np.flatnonzero(reach < n)
             if len(got):
@@ -313,20 +317,25 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text",
     at_open = row_filter(open_at.select(*row, "start"))
     # Equal rows have equal factors; one of them is enough.
     after = after.where(at_open(*row, "start")).groupBy(*row, "start").agg(F.min("go_on").alias("go_on"))
-    ends = stored(open_at.join(after, same(open_at, after, [*row, "start"]))
-                  .select(*[open_at[c] for c in (*row, "at")], "go_on"), "ends")
-    wanted = stored(open_blocks.select(*row, "at").unionByName(ends.select("go_on.*").distinct()), "ranges")
+    marked = stored(open_at.join(after, same(open_at, after, [*row, "start"]), "left").select(
+        *[open_at[c] for c in row], F.when(F.col("go_on").isNull(), open_at["at"])
+        .otherwise(open_at["at"].bitwiseOR(F.lit(LED))).alias("at"), "go_on"), "ends")
+    ends = marked.where("go_on is not null")
+    wanted = stored(marked.select(*row, "at").unionByName(ends.select("go_on.*").distinct()), "ranges")
     words = stored(_with_ranges(src, wanted, "edges").mapInArrow(
         _passages(window, gram), f"{kind}, words array<bigint>"), "words")
-    passages = words.where("at & 4294967295 = 0").select(F.struct(*row, "at").alias("p"), F.col("words").alias("theirs"))
+    size = F.col("at").bitwiseAND(F.lit((1 << 32) - 1))
+    # Only the blocks that a factor leads to, and what follows its source, are brought together.
+    passages = words.where(size == 0).select(F.struct(*row, "at").alias("p"), F.col("words").alias("theirs"))
     source = ends.join(passages.hint("merge"), F.col("go_on").eqNullSafe(F.col("p"))).select(*row, "at", "theirs")
-    mine = words.where("at & 4294967295 > 0")
-    read = mine.join(source.hint("merge"), same(mine, source, [*row, "at"]), "left").select(
-        *[mine[c] for c in (*row, "at", "words")], "theirs")
-    left = stored(read.mapInArrow(_read_on(window), f"{kind}, words array<bigint>"), "open")
-    reached = left.where("words is null").select(*row, "at")
-
-    single = left.where("words is not null").mapInArrow(_edge_windows(window, gram), f"a long, w long, {kind}")
+    led = words.where(size >= LED)
+    read = led.join(source.hint("merge"), same(led, source, [*row, "at"])).select(
+        *[led[c] for c in (*row, "at", "words")], "theirs")
+    read = stored(read.mapInArrow(_read_on(window), f"{kind}, words array<bigint>"), "open")
+    reached = read.where("words is null").select(*row, "at")
+
+    left = words.where((size > 0) & (size < LED)).unionByName(read.where("words is not null"))
+    single = left.mapInArrow(_edge_windows(window, gram), f"a long, w long, {kind}")
     seen = (single.groupBy("a", "w").agg(F.min(place).alias("f"), F.count(F.lit(1)).alias("copies"))
             .where("copies > 1").select("a", "w", "f"))
     borders = _split_join(single, seen, ["a", "w"]).where(~place.eqNullSafe(F.col("f"))).select(*row, "at")
