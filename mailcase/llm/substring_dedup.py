@@ -215,37 +215,42 @@ def _edge_windows(window: int, gram: int):
 
 def _keep(window: int):
     def run(batches):
-        for b in batches:
-            texts, spans = b.column("text"), b.column("spans")
-            n_words, removed, kept, cut = [], [], [], []
-            for t, sp in zip(texts, spans):
-                raw = t.as_buffer().to_pybytes() if t.is_valid else b""
-                w = raw.split()            # bytes.split() cuts at \x20 and \x09-\x0D
-                n = len(w)
-                n_words.append(n)
-                if not sp.is_valid or not len(sp.values):
-                    removed.append(0)
-                    cut.append([])
-                    kept.append(b" ".join(w).decode())
-                    continue
-                lo, size = _ranges(sp.values)
-                d = np.zeros(n + 2, dtype=np.int64)
-                np.add.at(d, lo, 1)
-                np.add.at(d, lo + size + window - 1, -1)
-                gone = np.cumsum(d[:n]) > 0
-                edge = np.flatnonzero(np.diff(np.concatenate(([0], gone, [0]))))
-                cut.append([{"start": int(s), "end": int(e)} for s, e in
-                            zip(edge[::2], edge[1::2])])
-                removed.append(int(gone.sum()))
-                kept.append(b" ".join(itertools.compress(w, ~gone)).decode())
-            yield pa.RecordBatch.from_pydict({
-                "doc": b.column("doc"), "n_words": pa.array(n_words, pa.int64()),
-                "n_removed": pa.array(removed, pa.int64()), "kept_text": pa.array(kept, pa.string()),
-                "spans": pa.array(cut, pa.list_(pa.struct([("start", pa.int32()),
-                                                           ("end", pa.int32())])))})
+        for whole in batches:
+            # About a MB of texts at a time: kept texts and word lists never pile up for a batch.
+            for i, j, *_ in pieces(whole.column("text")):
+                b = whole.slice(i, j - i)
+                yield _kept(b, window)
     return run
 
 
+def _kept(b: pa.RecordBatch, window: int) -> pa.RecordBatch:
+    """The result rows of some texts."""
+    n_words, removed, kept, cut = [], [], [], []
+    for t, sp in zip(b.column("text"), b.column("spans")):
+        raw = t.as_buffer().to_pybytes() if t.is_valid else b""
+        w = raw.split()            # bytes.split() cuts at \x20 and \x09-\x0D
+        n = len(w)
+        n_words.append(n)
+        if not sp.is_valid or not len(sp.values):
+            removed.append(0)
+            cut.append([])
+            kept.append(b" ".join(w).decode())
+            continue
+        lo, size = _ranges(sp.values)
+        d = np.zeros(n + 2, dtype=np.int64)
+        np.add.at(d, lo, 1)
+        np.add.at(d, lo + size + window - 1, -1)
+        gone = np.cumsum(d[:n]) > 0
+        edge = np.flatnonzero(np.diff(np.concatenate(([0], gone, [0]))))
+        cut.append([{"start": int(s), "end": int(e)} for s, e in zip(edge[::2], edge[1::2])])
+        removed.append(int(gone.sum()))
+        kept.append(b" ".join(itertools.compress(w, ~gone)).decode())
+    return pa.RecordBatch.from_pydict({
+        "doc": b.column("doc"), "n_words": pa.array(n_words, pa.int64()),
+        "n_removed": pa.array(removed, pa.int64()), "kept_text": pa.array(kept, pa.string()),
+        "spans": pa.array(cut, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))})
+
+
 def _split_join(rows: DataFrame, keys: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Join of ``rows`` with an aggregate that has one row for each value of ``on``.
 
