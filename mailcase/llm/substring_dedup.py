@@ -73,6 +73,9 @@ def _windows(words: Words, window: int, gram: int):
 
 #: The 128 bits that stand for a text, as two longs.
 ID = ("t1", "t2")
+#: Type of the removed word ranges.
+SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()),
+                                  T.StructField("end", T.IntegerType())]))
 
 
 def _places(batch: pa.RecordBatch, rows: np.ndarray, lo: np.ndarray, n) -> dict[str, pa.Array]:
@@ -347,11 +350,16 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     found = stored(factors.select(*row, "at").unionByName(reached).unionByName(borders), "spans")
     loses = row_filter(found.select(*row))(*row)
-    whole = src.where(~loses).select("doc", "text", F.lit(None).cast("array<bigint>").alias("spans"))
-    joined = _with_ranges(src, found, "spans", "left", loses).select("doc", "text", "spans").unionByName(whole)
-    out = joined.mapInArrow(_keep(window), T.StructType([
+    joined = _with_ranges(src, found, "spans", "left", loses).select("doc", "text", "spans")
+    cut = joined.mapInArrow(_keep(window), T.StructType([
         T.StructField("doc", src.schema["doc"].dataType), T.StructField("n_words", T.LongType()),
         T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType()),
-        T.StructField("spans", T.ArrayType(T.StructType([
-            T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))]))
-    return out.withColumnRenamed("doc", key)
+        T.StructField("spans", SPANS)]))
+    # A text that loses nothing needs no Python beside the filter's.
+    kept = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
+    whole = src.where(~loses).select("doc", kept.alias("kept_text")).select(
+        "doc", F.when(F.col("kept_text") == "", 0)
+        .otherwise(F.length("kept_text") - F.length(F.translate("kept_text", " ", "")) + 1)
+        .cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), "kept_text",
+        F.array().cast(SPANS).alias("spans"))
+    return cut.unionByName(whole).withColumnRenamed("doc", key)
