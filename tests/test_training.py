@@ -221,3 +221,23 @@ def test_boosted_predictions_and_rounds(spark):
     assert ML.rounds(model) == kept
     assert Q.q_feature_importance(spark, SF_SMALL).count() == 20
     assert ML.score(model, Q.model_cases(spark, SF_SMALL), BINARY).select("pred_name").distinct().count() >= 1
+
+
+def test_rounds_over_sparse_rows_are_those_of_the_dense_fit(spark):
+    """From the first round on, without sampling, the trees are MLlib's; most values are zero."""
+    rng = np.random.default_rng(5)
+    x = rng.exponential(size=(1500, 20)) * (rng.random((1500, 20)) < 0.3)
+    y = (x[:, 0] - x[:, 1] + x[:, 2] * x[:, 3] + rng.normal(size=1500) * 0.5 > 0.1).astype(float)
+    data = [(Vectors.sparse(20, np.flatnonzero(a).tolist(), a[a != 0].tolist()), float(b), i % 5 == 0)
+            for i, (a, b) in enumerate(zip(x, y))]
+    rows = spark.createDataFrame(data, ["features", "label", "is_eval"]).repartition(3).cache()
+    plain = dict(PLAIN, maxDepth=2, maxIter=6)
+    whole = GBTClassifier(featuresCol="features", labelCol="label", **plain).fit(rows.where("NOT is_eval"))
+    model, losses = B.fit_boosted(rows, "label", "is_eval", params=plain, patience=50, dense_bytes=0)
+    n = len(model.treeWeights)
+    assert np.allclose(losses, whole.evaluateEachIteration(rows.where("is_eval")), rtol=1e-9)
+    assert np.allclose(margins(model, rows), margins(B.cut(whole, n), rows), rtol=1e-9)
+    assert np.allclose(model.featureImportances.toArray(), B.cut(whole, n).featureImportances.toArray())
+    # With sampling a refit gives the same trees.
+    kw = dict(params=dict(plain, subsamplingRate=0.8, featureSubsetStrategy="0.8"), patience=3, dense_bytes=0)
+    assert B.fit_boosted(rows, "label", "is_eval", **kw)[1] == B.fit_boosted(rows, "label", "is_eval", **kw)[1]
