@@ -80,3 +80,33 @@ def test_repeated_sentences_count_once(spark):
                                "doc_id long, text string")
     rows = sentence_languages(df, "doc_id", "text", m, distinct=True).collect()
     assert sorted((r["pos"], r["sentence"]) for r in rows) == [(0, "the cat sat"), (1, "der Hund")]
+
+
+def test_sums_in_the_row_are_those_of_the_join(spark):
+    """Repeated and null keys, texts without letters, and texts longer than a piece."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from mailcase.operators import language as L
+    from mailcase.operators.language import trigram_keys, trigram_sums
+
+    texts = [(1, "de kat zit op de mat", "nl"), (2, "the cat sat on the mat é", "en"), (2, "een twee drie", "nl"),
+             (None, "one two three", "en"), (None, None, "nl"), (3, "12 34", "en"), (4, "zzz qqq", "nl"),
+             (5, "the cat " * 50 + "de mat", "en")]
+    df = spark.createDataFrame(texts, "id long, text string, lang string").repartition(3)
+    m = fit_language_model(df.where("id IS NULL OR id < 4"), "id", "text", "lang")
+    plain = df.where("id IS NULL OR id < 4").select("lang", F.explode(L.trigrams("text")).alias("trigram")).groupBy(
+        "lang", "trigram").count().collect()
+    for i, lang in enumerate(m.languages):
+        want = {r["trigram"]: r["count"] for r in plain if r["lang"] == lang}
+        got = {r["trigram"]: round(np.expm1(r[f"_l{i}"])) for r in m.profile.collect()}
+        assert {k: v for k, v in got.items() if v} == want
+    row, joined = m.detect(df, ["id"], "text"), replace(m, row_max_bytes=0).detect(df, ["id"], "text")
+    assert "BroadcastHashJoin" not in row._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, row.collect())) == sorted(map(str, joined.collect()))
+    text = " the cat sat on the mat "
+    keys = np.unique(trigram_keys(text))
+    logs = np.concatenate([np.arange(len(keys), dtype=float)[:, None], np.zeros((1, 1))])
+    for piece in (4, 1 << 18):
+        n, s = trigram_sums([text, None, " ab "], keys, logs, piece)
+        assert n.tolist() == [22, 0, 2] and s[0, 0] == np.searchsorted(keys, trigram_keys(text)).sum() and s[2, 0] == 0
