@@ -204,6 +204,9 @@ def score(model: PipelineModel, df: DataFrame, label_set: LabelSet | None = None
     return s
 
 
+#: Characters of a slice of an Arrow batch that a hosted model scores at once.
+SLICE_CHARS = 1 << 22
+
 _hosted: dict[str, Callable] = {}
 
 
@@ -221,13 +224,15 @@ def score_external(df: DataFrame, text: str, path: str, load: Callable[[bytes],
 
     Spark reads the files (so any store it knows will do) and sends their
     bytes to the tasks; ``load(bytes)`` runs once per Python worker and returns
-    ``predict(list of texts) -> array (n, C)``. The texts of an Arrow batch are
-    sorted by length and predicted in batches of at most ``batch_chars``
-    characters (or one text), so that texts of a batch are of like length; rows
-    keep their order. A null text is predicted as ''.
+    ``predict(list of texts) -> array (n, C)``. The rows of an Arrow batch are
+    taken in slices of about ``SLICE_CHARS``; the texts of a slice are sorted by
+    length and predicted in batches of at most ``batch_chars`` characters (or
+    one text), so that texts of a batch are of like length; rows keep their
+    order. Kept columns stay in Arrow. A null text is predicted as ''.
     """
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
     spark = df.sparkSession
     files = spark.read.format("binaryFile").load(path).orderBy("path").select("content").collect()
@@ -236,25 +241,44 @@ def score_external(df: DataFrame, text: str, path: str, load: Callable[[bytes],
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in
                         df.select(*keep).schema.fields] + ["probs array<double>"])
 
+    def predicted(predict, column):
+        texts = [t if t is not None else "" for t in column.to_pylist()]
+        order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
+        probs, i = np.zeros((len(texts), n_classes)), 0
+        while i < len(order):
+            j, held = i, 0
+            while j < len(order) and (j == i or held + len(texts[order[j]]) <= batch_chars):
+                held += len(texts[order[j]])
+                j += 1
+            probs[order[i:j]] = np.asarray(predict([texts[k] for k in order[i:j]]), dtype=float)
+            i = j
+        offsets = np.arange(0, probs.size + 1, n_classes, dtype=np.int32)
+        return pa.ListArray.from_arrays(offsets, probs.ravel())
+
     def run(batches):
         predict = hosted(path, load, sent.value)
         for b in batches:
-            texts = [t if isinstance(t, str) else "" for t in b[text]]
-            order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
-            probs, i = np.zeros((len(texts), n_classes)), 0
-            while i < len(order):
-                j, held = i, 0
-                while j < len(order) and (j == i or held + len(texts[order[j]]) <= batch_chars):
-                    held += len(texts[order[j]])
-                    j += 1
-                probs[order[i:j]] = np.asarray(predict([texts[k] for k in order[i:j]]), dtype=float)
-                i = j
-            yield pd.DataFrame({**{k: b[k] for k in keep}, "probs": list(probs)})
-
-    s = df.select(*dict.fromkeys([*keep, text])).mapInPandas(run, schema)
+            sizes = pc.fill_null(pc.utf8_length(b.column("_text")), 0).to_numpy(zero_copy_only=False)
+            for at, end in slices(sizes, SLICE_CHARS):
+                part = b.slice(at, end - at)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], predicted(predict, part.column("_text"))],
+                                                 names=[*keep, "probs"])
+
+    s = df.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
     return s.withColumns({"pred": argmax("probs"), "confidence": F.array_max("probs")})
 
 
+def slices(sizes: Sequence[int], most: int) -> list[tuple[int, int]]:
+    """Ranges of rows whose sizes add up to at most ``most`` (or one row)."""
+    found, at, held = [], 0, 0
+    for i, n in enumerate(sizes):
+        if i > at and held + n > most:
+            found.append((at, i))
+            at, held = i, 0
+        held += n
+    return found + [(at, len(sizes))] if len(sizes) else found
+
+
 def _session(spark: SparkSession | None) -> SparkSession:
     return spark or SparkSession.getActiveSession()
 

@@ -241,3 +241,24 @@ def test_rounds_over_sparse_rows_are_those_of_the_dense_fit(spark):
     # With sampling a refit gives the same trees.
     kw = dict(params=dict(plain, subsamplingRate=0.8, featureSubsetStrategy="0.8"), patience=3, dense_bytes=0)
     assert B.fit_boosted(rows, "label", "is_eval", **kw)[1] == B.fit_boosted(rows, "label", "is_eval", **kw)[1]
+
+
+def test_hosted_model_sees_slices_of_a_batch(spark, tmp_out, monkeypatch):
+    """An Arrow batch is scored by slices; kept columns, nulls and the order of rows stay."""
+    assert ML.slices([3, 3, 9, 1, 0], 6) == [(0, 2), (2, 3), (3, 5)] and ML.slices([], 6) == []
+    monkeypatch.setattr(ML, "SLICE_CHARS", 64)
+    spark.createDataFrame([("{}",)], "w string").coalesce(1).write.text(tmp_out)
+
+    def load(content):
+        def predict(texts):
+            # All characters a call sees: at most those of a slice, unless it is one text.
+            seen = sum(map(len, texts)) if len(texts) > 1 else 0
+            return np.array([[len(t), seen] for t in texts], dtype=float)
+        return predict
+
+    data = [(i, None if i % 7 == 0 else "e" * (i % 40), None if i % 5 == 0 else i) for i in range(300)]
+    df = spark.createDataFrame(data, "id long, body string, n int").coalesce(1)
+    got = ML.score_external(df, "body", f"{tmp_out}/part-*", load, 2, keep=["id", "n", "body"]).collect()
+    assert [(r["id"], r["body"], r["n"]) for r in got] == data
+    assert [r["probs"][0] for r in got] == [len(t or "") for _, t, _ in data]
+    assert max(r["probs"][1] for r in got) <= 64
