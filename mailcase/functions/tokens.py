@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values: a token is a run of 2+ word characters of the lower-cased text ---
-TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
+TOKEN_CHAR = r"[\p{L}\p{N}_]"
+TOKEN_PATTERN = TOKEN_CHAR + "{2,}"
 # --- end of fixed values ---
 
 

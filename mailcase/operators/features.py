@@ -7,16 +7,25 @@ document vector is L2-normalised. The vocabulary keeps terms with
 ``df >= min_df`` and ``df <= max_df`` (a share of n when fractional), then
 the ``max_features`` most frequent by corpus count (ties by term).
 
-Plan of a capped fit: a mergeable sketch of term counts per hash shard finds
-the candidates, and a second scan counts only these, inside the row. Its
-result is proven: the sketches bound the count of every other term, and the
-last term kept must be above that bound; if not, all terms are counted. So
-the shuffles carry sketches and candidates, not every bigram of the corpus.
+Texts are lower-cased by Spark, then cut and counted inside Arrow batches: the
+characters of a token are those of Spark's own regex, and a term is a pair of
+numbers of a slice's dictionary.
+
+Plan of a capped fit: a mergeable sketch (term occurrences per hash bucket)
+bounds the count of every term, and a second scan counts only the terms of the
+fullest buckets. Its result is proven: the last term kept must be above the
+bound of all others; if not, all terms are counted. So the shuffles carry
+sketches and candidates, not every bigram of the corpus.
 A transform with a capped vocabulary is row-local: no shuffle.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, Normalizer,
                                 SQLTransformer)
@@ -24,17 +33,21 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mailcase.functions.tokens import TOKEN_PATTERN, ngrams, uni_bi_grams, word_tokens
+from mailcase.functions.tokens import TOKEN_CHAR, TOKEN_PATTERN, ngrams, uni_bi_grams, word_tokens
 
 MIN_DF = 2
 MAX_DF = 0.95
 MAX_FEATURES = 3000
 
-#: Sketches a fit keeps, terms each of them tracks, and candidates per term of the vocabulary.
+#: Sketches a fit keeps, buckets each of them counts, and candidates per term of the vocabulary.
 SHARDS = 32
-TRACKED = 1 << 13
+TRACKED = 1 << 15
 CANDIDATES = 4
 
+#: Bytes and rows of a slice of an Arrow batch that are counted at once (or one row).
+SLICE_BYTES = 1 << 22
+SLICE_ROWS = 1 << 16
+
 
 def _with_terms(docs: DataFrame, text: str, bigrams: bool, *keep: str) -> DataFrame:
     """(keep..., _t): the terms of a row as an array."""
@@ -55,65 +68,230 @@ def term_rows(docs: DataFrame, text: str = "text", bigrams: bool = True) -> Data
     return pairs.select(both.alias("term")).where(F.col("term").isNotNull())
 
 
+#: Whether a code point is part of a token, of each session that asked.
+_CLASSES: dict[str, np.ndarray] = {}
+
+
+def _word_chars(spark) -> np.ndarray:
+    """Whether each code point is part of a token, as Spark's own regex has it (one small job a session)."""
+    at = spark.sparkContext.applicationId
+    if at not in _CLASSES:
+        blocks = [("".join(map(chr, range(i, i + 4096))),) for i in range(0, 0x110000, 4096)
+                  if not 0xD800 <= i < 0xE000]
+        blocks += [("".join(map(chr, range(0xD000, 0xD800))),)]
+        found = spark.createDataFrame(blocks, "s string").select(
+            F.array_join(F.regexp_extract_all("s", F.lit(TOKEN_CHAR), 0), "").alias("s")).collect()
+        known = np.zeros(1 << 21, dtype=bool)
+        known[[ord(c) for r in found for c in r["s"]]] = True
+        _CLASSES[at] = known
+    return _CLASSES[at]
+
+
+def _split(buf: np.ndarray, off: np.ndarray, known: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """(tokens, number of each row's) of lower-cased UTF-8 texts: runs of 2+ word characters."""
+    own = known[buf]                                  # right for ASCII
+    lead = np.flatnonzero(buf >= 0xC0)
+    if len(lead):
+        own &= buf < 0x80
+        first = buf[lead].astype(np.int64)
+        n = 2 + (first >= 0xE0) + (first >= 0xF0)
+        char = first & (0x7F >> n)
+        for k in range(1, 4):
+            char = np.where(k < n, char << 6 | buf[np.minimum(lead + k, len(buf) - 1)] & 0x3F, char)
+        lead, n = lead[known[char]], n[known[char]]
+        for k in range(4):
+            own[np.minimum(lead + k, len(buf) - 1)[k < n]] = True
+    edge = np.zeros(len(buf) + 1, dtype=bool)         # a row's first byte begins a token
+    edge[off] = True
+    own = np.append(own, False)
+    begin = own & edge
+    begin[1:] |= own[1:] & ~own[:-1]
+    begin[:1] = own[:1]
+    end = ~own & False
+    end[1:] = own[:-1] & (~own[1:] | edge[1:])
+    starts, ends = np.flatnonzero(begin), np.flatnonzero(end)
+    chars = np.append(0, np.cumsum(buf & 0xC0 != 0x80))
+    two = chars[ends] - chars[starts] >= 2
+    starts, ends = starts[two], ends[two]
+    step = np.zeros(len(buf) + 1, dtype=np.int8)
+    step[starts] += 1
+    step[ends] -= 1
+    kept = buf[np.cumsum(step[:-1], dtype=np.int8) > 0]
+    places = np.append(0, np.cumsum(ends - starts)).astype(np.int64)
+    tokens = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(kept)])
+    return tokens, np.diff(np.searchsorted(starts, off))
+
+
+def _coded(texts: pa.Array, bigrams: bool, known: np.ndarray, most: int = SLICE_BYTES):
+    """(first row, documents, codes, words) of the slices of a column of lower-cased texts.
+
+    There is a document (row of the slice) and a code for each occurrence of a
+    term. ``words`` are the slice's distinct tokens; a code is exact:
+    first * step, for a pair plus second + 1, where step = len(words) + 1.
+    """
+    _, off, data = texts.buffers()
+    wide = pa.types.is_large_string(texts.type)
+    at = np.frombuffer(off, dtype=np.int64 if wide else np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    at = at.astype(np.int64)
+    buf = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8)
+    i, n = 0, len(texts)
+    while i < n:
+        j = int(np.searchsorted(at, at[i] + most, "right")) - 1
+        j = max(i + 1, min(j, i + SLICE_ROWS, n))
+        tokens, counts = _split(buf[at[i]:at[j]], at[i:j + 1] - at[i], known)
+        tokens = tokens.dictionary_encode()
+        token = tokens.indices.to_numpy().astype(np.int64)
+        doc = np.repeat(np.arange(j - i), counts)
+        code = token * (len(tokens.dictionary) + 1)
+        if bigrams:
+            inside = doc[1:] == doc[:-1]
+            code = np.concatenate((code, (code[:-1] + token[1:] + 1)[inside]))
+            doc = np.concatenate((doc, doc[:-1][inside]))
+        yield i, doc, code, tokens.dictionary.cast(pa.string())
+        i = j
+
+
+def _spelled(code: np.ndarray, words: pa.Array) -> pa.Array:
+    """The terms of codes."""
+    first, second = np.divmod(code, len(words) + 1)
+    after = words.take(pa.array(second - 1, mask=second == 0))
+    return pc.binary_join_element_wise(words.take(pa.array(first)), after, " ", null_handling="skip")
+
+
+def _cells(doc: np.ndarray, code: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, code, occurrences) of the distinct terms of each document."""
+    cell, tf = np.unique(doc * (step * step) + code, return_counts=True)
+    return *np.divmod(cell, step * step), tf
+
+
+def _counted(doc: np.ndarray, code: np.ndarray, words: pa.Array) -> pa.RecordBatch:
+    """(term, df, cf) of a slice."""
+    _, of, tf = _cells(doc, code, len(words) + 1)
+    term, df = np.unique(of, return_counts=True)
+    cf = np.bincount(np.searchsorted(term, of), weights=tf, minlength=len(term)).astype(np.int64)
+    return pa.RecordBatch.from_arrays([_spelled(term, words), pa.array(df, pa.int64()), pa.array(cf, pa.int64())],
+                                      names=["term", "df", "cf"])
+
+
+def _buckets(code: np.ndarray, words: pa.Array, size: int) -> np.ndarray:
+    """The hash bucket, below ``size``, of each code's term."""
+    h = pd.util.hash_array(words.to_numpy(zero_copy_only=False).astype(object), categorize=False)
+    first, second = np.divmod(code, len(words) + 1)
+    x = h[first] ^ (np.append(h, np.uint64(0))[second - 1] * np.uint64(0x9E3779B97F4A7C15))
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((x >> np.uint64(32)) % np.uint64(size)).astype(np.int64)
+
+
+def _lowered(docs: DataFrame, text: str, *keep: str) -> tuple[DataFrame, Broadcast]:
+    """(keep..., lower-cased text), and the word characters for the tasks."""
+    spark = docs.sparkSession
+    low = docs.select(*keep, F.lower(F.coalesce(F.col(text), F.lit(""))).alias("_low"))
+    return low, spark.sparkContext.broadcast(_word_chars(spark))
+
+
 def doc_terms(docs: DataFrame, key: str = "doc_id", text: str = "text",
               bigrams: bool = True) -> DataFrame:
     """(key, term, tf) for every distinct term of every document (whole texts)."""
-    # Counts inside the row: sorted terms, and the places where a new term begins.
-    d = _with_terms(docs, text, bigrams, key).select(key, F.sort_array("_t").alias("_s")).where(F.size("_s") > 0)
-    before = F.concat(F.array(F.lit(None).cast("string")), F.slice("_s", 1, F.size("_s") - 1))
-    begins = F.transform(F.arrays_zip(F.col("_s").alias("s"), before.alias("p")),
-                         lambda x, i: F.when(~x["s"].eqNullSafe(x["p"]), i + 1))
-    d = d.select(key, "_s", F.array_compact(begins).alias("_at"))
-    until = F.concat(F.slice("_at", 2, F.size("_at") - 1), F.array(F.size("_s") + 1))
-    runs = d.select(key, "_s", F.inline(F.arrays_zip(F.col("_at").alias("_i"), until.alias("_j"))))
-    return runs.select(key, F.element_at("_s", F.col("_i")).alias("term"),
-                       (F.col("_j") - F.col("_i")).cast("long").alias("tf"))
+    d, known = _lowered(docs, text, key)
+
+    def run(batches):
+        for b in batches:
+            for i, doc, code, words in _coded(b.column(1), bigrams, known.value, SLICE_BYTES >> 2):
+                doc, code, tf = _cells(doc, code, len(words) + 1)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(pa.array(doc + i)), _spelled(code, words), pa.array(tf, pa.int64())],
+                    names=[key, "term", "tf"])
+
+    return d.mapInArrow(run, f"`{key}` {d.schema[key].dataType.simpleString()}, term string, tf long")
 
 
 def term_counts(docs: DataFrame, text: str = "text", bigrams: bool = True) -> DataFrame:
-    """(term, df, cf) of every term: one partially aggregated shuffle on ``term``."""
-    d = _with_terms(docs, text, bigrams)
-    kinds = F.explode(F.array(F.struct(F.col("_t").alias("t"), F.lit(0).alias("d")),
-                              F.struct(F.array_distinct("_t").alias("t"), F.lit(1).alias("d"))))
-    rows = d.select(kinds.alias("k")).select(F.explode("k.t").alias("term"), F.col("k.d").alias("d"))
-    return rows.groupBy("term").agg(F.sum("d").alias("df"), F.sum(1 - F.col("d")).alias("cf"))
+    """(term, df, cf) of every term: one shuffle on ``term`` of the counts of slices."""
+    d, known = _lowered(docs, text)
+
+    def run(batches):
+        for b in batches:
+            for _, doc, code, words in _coded(b.column(0), bigrams, known.value):
+                yield _counted(doc, code, words)
+
+    rows = d.mapInArrow(run, "term string, df long, cf long")
+    return rows.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
 
 
 def term_sketches(docs: DataFrame, text: str = "text", bigrams: bool = True, *,
                   shards: int = SHARDS, tracked: int = TRACKED) -> DataFrame:
-    """(shard, state, error): a mergeable frequent-items sketch per hash shard of the terms.
+    """(shard, state): term occurrences per hash bucket, ``tracked`` buckets a shard.
 
-    Partial sketches of the tasks are merged per shard, so a reducer holds one
-    sketch whatever the input. ``error`` is what the sketch may have
-    undercounted any term by: the sum of all that its purges took off a
-    counter, the fourth long of its binary form (absent while it is empty).
+    ``state`` holds the shard's counts as 64-bit numbers. A task counts into one
+    table, which is shuffled and added up by shard, so a reducer holds one
+    sketch at a time whatever the input. A bucket's count bounds that of each of its terms.
+    """
+    size = shards * tracked
+    d, known = _lowered(docs, text)
+
+    def fill(batches):
+        table = np.zeros(size, dtype=np.int64)
+        for b in batches:
+            for _, _, code, words in _coded(b.column(0), bigrams, known.value):
+                table += np.bincount(_buckets(code, words, size), minlength=size)
+        for k, part in enumerate(table.reshape(shards, tracked)):
+            if part.any():
+                yield pa.RecordBatch.from_pydict({"shard": pa.array([k], pa.int32()),
+                                                  "state": pa.array([part.tobytes()], pa.binary())})
+
+    def add(batches):
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for k, state in zip(b.column(0).to_pylist(), b.column(1)):
+                part = np.frombuffer(state.as_buffer(), dtype=np.int64)
+                sums[k] = sums[k] + part if k in sums else part.copy()
+        for k, part in sums.items():
+            yield pa.RecordBatch.from_pydict({"shard": pa.array([k], pa.int32()),
+                                              "state": pa.array([part.tobytes()], pa.binary())})
+
+    parts = d.mapInArrow(fill, "shard int, state binary")
+    return parts.repartition(min(shards, 16), "shard").mapInArrow(add, "shard int, state binary")
+
+
+def bucket_terms(docs: DataFrame, full: np.ndarray, text: str = "text", bigrams: bool = True) -> DataFrame:
+    """(term, df, cf) of the terms of the buckets that ``full`` marks."""
+    d, known = _lowered(docs, text)
+    sent = docs.sparkSession.sparkContext.broadcast(full)
+
+    def run(batches):
+        for b in batches:
+            for _, doc, code, words in _coded(b.column(0), bigrams, known.value):
+                mine = sent.value[_buckets(code, words, len(sent.value))]
+                yield _counted(doc[mine], code[mine], words)
+
+    rows = d.mapInArrow(run, "term string, df long, cf long")
+    return rows.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+
+
+def _heaviest(docs: DataFrame, k: int, text: str, bigrams: bool, shards: int, tracked: int
+              ) -> tuple[list[tuple], int]:
+    """(rows, bound): (term, df, cf) of at most ``k`` terms, the most frequent first;
+    no other term occurs more than ``bound`` times.
+
+    At most one count per bucket and ``k`` + 1 rows reach the driver.
     """
-    shard = F.pmod(F.xxhash64("term"), F.lit(shards)).alias("shard")
-    s = term_rows(docs, text, bigrams).groupBy(shard).agg(
-        F.expr(f"approx_top_k_accumulate(term, {int(tracked)})").alias("state"))
-    raw = F.reverse(F.substring("state.sketch", 25, 8))
-    error = F.conv(F.hex(raw), 16, 10).cast("long")
-    return s.withColumn("error", F.when(F.length("state.sketch") >= 32, error).otherwise(F.lit(0)))
+    table = np.zeros((shards, tracked), dtype=np.int64)
+    for r in term_sketches(docs, text, bigrams, shards=shards, tracked=tracked).collect():
+        table[r["shard"]] = np.frombuffer(bytes(r["state"]), dtype=np.int64)
+    table = table.ravel()
+    least = max(1, int(np.partition(table, -k)[-k])) if k < len(table) else 1
+    full = table >= least
+    top = bucket_terms(docs, full, text, bigrams).orderBy(F.col("cf").desc(), F.col("term").asc()).limit(k + 1)
+    rows = [tuple(r) for r in top.collect()]
+    return rows[:k], max([int(table[~full].max(initial=0)), *(r[2] for r in rows[k:])])
 
 
 def heavy_terms(docs: DataFrame, k: int, text: str = "text", bigrams: bool = True, *,
                 shards: int = SHARDS, tracked: int = TRACKED) -> tuple[list[str], int]:
-    """(candidates, bound): at most ``k`` terms by their upper bound; no other
-    term occurs more than ``bound`` times.
-
-    A sketch lists the terms it has counted more often than its error; a term
-    it does not list occurs at most twice that often. At most ``k`` + 1 rows
-    and one error per shard reach the driver.
-    """
-    from mailcase.session import materialize
-
-    s = materialize(term_sketches(docs, text, bigrams, shards=shards, tracked=tracked))
-    # A row per listed term with its upper bound, and one per shard for all that it does not list.
-    listed = s.select(F.explode(F.expr(f"approx_top_k_estimate(state, {int(tracked)})")).alias("x"), "error")
-    upper = listed.select(F.col("x.item").alias("term"), F.col("x.count").alias("most"))
-    top = upper.orderBy(F.col("most").desc(), F.col("term").asc()).limit(k + 1).collect()
-    unlisted = s.agg(F.max(2 * F.col("error"))).first()[0] or 0
-    return [r["term"] for r in top[:k]], max([unlisted, *(r["most"] for r in top[k:])])
+    """(candidates, bound): at most ``k`` terms, the most frequent of the fullest
+    buckets; no other term occurs more than ``bound`` times."""
+    rows, bound = _heaviest(docs, k, text, bigrams, shards, tracked)
+    return [r[0] for r in rows], bound
 
 
 def candidate_counts(docs: DataFrame, candidates: list[str], text: str = "text",
@@ -172,13 +350,9 @@ def proven_vocabulary(docs: DataFrame, max_features: int, lo: float, hi: float,
     candidates' best are the vocabulary if the last of them occurs more often
     than that, or if so rare a term can't reach the smallest ``df`` anyway.
     """
-    candidates, bound = heavy_terms(docs, CANDIDATES * max_features, text, bigrams,
-                                    shards=shards, tracked=tracked)
-    if not candidates:
-        return [] if bound < max(lo, 1) else None
-    kept = candidate_counts(docs, candidates, text, bigrams).where(F.col("df").between(lo, hi))
-    rows = [tuple(r) for r in kept.orderBy(F.col("cf").desc(), F.col("term").asc()).limit(max_features).collect()]
-    full = len(rows) == max_features and rows and rows[-1][2] > bound
+    found, bound = _heaviest(docs, CANDIDATES * max_features, text, bigrams, shards, tracked)
+    rows = [r for r in found if lo <= r[1] <= hi][:max_features]
+    full = rows and len(rows) == max_features and rows[-1][2] > bound
     return rows if full or bound < max(lo, 1) else None
 
 
@@ -220,9 +394,9 @@ def _bigram_sql() -> str:
     # stage can be saved inside a PipelineModel.
     t = "_tokens"
     k = f"(size({t}) - 1)"
-    return (f"SELECT *, CASE WHEN {k} > 0 THEN concat({t}, transform(arrays_zip("
-            f"slice({t}, 1, greatest({k}, 0)), slice({t}, 2, greatest({k}, 0))), "
-            f"s -> concat_ws(' ', s['0'], s['1']))) ELSE {t} END AS _terms FROM __THIS__")
+    return (f"SELECT *, CASE WHEN {k} > 0 THEN concat({t}, zip_with("
+            f"slice({t}, 1, greatest({k}, 0)), slice({t}, 2, greatest({k}, 0)), "
+            f"(a, b) -> concat(a, ' ', b))) ELSE {t} END AS _terms FROM __THIS__")
 
 
 def featurizer(vocab: DataFrame, text: str = "text", output: str = "features",

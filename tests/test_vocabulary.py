@@ -112,3 +112,33 @@ def test_doc_terms_of_odd_rows(spark):
     assert got == [(1, "aa", 3), (1, "aa bb", 2), (1, "bb", 2), (1, "bb aa", 2), (5, "zz", 1)]
     assert sorted(r[0] for r in FT.term_rows(docs).collect()) == sorted(
         ["aa", "bb", "aa", "bb", "aa", "aa bb", "bb aa", "aa bb", "bb aa", "zz"])
+
+
+def test_tokens_cut_in_numpy_are_those_of_the_regex(spark):
+    """Letters of 1 to 4 bytes, marks, digits, borders of rows; one slice for all and one a row."""
+    rng = random.Random(5)
+    odd = ["", None, "a", "ab", "\u00e9", "\u00e9a", "\u0130stanbul \u0131I", "\u6f22\u5b57 \u4eee\u540d a\u6f22", "\U0001f642ab\U0001f642",
+           "\U00010400\U00010401x \U0001d49c", "a\u0301b cd", "\u0663\u0664 \u00bd\u00bd", "_a __ _", "ab", "ab"]
+    odd += ["".join(chr(rng.choice([32, 97, rng.randrange(33, 127), rng.randrange(0xA0, 0x600), rng.randrange(0x900, 0xD7FF),
+                                    rng.randrange(0xE000, 0x1FFFF)])) for _ in range(80)) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string").coalesce(1)
+    want = Counter()
+    for r in FT._with_terms(docs, "text", True, "doc_id").collect():
+        want.update((r.doc_id, t) for t in r["_t"])
+    df = Counter(t for _, t in want)
+    old = FT.SLICE_ROWS
+    for FT.SLICE_ROWS in (old, 1):
+        try:
+            assert {(r.doc_id, r.term): r.tf for r in FT.doc_terms(docs).collect()} == dict(want)
+            assert {r.term: r.df for r in FT.term_counts(docs).collect()} == dict(df)
+        finally:
+            FT.SLICE_ROWS = old
+
+
+def test_terms_are_counted_before_they_reach_spark(spark):
+    """No regex, no explode and no lambda per term in the plans of the counts."""
+    docs = spark.createDataFrame([(1, "aa bb")], "doc_id long, text string")
+    for plan in (FT.doc_terms(docs), FT.term_counts(docs), FT.term_sketches(docs)):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in text and "regexp_extract_all" not in text and "Generate" not in text
+    assert "transform(" not in FT._bigram_sql()
