@@ -83,3 +83,15 @@ def test_cleaning_is_linear(spark, text):
     t0 = time.time()
     df.select(F.length(T.clean_body("t"))).first()
     assert time.time() - t0 < 20
+
+
+def test_patterns_tried_at_first_letters_match_the_same(spark):
+    from pyspark.sql import functions as F
+
+    from mailcase.functions import text as T
+
+    parts = ["Best regards", "best regard\u017f", "KIND REGARDS", "\u212aind regards x", "regards,", "Regards.", "van:", "VAN :", "Aan:", "\n",
+             "onderwerp:", "Verzonden:", "o", "k", " "]
+    d = spark.createDataFrame([(a + b + c,) for a in parts for b in parts for c in parts], "s string")
+    for old, new in ((T.SIGNATURE, T.SIGNATURE_AT), (T.QUOTED_HEADER, T.QUOTED_HEADER_AT)):
+        assert d.where(F.regexp_replace("s", old, "") != F.regexp_replace("s", new, "")).isEmpty()
