@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -13,12 +14,33 @@ from pyspark.sql import functions as F
 from mailcase.session import ensure_checkpoint_dir
 
 
+#: Bytes of the texts that a task sends to Python in one Arrow batch, and the setting for it.
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Jobs started inside send texts to Python in batches of about ``BATCH_BYTES``:
+    the JVM and the Python workers of an executor never hold 10,000 texts each."""
+    before = spark.conf.get(BATCH_SETTING, None)
+    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(BATCH_SETTING)
+        else:
+            spark.conf.set(BATCH_SETTING, before)
+
+
 def stored(df: DataFrame, name: str = "step") -> DataFrame:
     """``df`` written as Parquet under the shared checkpoint folder and read
     back: computed once, lineage cut, safe when executors are lost."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -65,7 +87,9 @@ def summed_table(df: DataFrame, size: int,
     out = np.zeros(size, dtype=dtype)
     # A few segments a partition: the number of segments is fixed by ``size``.
     parts = max(1, min(12, -(-size // segment)))
-    for r in df.mapInArrow(fill, schema).repartition(parts, "seg").mapInArrow(add, schema).collect():
+    with small_batches(df.sparkSession):
+        rows = df.mapInArrow(fill, schema).repartition(parts, "seg").mapInArrow(add, schema).collect()
+    for r in rows:
         a = np.frombuffer(bytes(r["part"]), dtype=name)
         out[r["seg"] * segment:r["seg"] * segment + len(a)] = a
     return out

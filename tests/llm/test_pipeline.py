@@ -165,3 +165,26 @@ def test_mixing_repeats_whole_documents(stages):
     for s in by:
         taken = sum(n * size(k[1]) for k, n in has.items() if source[k] == s)
         assert abs(taken - target[s]) <= 0.15 * target[s] + most
+
+
+def test_texts_go_to_python_a_few_mb_at_a_time(spark):
+    """Written steps and count tables bound the Arrow batches, and leave the session's setting as it was."""
+    import pyarrow as pa
+
+    from mailcase.llm.tables import BATCH_BYTES, BATCH_SETTING, stored, summed_table
+
+    before = spark.conf.get(BATCH_SETTING, None)
+    docs = spark.range(0, 3000, 1, 1).selectExpr("repeat('abcdefgh', 1000) AS text")
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([b.nbytes], pa.int64())})
+
+    def largest(batches, table):
+        for b in batches:
+            table[0] = max(table[0], b.nbytes)
+
+    got = [r["n"] for r in stored(docs.mapInArrow(sizes, "n long")).collect()]
+    assert sum(got) > 20e6 and max(got) < 2 * BATCH_BYTES
+    assert 0 < summed_table(docs, 1, largest)[0] < 2 * BATCH_BYTES
+    assert spark.conf.get(BATCH_SETTING, None) == before
