@@ -12,8 +12,9 @@
 3. Confirmed keys are joined back to the suspected lines, which gives the
    lines that each document loses.
 4. A third filter, of the documents that lose lines, tells the others in their
-   own task: they are written as they are, and only the texts that the filter
-   lets through are shuffled to meet their dropped lines.
+   own task: they are written as they are, by column functions (the filter has
+   a Python worker already), and only the texts that the filter lets through
+   are shuffled to meet their dropped lines.
 
 Bloom filters have no false negatives and every suspicion is confirmed by
 text, so the result is exact; a crowded filter only costs more shuffling.
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mailcase.llm.bloom import has, put, row_filter
-from mailcase.llm.tables import same, stored, text_id
-from mailcase.llm.wordhash import _BYTE_VALUES, LOWER, pieces, range_hashes, signed
+from mailcase.llm.tables import same, small_batches, stored, text_id
+from mailcase.llm.wordhash import LOWER, byte_hashes, pieces, signed
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -81,13 +82,11 @@ def _keys(buf, off, least: int):
     s, e = _stripped(buf, off, starts, ends)
     lo, hi = int(off[0]), int(off[-1])
     # Code points: bytes that do not continue a character.
-    points = np.concatenate(([0], np.cumsum((buf[lo:hi] & 0xC0) != 0x80)))
+    points = np.zeros(hi - lo + 1, dtype=np.int32 if hi - lo < 1 << 31 else np.int64)
+    np.cumsum((buf[lo:hi] & 0xC0) != 0x80, out=points[1:])
     long_ = np.flatnonzero(points[e - lo] - points[s - lo] >= least)
     s, e = s[long_], e[long_]
-    if not len(s):
-        return long_, np.zeros(0, dtype=np.uint64), s, e, first
-    h = range_hashes(_BYTE_VALUES[LOWER[buf[lo:hi]]], s - lo, e - lo, hi - lo)
-    return long_, h, s, e, first
+    return long_, byte_hashes(buf, s, e, LOWER), s, e, first
 
 
 def _shard(h: np.ndarray, shards: int) -> np.ndarray:
@@ -157,11 +156,18 @@ def _suspects(filters, least: int, shards: int):
     return run
 
 
-def _drop(least: int):
-    def run(batches):
+def _drop(least: int, text: int):
+    """``text``: position of the text among the columns of ``row``."""
+    def parts(batches):
+        """Rows with about a MB of text: what is made of a batch is not held as a whole."""
         for b in batches:
+            for i, j, _, _ in pieces(b.column("row").field(text)):
+                yield b.slice(i, j - i)
+
+    def run(batches):
+        for b in parts(batches):
             n_lines, n_dropped, kept = [], [], []
-            for t, drop in zip(b.column("text"), b.column("drop")):
+            for t, drop in zip(b.column("row").field(text), b.column("drop")):
                 raw = t.as_buffer().to_pybytes() if t.is_valid else b""
                 lines = raw.split(b"\n")
                 n_lines.append(len(lines))
@@ -213,8 +219,10 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
 
     hashes = src.select("text").mapInArrow(_emit_hashes(min_chars, shards), "shard int, h long")
     twice = hashes.repartition(shards, "shard").mapInArrow(_twice(bits), "shard int, bits binary")
+    with small_batches(spark):
+        twice = twice.collect()
     filters = spark.sparkContext.broadcast(
-        {r["shard"]: np.frombuffer(bytes(r["bits"]), dtype=np.uint8) for r in twice.collect()})
+        {r["shard"]: np.frombuffer(bytes(r["bits"]), dtype=np.uint8) for r in twice})
 
     suspects = stored(src.select("doc", "tag", "text").mapInArrow(
         _suspects(filters, min_chars, shards), f"doc {kind}, tag binary, line string"), "suspects")
@@ -227,9 +235,14 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
     drops = dropped.groupBy("doc", "tag").agg(F.collect_set("line").alias("drop")).hint("merge")
     loses = row_filter(dropped.select("doc", "tag"))("doc", "tag")
     hit = src.where(loses)
-    j = hit.join(drops, same(hit, drops, ["doc", "tag"]), "left").select("row", "text", "drop")
-    rest = src.where(~loses).select("row", "text", F.lit(None).cast(j.schema["drop"].dataType).alias("drop"))
-    j = j.unionByName(rest)
-    return j.mapInArrow(_drop(min_chars), T.StructType([
+    j = hit.join(drops, same(hit, drops, ["doc", "tag"]), "left").select("row", "drop")
+    at = [c.lower() for c in docs.columns].index(text.lower())
+    cut = j.mapInArrow(_drop(min_chars, at), T.StructType([
         src.schema["row"], T.StructField("n_lines", T.LongType()),
         T.StructField("n_dropped", T.LongType()), T.StructField("kept_text", T.StringType())]))
+    # A text that loses nothing needs no Python beside the filter's.
+    kept = F.coalesce("text", F.lit(""))
+    breaks = F.octet_length(kept) - F.octet_length(F.replace(kept, F.lit("\n"), F.lit("")))
+    whole = src.where(~loses).select("row", (breaks + 1).cast("long").alias("n_lines"),
+                                     F.lit(0).cast("long").alias("n_dropped"), kept.alias("kept_text"))
+    return cut.unionByName(whole)

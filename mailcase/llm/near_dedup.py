@@ -50,6 +50,8 @@ SEED = 11
 #: Entries of the table that orders shingles by rarity among open candidates. Any
 #: order gives the same links; a fuller table only prunes less.
 RARITY = 1 << 20
+#: Bytes of text whose shingles a task holds at a time; each document's are its own.
+_PIECE = 1 << 18
 #: Shingles compared at a time by a verifying task.
 _BLOCK = 1 << 19
 _C2 = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -101,7 +103,7 @@ def _count(n: int):
     """Documents by shingle bucket; the last entry counts the documents."""
     def run(batches, table):
         for b in batches:
-            for i, j, buf, off in pieces(b.column(0)):
+            for i, j, buf, off in pieces(b.column(0), _PIECE):
                 doc, x, _, _ = _shingles(Words(buf, off, ALNUM), n)
                 cell = np.unique(doc * BUCKETS + (x % np.uint64(BUCKETS)).astype(np.int64))
                 table[:-1] += np.bincount(cell % BUCKETS, minlength=BUCKETS)
@@ -157,7 +159,7 @@ def _sign(idf, n: int, bands: int, rows: int, seed: int):
         tables = _Tables()
         table = idf.value
         for b in batches:
-            for i, j, buf, off in pieces(b.column("text")):
+            for i, j, buf, off in pieces(b.column("text"), _PIECE):
                 w = Words(buf, off, ALNUM)
                 doc, x, tf, h = _shingles(w, n)
                 if not len(x):
@@ -193,7 +195,7 @@ def _vectors(n: int):
     """
     def run(batches):
         for b in batches:
-            for i, j, buf, off in pieces(b.column("text")):
+            for i, j, buf, off in pieces(b.column("text"), _PIECE):
                 w = Words(buf, off, ALNUM)
                 doc, x, tf, h = _shingles(w, n)
                 if not len(x):

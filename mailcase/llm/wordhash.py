@@ -15,6 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECE = 1 << 20
+#: Bytes hashed at a time: each takes 8 in three arrays and in the tables of powers.
+SPAN = 1 << 17
 
 _U = np.uint64
 
@@ -79,6 +81,22 @@ def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray,
     return mix(out + (ends - starts).astype(_U))
 
 
+def byte_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+                fold: np.ndarray | None = None) -> np.ndarray:
+    """Hash of buf[s:e] for each of sorted ranges that do not overlap; about ``SPAN`` bytes
+    (or one range) at a time, so the 8-byte values of a whole piece are never held."""
+    values = _BYTE_VALUES if fold is None else _BYTE_VALUES[fold]
+    out = np.empty(len(starts), dtype=_U)
+    i, n = 0, len(starts)
+    while i < n:
+        lo = int(starts[i])
+        j = max(i + 1, int(np.searchsorted(ends, lo + SPAN, "right")))
+        hi = int(ends[j - 1])
+        out[i:j] = range_hashes(values[buf[lo:hi]], starts[i:j] - lo, ends[i:j] - lo, hi - lo)
+        i = j
+    return out
+
+
 class Words:
     """The words of a run of documents.
 
@@ -110,17 +128,7 @@ class Words:
         return np.diff(self.first)
 
     def hashes(self, fold: np.ndarray | None = None) -> np.ndarray:
-        values = _BYTE_VALUES if fold is None else _BYTE_VALUES[fold]
-        out = np.empty(len(self.starts), dtype=_U)
-        i, n = 0, len(self.starts)
-        while i < n:                      # the byte values of one piece at a time
-            lo = int(self.starts[i])
-            j = max(i + 1, int(np.searchsorted(self.ends, lo + PIECE, "right")))
-            hi = int(self.ends[j - 1])
-            out[i:j] = range_hashes(values[self.buf[lo:hi]], self.starts[i:j] - lo,
-                                    self.ends[i:j] - lo, hi - lo)
-            i = j
-        return out
+        return byte_hashes(self.buf, self.starts, self.ends, fold)
 
     def doc_of(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
