@@ -17,6 +17,10 @@ fullest buckets. Its result is proven: the last term kept must be above the
 bound of all others; if not, all terms are counted. So the shuffles carry
 sketches and candidates, not every bigram of the corpus.
 A transform with a capped vocabulary is row-local: no shuffle.
+
+Without a cap nearly every term of every document is joined. ``PackedTerms``
+keeps documents as slices: only the distinct terms of a slice are shuffled, once
+for the fit and the join, and the numbers that come back have no text.
 """
 
 from __future__ import annotations
@@ -34,6 +38,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailcase.functions.tokens import TOKEN_CHAR, TOKEN_PATTERN, ngrams, uni_bi_grams, word_tokens
+from mailcase.operators.packing import lean, lines, numbers_of, packed, packed_terms, terms_of, unpacked, words_of
+from mailcase.session import written
 
 MIN_DF = 2
 MAX_DF = 0.95
@@ -48,6 +54,12 @@ CANDIDATES = 4
 SLICE_BYTES = 1 << 22
 SLICE_ROWS = 1 << 16
 
+#: Packed terms: bytes of text of a slice, tokens of all documents a bucket of terms,
+#: and the words of a slice that are looked at for common ones.
+PACKED_BYTES = 1 << 22
+BUCKET_TOKENS = 1 << 20
+COMMON = 1024
+
 
 def _with_terms(docs: DataFrame, text: str, bigrams: bool, *keep: str) -> DataFrame:
     """(keep..., _t): the terms of a row as an array."""
@@ -122,13 +134,9 @@ def _split(buf: np.ndarray, off: np.ndarray, known: np.ndarray) -> tuple[pa.Arra
     return tokens, np.diff(np.searchsorted(starts, off))
 
 
-def _coded(texts: pa.Array, bigrams: bool, known: np.ndarray, most: int = SLICE_BYTES):
-    """(first row, documents, codes, words) of the slices of a column of lower-cased texts.
-
-    There is a document (row of the slice) and a code for each occurrence of a
-    term. ``words`` are the slice's distinct tokens; a code is exact:
-    first * step, for a pair plus second + 1, where step = len(words) + 1.
-    """
+def _cut(texts: pa.Array, known: np.ndarray, most: int = SLICE_BYTES):
+    """(first row, tokens of each row, number of each token's word, words) of the slices
+    of a column of lower-cased texts. ``words`` are the slice's distinct tokens."""
     _, off, data = texts.buffers()
     wide = pa.types.is_large_string(texts.type)
     at = np.frombuffer(off, dtype=np.int64 if wide else np.int32)[texts.offset:texts.offset + len(texts) + 1]
@@ -140,17 +148,30 @@ def _coded(texts: pa.Array, bigrams: bool, known: np.ndarray, most: int = SLICE_
         j = max(i + 1, min(j, i + SLICE_ROWS, n))
         tokens, counts = _split(buf[at[i]:at[j]], at[i:j + 1] - at[i], known)
         tokens = tokens.dictionary_encode()
-        token = tokens.indices.to_numpy().astype(np.int64)
-        doc = np.repeat(np.arange(j - i), counts)
-        code = token * (len(tokens.dictionary) + 1)
-        if bigrams:
-            inside = doc[1:] == doc[:-1]
-            code = np.concatenate((code, (code[:-1] + token[1:] + 1)[inside]))
-            doc = np.concatenate((doc, doc[:-1][inside]))
-        yield i, doc, code, tokens.dictionary.cast(pa.string())
+        yield i, counts, tokens.indices.to_numpy().astype(np.int64), tokens.dictionary.cast(pa.string())
         i = j
 
 
+def _paired(counts: np.ndarray, token: np.ndarray, step: int, bigrams: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(documents, codes): a document (row of the slice) and a code for each occurrence of a term.
+
+    A code is exact: first * step, for a pair plus second + 1, where step is the number of words + 1.
+    """
+    doc = np.repeat(np.arange(len(counts)), counts)
+    code = token * step
+    if bigrams:
+        inside = doc[1:] == doc[:-1]
+        code = np.concatenate((code, (code[:-1] + token[1:] + 1)[inside]))
+        doc = np.concatenate((doc, doc[:-1][inside]))
+    return doc, code
+
+
+def _coded(texts: pa.Array, bigrams: bool, known: np.ndarray, most: int = SLICE_BYTES):
+    """(first row, documents, codes, words) of the slices of a column of lower-cased texts."""
+    for i, counts, token, words in _cut(texts, known, most):
+        yield i, *_paired(counts, token, len(words) + 1, bigrams), words
+
+
 def _spelled(code: np.ndarray, words: pa.Array) -> pa.Array:
     """The terms of codes."""
     first, second = np.divmod(code, len(words) + 1)
@@ -164,6 +185,14 @@ def _cells(doc: np.ndarray, code: np.ndarray, step: int) -> tuple[np.ndarray, np
     return *np.divmod(cell, step * step), tf
 
 
+def _postings(doc: np.ndarray, code: np.ndarray, docs: int) -> tuple[np.ndarray, ...]:
+    """(codes in order, each cell's place there, document, occurrences): a cell is a distinct term of a document."""
+    cell, tf = np.unique(code * docs + doc, return_counts=True)
+    code, doc = np.divmod(cell, docs)
+    new = np.append(True, code[1:] != code[:-1])[:len(code)]
+    return code[new], np.cumsum(new) - 1, doc, tf
+
+
 def _counted(doc: np.ndarray, code: np.ndarray, words: pa.Array) -> pa.RecordBatch:
     """(term, df, cf) of a slice."""
     _, of, tf = _cells(doc, code, len(words) + 1)
@@ -173,9 +202,13 @@ def _counted(doc: np.ndarray, code: np.ndarray, words: pa.Array) -> pa.RecordBat
                                       names=["term", "df", "cf"])
 
 
+def _hashes(words: pa.Array) -> np.ndarray:
+    return pd.util.hash_array(words.to_numpy(zero_copy_only=False).astype(object), categorize=False)
+
+
 def _buckets(code: np.ndarray, words: pa.Array, size: int) -> np.ndarray:
     """The hash bucket, below ``size``, of each code's term."""
-    h = pd.util.hash_array(words.to_numpy(zero_copy_only=False).astype(object), categorize=False)
+    h = _hashes(words)
     first, second = np.divmod(code, len(words) + 1)
     x = h[first] ^ (np.append(h, np.uint64(0))[second - 1] * np.uint64(0x9E3779B97F4A7C15))
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -189,9 +222,226 @@ def _lowered(docs: DataFrame, text: str, *keep: str) -> tuple[DataFrame, Broadca
     return low, spark.sparkContext.broadcast(_word_chars(spark))
 
 
+class PackedTerms:
+    """The terms of documents, packed: what ``doc_terms`` lists as rows.
+
+    ``slices`` (slice, keys, blob) is written once: a slice is some 4 MB of text
+    as the numbers of its words. ``blocks`` (bucket, slice, blob) has the distinct
+    terms of each slice with df and cf; a bucket holds all slices' terms
+    that begin with some words, or a share of a very common word's. Slices and buckets are
+    of bounded size, whatever the input.
+    """
+
+    def __init__(self, docs: DataFrame, key: str, text: str, bigrams: bool):
+        d, known = _lowered(docs, text, key)
+        self.key, self.bigrams = key, bigrams
+        self.key_type = d.schema[key].dataType.simpleString()
+
+        def row(keys, counts, token, words):
+            seen = np.bincount(token, minlength=len(words))
+            order = np.argsort(-seen, kind="stable")                 # small numbers for common words
+            rank = np.empty_like(order)
+            rank[order] = np.arange(len(order))
+            words, seen = words.take(pa.array(order)), seen[order]
+            common = pa.StructArray.from_arrays([words[:COMMON], pa.array(seen[:COMMON], pa.int64())], ["word", "n"])
+            return pa.RecordBatch.from_arrays(
+                [pa.ListArray.from_arrays(pa.array([0, len(counts)], pa.int32()), keys),
+                 pa.array([len(counts)], pa.int64()), pa.array([len(token)], pa.int64()),
+                 pa.ListArray.from_arrays(pa.array([0, len(common)], pa.int32()), common),
+                 pa.array([packed(counts, rank[token], lines(words, np.arange(len(words)))[0])], pa.binary())],
+                names=["keys", "docs", "tokens", "common", "blob"])
+
+        def write(batches):
+            for b in batches:
+                for i, counts, token, words in _cut(b.column(1), known.value, PACKED_BYTES):
+                    yield lean(row, b.column(0)[i:i + len(counts)], counts, token, words)
+
+        rows = d.mapInArrow(write, f"keys array<{self.key_type}>, docs long, tokens long, "
+                                   "common array<struct<word: string, n: long>>, blob binary")
+        rows = written(rows.withColumn("slice", F.monotonically_increasing_id()), "terms")
+        self.slices = rows.select("slice", "keys", "blob")
+        total = rows.agg(F.count(F.lit(1)).alias("slices"), F.coalesce(F.sum("docs"), F.lit(0)).alias("docs"),
+                         F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).first()
+        self.docs, self.size = total["docs"], max(1, -(-total["tokens"] // BUCKET_TOKENS))
+        least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        self.bucket_tasks, self.slice_tasks = max(self.size, least), max(total["slices"], least)
+        keys = rows.select(F.explode("keys").alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        self.repeated = not keys.where(F.col("n") > 1).isEmpty()
+        # At most 4 words a bucket are so common; each is dealt over some buckets.
+        share = total["tokens"] / (4 * self.size)
+        common = rows.select(F.inline("common")).groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") > share)
+        common = common.collect() if self.size > 1 else []
+        self.common = pa.array([r["word"] for r in common], pa.string())
+        self.parts = np.array([-(-r["n"] // max(1, int(share))) for r in common], dtype=np.uint64)
+
+        read, deal = self._reader(), self._dealer()
+
+        def terms(at, blob):
+            doc, code, docs, words = read(blob)
+            term, of, _, tf = _postings(doc, code, docs)
+            df = np.bincount(of, minlength=len(term))
+            cf = np.bincount(of, weights=tf, minlength=len(term)).astype(np.int64)
+            found = [*zip(*packed_terms(term, words, deal(term, words), df, cf))] or [(), ()]
+            return pa.RecordBatch.from_arrays([pa.array(found[0], pa.int32()), pa.array([at] * len(found[0]), pa.int64()),
+                                               pa.array(found[1], pa.binary())], names=["bucket", "slice", "blob"])
+
+        def cut(batches):
+            for b in batches:
+                for at, blob in zip(b.column(0), b.column(1)):
+                    yield lean(terms, at.as_py(), blob.as_py())
+
+        # One exchange for the fit and the join. A task has about one bucket, or one slice, so its rows are sorted in memory.
+        blocks = rows.select("slice", "blob").mapInArrow(cut, "bucket int, slice long, blob binary")
+        self.blocks = blocks.repartition(self.bucket_tasks, "bucket")
+
+    def _reader(self):
+        """The function of a slice's bytes to its (documents, codes, number of documents, words)."""
+        bigrams = self.bigrams
+
+        def read(blob: bytes):
+            counts, token, text = unpacked(blob)
+            words = words_of(text).cast(pa.string())
+            return *_paired(counts, token.astype(np.int64), len(words) + 1, bigrams), len(counts), words
+
+        return read
+
+    def _dealer(self):
+        """The function of codes and their words to buckets: by the first word, of a common one also by the second."""
+        common, parts, size = self.common, self.parts, self.size
+
+        def deal(code: np.ndarray, words: pa.Array) -> np.ndarray:
+            h = _hashes(words)
+            first, second = np.divmod(code, len(words) + 1)
+            of = np.ones(len(words), dtype=np.uint64)
+            if len(common):
+                at = pc.index_in(words, value_set=common).fill_null(-1).to_numpy()
+                of[at >= 0] = parts[at[at >= 0]]
+            x = h[first] ^ ((np.append(h, np.uint64(0))[second - 1] % of[first]) * np.uint64(0x9E3779B97F4A7C15))
+            x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+            return ((x >> np.uint64(32)) % np.uint64(size)).astype(np.int64)
+
+        return deal
+
+    def counts(self) -> DataFrame:
+        """(term, df, cf) of every term."""
+        def count(block: pa.Table) -> pa.Table:
+            parts = [unpacked(x) for x in block["blob"].to_pylist()]
+            code, words, _ = terms_of(parts)
+            term, at = np.unique(code, return_inverse=True)
+            df, cf = (np.bincount(at, weights=numbers_of(parts, k), minlength=len(term)).astype(np.int64) for k in (0, 1))
+            return pa.table({"term": _spelled(term, words), "df": df, "cf": cf})
+
+        return self.blocks.groupBy("bucket").applyInArrow(lambda x: lean(count, x), "term string, df long, cf long")
+
+    def _asked(self, vocab: DataFrame) -> DataFrame:
+        """(bucket, blob): terms of a vocabulary and their idf."""
+        deal = self._dealer()
+
+        def terms(held):
+            t = pa.Table.from_batches(held).combine_chunks()
+            pair = pc.split_pattern(t["term"].combine_chunks(), " ", max_splits=1)
+            flat = pair.flatten().dictionary_encode()
+            many, at = pc.list_value_length(pair).to_numpy(), flat.indices.to_numpy().astype(np.int64)
+            begin = np.cumsum(many) - many
+            code = at[begin] * (len(flat.dictionary) + 1)
+            code[many == 2] += at[begin[many == 2] + 1] + 1
+            order = np.argsort(code)
+            words, code = flat.dictionary, code[order]
+            idf = t["idf"].to_numpy()[order].astype(np.float64)
+            found = [*zip(*packed_terms(code, words, deal(code, words), idf))]
+            return pa.RecordBatch.from_arrays([pa.array(found[0], pa.int32()), pa.array(found[1], pa.binary())],
+                                              names=["bucket", "blob"])
+
+        def pack(batches):
+            held, n = [], 0
+            for b in batches:
+                held, n = [*held, b], n + b.num_rows
+                if n >= BUCKET_TOKENS >> 2:
+                    yield lean(terms, held)
+                    held, n = [], 0
+            if n:
+                yield lean(terms, held)
+
+        return vocab.select("term", "idf").mapInArrow(pack, "bucket int, blob binary")
+
+    def tfidf(self, vocab: DataFrame) -> DataFrame:
+        """(key, term, tfidf), see the function ``tfidf``.
+
+        Each block's terms are looked up in its bucket of the vocabulary, and
+        each slice gets back the idf of its terms, by bucket in order of the terms.
+        """
+        read, deal, key = self._reader(), self._dealer(), self.key
+
+        def weights(x: pa.Table):
+            """(keys, documents, places of their terms, weights, codes of the terms, words) of a slice and its answers."""
+            order = np.argsort(x["bucket"].to_numpy())
+            blobs = x["blob"].take(pa.array(order)).to_pylist()
+            doc, code, docs, words = read(blobs[0])
+            term, of, doc, tf = _postings(doc, code, docs)
+            idf = np.empty(len(term))
+            idf[np.argsort(deal(term, words), kind="stable")] = np.concatenate(
+                [np.zeros(0), *(values[at] for at, values in map(unpacked, blobs[1:]))])
+            known = ~np.isnan(idf)
+            has = known[of]
+            of, doc = of[has], doc[has]
+            return x["keys"][int(order[0])].values, doc, (np.cumsum(known) - 1)[of], tf[has] * idf[of], term[known], words
+
+        def answer(block: pa.Table, asked: pa.Table) -> pa.Table:
+            wanted = [unpacked(x) for x in asked["blob"].to_pylist()]
+            code, _, many = terms_of(wanted + [unpacked(x) for x in block["blob"].to_pylist()])
+            many = many[len(wanted):]
+            n = len(code) - many.sum()
+            order = np.argsort(code[:n])
+            want, code = np.append(code[:n][order], -1), code[n:]
+            at = np.searchsorted(want[:n], code)
+            values, place = np.unique(np.append(numbers_of(wanted, 0)[order], np.nan), return_inverse=True)
+            at = np.where(want[at] == code, place[at], place[n])
+            blobs = []
+            for part in np.split(at, np.cumsum(many)[:-1])[:len(many)]:
+                few, of = np.unique(part, return_inverse=True)
+                blobs.append(packed(of, values[few]))
+            return pa.table({"slice": block["slice"], "bucket": block["bucket"], "blob": pa.array(blobs, pa.binary())})
+
+        def squares(x: pa.Table) -> pa.Table:
+            keys, doc, _, w, _, _ = weights(x)
+            own = np.unique(doc)
+            return pa.table({"slice": pa.array(np.full(len(own), x["slice"][0].as_py())), "doc": pa.array(own, pa.int32()),
+                             "k": keys.take(pa.array(own)), "s": np.bincount(doc, weights=w * w)[own].astype(np.float64)})
+
+        def weigh(x: pa.Table, sums: pa.Table | None = None) -> pa.Table:
+            keys, doc, of, w, term, words = weights(x)
+            s = np.bincount(doc, weights=w * w, minlength=len(keys)).astype(np.float64)
+            if sums is not None:
+                s[sums["doc"].to_numpy()] = sums["s"].to_numpy()
+            t = pa.table({key: keys.take(pa.array(doc)), "term": _spelled(term, words).take(pa.array(of)),
+                          "tfidf": w / np.sqrt(s[doc])})
+            return pa.Table.from_batches(t.to_batches(max_chunksize=SLICE_ROWS), t.schema)
+
+        asked = self._asked(vocab).repartition(self.bucket_tasks, "bucket")
+        answers = self.blocks.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(
+            lambda x, y: lean(answer, x, y), "slice long, bucket int, blob binary")
+        both = self.slices.select("slice", F.lit(-1).alias("bucket"), "blob", "keys").unionByName(
+            answers, allowMissingColumns=True).repartition(self.slice_tasks, "slice")
+        schema = f"`{key}` {self.key_type}, term string, tfidf double"
+        if not self.repeated:
+            return both.groupBy("slice").applyInArrow(lambda x: lean(weigh, x), schema)
+        # A key's norm is of all its documents: sums of those of several come back to their slices.
+        own = both.groupBy("slice").applyInArrow(lambda x: lean(squares, x), f"slice long, doc int, k {self.key_type}, s double")
+        of = Window.partitionBy("k")
+        sums = own.select("slice", "doc", F.sum("s").over(of).alias("s"), F.count(F.lit(1)).over(of).alias("n"))
+        sums = sums.where(F.col("n") > 1).select("slice", "doc", "s").repartition(self.slice_tasks, "slice")
+        return both.groupBy("slice").cogroup(sums.groupBy("slice")).applyInArrow(
+            lambda x, y: lean(weigh, x, y), schema)
+
+
 def doc_terms(docs: DataFrame, key: str = "doc_id", text: str = "text",
-              bigrams: bool = True) -> DataFrame:
-    """(key, term, tf) for every distinct term of every document (whole texts)."""
+              bigrams: bool = True, *, pack: bool = False) -> DataFrame | PackedTerms:
+    """(key, term, tf) for every distinct term of every document (whole texts).
+
+    With ``pack`` they are written as ``PackedTerms``, for a fit and a join of all terms.
+    """
+    if pack:
+        return PackedTerms(docs, key, text, bigrams)
     d, known = _lowered(docs, text, key)
 
     def run(batches):
@@ -205,8 +455,10 @@ def doc_terms(docs: DataFrame, key: str = "doc_id", text: str = "text",
     return d.mapInArrow(run, f"`{key}` {d.schema[key].dataType.simpleString()}, term string, tf long")
 
 
-def term_counts(docs: DataFrame, text: str = "text", bigrams: bool = True) -> DataFrame:
+def term_counts(docs: DataFrame | PackedTerms, text: str = "text", bigrams: bool = True) -> DataFrame:
     """(term, df, cf) of every term: one shuffle on ``term`` of the counts of slices."""
+    if isinstance(docs, PackedTerms):
+        return docs.counts()
     d, known = _lowered(docs, text)
 
     def run(batches):
@@ -317,19 +569,20 @@ def _limits(n: int, min_df: float, max_df: float) -> tuple[float, float]:
     return lo, hi
 
 
-def fit_vocabulary(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
+def fit_vocabulary(docs: DataFrame | PackedTerms, key: str = "doc_id", text: str = "text", *,
                    min_df: float = MIN_DF, max_df: float = MAX_DF,
                    max_features: int | None = MAX_FEATURES, bigrams: bool = True,
                    shards: int = SHARDS, tracked: int = TRACKED) -> DataFrame:
     """M1: (term, df, cf, idf) of the fitted vocabulary.
 
     With ``max_features`` the terms are found by sketches and proven, see
-    ``proven_vocabulary``; without, or if its proof fails, all are counted.
+    ``proven_vocabulary``; without, of packed terms, or if its proof fails, all are counted.
     """
-    n = docs.select(key).count()
+    known = isinstance(docs, PackedTerms)
+    n = docs.docs if known else docs.select(key).count()
     lo, hi = _limits(n, min_df, max_df)
     rows = None
-    if max_features is not None and CANDIDATES * max_features <= shards * tracked:
+    if not known and max_features is not None and CANDIDATES * max_features <= shards * tracked:
         rows = proven_vocabulary(docs, max_features, lo, hi, text, bigrams, shards=shards, tracked=tracked)
     if rows is not None:
         v = docs.sparkSession.createDataFrame(rows, "term string, df long, cf long")
@@ -356,10 +609,12 @@ def proven_vocabulary(docs: DataFrame, max_features: int, lo: float, hi: float,
     return rows if full or bound < max(lo, 1) else None
 
 
-def tfidf(terms: DataFrame, vocab: DataFrame, key: str = "doc_id") -> DataFrame:
+def tfidf(terms: DataFrame | PackedTerms, vocab: DataFrame, key: str = "doc_id") -> DataFrame:
     """M2 (+ J6) for a vocabulary of any size: (key, term, tfidf), L2-normalised
     per document; unseen terms dropped. The join and the norm shuffle the
-    weights; with a capped vocabulary use ``tfidf_rows``."""
+    weights; with a capped vocabulary use ``tfidf_rows``, with one of all terms ``PackedTerms``."""
+    if isinstance(terms, PackedTerms):
+        return terms.tfidf(vocab)
     w = terms.join(vocab.select("term", "idf"), "term").select(
         key, "term", (F.col("tf") * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))

@@ -53,8 +53,9 @@ def q_tfidf_full(spark, sf_dir):
     """M1/M2/J6 without a cap: every term of 2+ documents is joined; per document the
     number of terms, the sum of its normalised weights and its first term."""
     d = table(spark, sf_dir, "documents")
-    v = fit_vocabulary(d, "doc_id", "text", max_features=None)
-    return tfidf(doc_terms(d, "doc_id", "text"), v).groupBy("doc_id").agg(
+    terms = doc_terms(d, "doc_id", "text", pack=True)
+    v = fit_vocabulary(terms, "doc_id", "text", max_features=None)
+    return tfidf(terms, v, "doc_id").groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_terms"), F.round(F.sum("tfidf"), 6).alias("weight_sum"),
         F.min("term").alias("first_term"))
 
